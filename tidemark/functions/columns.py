@@ -22,10 +22,6 @@ def commit_time_ms(ts: Column) -> Column:
     return F.date_trunc("millisecond", ts).cast(T.TimestampNTZType())
 
 
-def key_bucket(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
 def row_bytes(schema: T.StructType) -> Column:
     """Upper estimate of one row's size in memory."""
     fixed = F.lit(24 * len(schema.fields)).cast("long")

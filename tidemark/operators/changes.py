@@ -46,25 +46,6 @@ def latest_images(batch: DataFrame, table: TableConfig) -> DataFrame:
     )
 
 
-def net_changes(batch: DataFrame, table: TableConfig) -> DataFrame:
-    """One row per key: its latest image (NULL if none) and whether it was deleted.
-
-    Upsert and soft delete need both, and one aggregate gives them in a single
-    shuffle of at most one row per key and input task.  The image follows the
-    ordering columns inside the struct, so even full ties are decided the same
-    way on every run.
-    """
-    image = F.struct(*IMAGE_ORDER, *[c for c in table.columns])
-    return (
-        batch.filter(F.col(table.key).isNotNull())
-        .groupBy(table.key)
-        .agg(
-            F.max(F.when(is_row_image(), image)).alias("image"),
-            F.max(is_delete()).alias("deleted"),
-        )
-    )
-
-
 def newest_per_key(batch: DataFrame, table: TableConfig) -> DataFrame:
     """Highest version date of each key over all operations of the batch."""
     return batch.groupBy(table.key).agg(

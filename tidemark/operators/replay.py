@@ -1,9 +1,7 @@
-"""Replaying a long history of batches as one job.
+"""Applying many batches: one after the other, or a whole history as one job.
 
-Applying n batches one after the other rewrites the target n times.  The result
-depends only on a few per-key facts about the batch numbers, so a backfill can
-aggregate the whole history once and join it to the target once.  ``batch_no``
-counts from 1; rows already in the target count as batch 0.
+Going batch by batch rewrites the target each time and grows the plan, so a
+backfill should replay its history; both give the same rows.
 """
 
 from __future__ import annotations
@@ -11,91 +9,19 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
 from tidemark.operators import type1, versioned
-from tidemark.operators.changes import IMAGE_ORDER, is_delete, is_row_image, row_images
-from tidemark.operators.joins import left_lookup
 
 
 def apply_batches(target: DataFrame, batches: list[DataFrame], table: TableConfig) -> DataFrame:
-    """The batches applied one after the other."""
     step = versioned.apply_batch if table.versioned else type1.apply_batch
-    return reduce(lambda t, b: step(t, b, table), batches, target)
+    return reduce(lambda rows, batch: step(rows, batch, table), batches, target)
 
 
-def replay(target: DataFrame, history: DataFrame, table: TableConfig) -> DataFrame:
-    """Same result as ``apply_batches``, from one history with a ``batch_no`` column."""
-    if table.versioned:
-        return _replay_versioned(target, history, table)
-    return _replay_type1(target, history, table)
-
-
-def _replay_type1(target: DataFrame, history: DataFrame, table: TableConfig) -> DataFrame:
-    """Content: latest image of the last batch that carries one.  Deleted: a delete
-    came in the batch that created the row, or in a later one."""
-    key = table.key
-    image = F.struct("batch_no", *IMAGE_ORDER, *table.columns)
-    changes = (
-        history.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.max(F.when(is_row_image(), image)).alias("image"),
-            F.min(F.when(is_row_image(), F.col("batch_no"))).alias("first_image"),
-            F.max(F.when(is_delete(), F.col("batch_no"))).alias("last_delete"),
-        )
-    )
-    # both sides hold a key once: the outer join's partitions are even
-    rows = target.select(
-        key, F.struct(*table.columns).alias("old"), "is_deleted"
-    ).join(changes, key, "full_outer")
-
-    created = F.when(F.col("old").isNotNull(), F.lit(0)).otherwise(F.col("first_image"))
-    new = F.struct(*[F.col("image")[c].alias(c) for c in table.columns])
-    return (
-        rows.filter("old is not null or image is not null")
-        .select(
-            F.when(F.col("image").isNotNull(), new).otherwise(F.col("old")).alias("row"),
-            (
-                F.coalesce("is_deleted", F.lit(False))
-                | F.coalesce(F.col("last_delete") >= created, F.lit(False))
-            ).alias("is_deleted"),
-        )
-        .select("row.*", "is_deleted")
-    )
-
-
-def _replay_versioned(target: DataFrame, history: DataFrame, table: TableConfig) -> DataFrame:
-    """Deleted: a delete of the key came in the row's batch or later.  Current: the
-    row has the highest version date found in the key's last batch."""
-    key, date = table.key, table.version_column
-    # Two steps, so the large one is a hash aggregate of plain columns; the
-    # second sees one row per key and batch.
-    per_batch = (
-        history.filter(F.col(key).isNotNull())
-        .groupBy(key, "batch_no")
-        .agg(F.max(date).alias("newest"), F.max(is_delete()).alias("deleted"))
-    )
-    summary = per_batch.groupBy(key).agg(
-        F.max(F.struct("batch_no", "newest"))["newest"].alias("newest"),
-        F.max(F.when(F.col("deleted"), F.col("batch_no"))).alias("last_delete"),
-        F.lit(True).alias("touched"),
-    )
-    images = row_images(history).select(
-        *table.columns,
-        F.lit(False).alias("is_deleted"),
-        F.lit(False).alias("is_current"),
-        "batch_no",
-    )
-    versions = target.withColumn("batch_no", F.lit(0)).unionByName(images)
-    return left_lookup(versions, summary, key).select(
-        *table.columns,
-        (
-            F.coalesce("is_deleted", F.lit(False))
-            | F.coalesce(F.col("last_delete") >= F.col("batch_no"), F.lit(False))
-        ).alias("is_deleted"),
-        F.when(F.col("touched"), F.coalesce(F.col(date) == F.col("newest"), F.lit(False)))
-        .otherwise(F.col("is_current"))
-        .alias("is_current"),
-    )
+def replay(
+    target: DataFrame, history: DataFrame, table: TableConfig, history_bytes: int | None = None
+) -> DataFrame:
+    """``history`` holds all batches, numbered from 1 by ``batch_no``."""
+    step = versioned.apply_history if table.versioned else type1.apply_history
+    return step(target, history, table, history_bytes)

@@ -6,82 +6,106 @@ Rules that a plain "last operation wins" merge would get wrong:
 * the deleted flag is never reset: a later insert refreshes the columns only;
 * a delete of a key the target does not hold is lost;
 * an image overwrites every column, NULLs included.
+
+The result of any number of batches depends only on three facts per key: its
+latest image, the first batch with an image, and the last batch with a delete.
+So a history of batches is one aggregate and one join; a single batch is a
+history of length one.  ``batch_no`` counts from 1, target rows are batch 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
-from tidemark.operators.changes import net_changes
+from tidemark.operators.changes import IMAGE_ORDER, is_delete, is_row_image
 from tidemark.operators.joins import fits_broadcast
 
 
-def apply_batch(
-    target: DataFrame, batch: DataFrame, table: TableConfig, batch_bytes: int | None = None
-) -> DataFrame:
-    """Target after one batch: upsert of the latest images, then soft delete.
+def net_changes(history: DataFrame, table: TableConfig) -> DataFrame:
+    """One row per key: ``image`` (NULL if none), ``first_image``, ``last_delete``.
 
-    ``batch_bytes`` is the measured size of the batch; the reduced changes are
-    never larger, so it decides whether they may be broadcast.
+    One shuffle of at most one row per key and input task, however hot a key is.
+    The columns follow the order inside the struct, so even full ties are
+    decided the same way on every run.
     """
-    return merge_changes(target, net_changes(batch, table), table, batch_bytes)
+    image = F.struct("batch_no", *IMAGE_ORDER, *table.columns[1:])
+    return (
+        history.filter(F.col(table.key).isNotNull())
+        .groupBy(table.key)
+        .agg(
+            F.max(F.when(is_row_image(), image)).alias("image"),
+            F.min(F.when(is_row_image(), F.col("batch_no"))).alias("first_image"),
+            F.max(F.when(is_delete(), F.col("batch_no"))).alias("last_delete"),
+        )
+    )
 
 
-def merge_changes(
+def merge(
     target: DataFrame, changes: DataFrame, table: TableConfig, changes_bytes: int | None = None
 ) -> DataFrame:
-    """Merge per-key changes (key, image, deleted) into the target.
+    """Merge net changes into the target.
 
     Both sides hold a key once, so the hash partitions of the full outer join
     are even.  With few changes the target is not shuffled at all: updates are
-    a broadcast left join, and inserts are the changes whose key was not among
+    a broadcast left join, and inserts are the changes whose key is not among
     the matched ones.
     """
     key = table.key
-    rows = target.select(key, F.struct(*table.columns).alias("old"), "is_deleted")
+    rows = target.withColumn("in_target", F.lit(True))
     if fits_broadcast(changes_bytes):
-        small = F.broadcast(changes)
-        matched = target.select(key).join(small, key, "left_semi")
-        inserts = changes.join(F.broadcast(matched), key, "left_anti").select(
-            key,
-            F.lit(None).cast(rows.schema["old"].dataType).alias("old"),
-            F.lit(False).alias("is_deleted"),
-            "image",
-            "deleted",
+        matched = target.select(key).join(F.broadcast(changes), key, "left_semi")
+        inserts = changes.join(F.broadcast(matched), key, "left_anti")
+        joined = rows.join(F.broadcast(changes), key, "left").unionByName(
+            inserts, allowMissingColumns=True
         )
-        joined = rows.join(small, key, "left").unionByName(inserts)
     else:
         joined = rows.join(changes, key, "full_outer")
 
-    new = F.struct(*[F.col("image")[c].alias(c) for c in table.columns])
-    row = F.when(F.col("image").isNotNull(), new).otherwise(F.col("old"))
-    return (
-        joined.filter("old is not null or image is not null")
-        .select(
-            row.alias("row"),
-            (
-                F.coalesce("is_deleted", F.lit(False)) | F.coalesce("deleted", F.lit(False))
-            ).alias("is_deleted"),
-        )
-        .select("row.*", "is_deleted")
+    has_image = F.col("image").isNotNull()
+    created = F.when(F.col("in_target"), F.lit(0)).otherwise(F.col("first_image"))
+
+    def value(column: str) -> Column:
+        return F.when(has_image, F.col("image")[column]).otherwise(F.col(column)).alias(column)
+
+    return joined.filter(F.col("in_target") | has_image).select(
+        key,
+        *[value(c) for c in table.columns[1:]],
+        (
+            F.coalesce("is_deleted", F.lit(False))
+            | F.coalesce(F.col("last_delete") >= created, F.lit(False))
+        ).alias("is_deleted"),
     )
 
 
+def apply_history(
+    target: DataFrame, history: DataFrame, table: TableConfig, history_bytes: int | None = None
+) -> DataFrame:
+    """Target after all batches of a history with a ``batch_no`` column.
+
+    ``history_bytes`` is the measured size of the history; net changes are never
+    larger, so it decides whether they may be broadcast.
+    """
+    return merge(target, net_changes(history, table), table, history_bytes)
+
+
+def apply_batch(
+    target: DataFrame, batch: DataFrame, table: TableConfig, batch_bytes: int | None = None
+) -> DataFrame:
+    """Target after one batch: upsert of the latest images, then soft delete."""
+    return apply_history(target, batch.withColumn("batch_no", F.lit(1)), table, batch_bytes)
+
+
 def upsert(target: DataFrame, batch: DataFrame, table: TableConfig) -> DataFrame:
     """The upsert step alone."""
-    changes = net_changes(batch, table).withColumn("deleted", F.lit(False))
-    return merge_changes(target, changes, table)
+    return apply_batch(target, batch.filter(is_row_image()), table)
 
 
 def soft_delete(target: DataFrame, keys: DataFrame, table: TableConfig) -> DataFrame:
     """The delete step alone, for distinct keys."""
-    return (
-        target.join(keys.withColumn("deleted", F.lit(True)), table.key, "left")
-        .withColumn(
-            "is_deleted",
-            F.coalesce("is_deleted", F.lit(False)) | F.col("deleted").isNotNull(),
-        )
-        .select(*table.columns, "is_deleted")
+    marked = target.join(keys.withColumn("found", F.lit(True)), table.key, "left")
+    return marked.select(
+        *table.columns,
+        (F.coalesce("is_deleted", F.lit(False)) | F.col("found").isNotNull()).alias("is_deleted"),
     )

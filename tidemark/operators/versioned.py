@@ -2,9 +2,14 @@
 
 * a delete flags every version of its key, those of the same batch included;
 * versions appended by later batches start undeleted;
-* for each key seen in the batch, by any operation, exactly the versions dated
-  at the batch's highest version date of that key are current.  Ties give
-  several current versions, no match gives none.
+* for each key seen in a batch, by any operation, exactly the versions dated at
+  the batch's highest version date of that key are current.  Ties give several
+  current versions, no match gives none.
+
+So after any number of batches a version is deleted if its key was deleted in
+the version's batch or later, and only the last batch of a key decides what is
+current: one small per-key summary and one lookup.  ``batch_no`` counts from 1,
+target rows are batch 0.
 """
 
 from __future__ import annotations
@@ -17,67 +22,82 @@ from tidemark.operators.changes import is_delete, row_images
 from tidemark.operators.joins import left_lookup
 
 
-def append_versions(target: DataFrame, batch: DataFrame, table: TableConfig) -> DataFrame:
+def append_versions(
+    target: DataFrame, batch: DataFrame, table: TableConfig, *extra: str
+) -> DataFrame:
+    """All images of the batch as further rows, not only the latest of a key."""
     images = row_images(batch).select(
         *table.columns,
         F.lit(False).alias("is_deleted"),
         F.lit(False).alias("is_current"),
+        *extra,
     )
     return target.unionByName(images)
 
 
-def key_summary(batch: DataFrame, table: TableConfig) -> DataFrame:
-    """Per key of the batch: whether it was deleted, and its highest version date."""
-    return (
-        batch.filter(F.col(table.key).isNotNull())
-        .groupBy(table.key)
-        .agg(
-            F.max(is_delete()).alias("deleted"),
-            F.max(table.version_column).alias("newest"),
-        )
-        .withColumn("touched", F.lit(True))
+def key_summary(history: DataFrame, table: TableConfig) -> DataFrame:
+    """Per key: highest version date of its last batch, and last batch with a delete.
+
+    Two steps: the large one is a hash aggregate of plain columns with partial
+    sums before the shuffle, the second sees one row per key and batch.
+    """
+    per_batch = (
+        history.filter(F.col(table.key).isNotNull())
+        .groupBy(table.key, "batch_no")
+        .agg(F.max(table.version_column).alias("newest"), F.max(is_delete()).alias("deleted"))
+    )
+    return per_batch.groupBy(table.key).agg(
+        F.max(F.struct("batch_no", "newest"))["newest"].alias("newest"),
+        F.max(F.when(F.col("deleted"), F.col("batch_no"))).alias("last_delete"),
+        F.lit(True).alias("touched"),
     )
 
 
-def apply_batch(
-    target: DataFrame, batch: DataFrame, table: TableConfig, batch_bytes: int | None = None
+def apply_history(
+    target: DataFrame, history: DataFrame, table: TableConfig, history_bytes: int | None = None
 ) -> DataFrame:
-    """Target after one batch: append, soft delete, reset and set current.
+    """Target after all batches of a history with a ``batch_no`` column.
 
-    One lookup of the per-key summary sets both flags.  Keys repeat in the
-    target, so without a measured small batch the lookup is salted.
+    Keys repeat in the target, and one may hold a large part of it, so unless
+    the history is measured as small the lookup is the salted one.
     """
-    versions = append_versions(target, batch, table)
-    joined = left_lookup(versions, key_summary(batch, table), table.key, batch_bytes)
+    versions = append_versions(target.withColumn("batch_no", F.lit(0)), history, table, "batch_no")
+    joined = left_lookup(versions, key_summary(history, table), table.key, history_bytes)
+    is_newest = F.coalesce(F.col(table.version_column) == F.col("newest"), F.lit(False))
     return joined.select(
         *table.columns,
-        (F.coalesce("is_deleted", F.lit(False)) | F.coalesce("deleted", F.lit(False))).alias(
-            "is_deleted"
-        ),
-        F.when(
-            F.col("touched"),
-            F.coalesce(F.col(table.version_column) == F.col("newest"), F.lit(False)),
-        )
-        .otherwise(F.col("is_current"))
-        .alias("is_current"),
+        (
+            F.coalesce("is_deleted", F.lit(False))
+            | F.coalesce(F.col("last_delete") >= F.col("batch_no"), F.lit(False))
+        ).alias("is_deleted"),
+        F.when(F.col("touched"), is_newest).otherwise(F.col("is_current")).alias("is_current"),
     )
 
 
+def apply_batch(
+    target: DataFrame, batch: DataFrame, table: TableConfig, batch_bytes: int | None = None
+) -> DataFrame:
+    """Target after one batch: append, soft delete, reset and set current."""
+    return apply_history(target, batch.withColumn("batch_no", F.lit(1)), table, batch_bytes)
+
+
 def soft_delete(target: DataFrame, keys: DataFrame, table: TableConfig) -> DataFrame:
     """The delete step alone, on all versions of the given distinct keys."""
-    marked = keys.withColumn("deleted", F.lit(True))
-    return left_lookup(target, marked, table.key).select(
+    marked = left_lookup(target, keys.withColumn("found", F.lit(True)), table.key)
+    return marked.select(
         *table.columns,
-        (F.coalesce("is_deleted", F.lit(False)) | F.col("deleted").isNotNull()).alias(
-            "is_deleted"
-        ),
+        (F.coalesce("is_deleted", F.lit(False)) | F.col("found").isNotNull()).alias("is_deleted"),
         "is_current",
     )
 
 
+def _batch_summary(batch: DataFrame, table: TableConfig) -> DataFrame:
+    return key_summary(batch.withColumn("batch_no", F.lit(1)), table)
+
+
 def reset_current(target: DataFrame, batch: DataFrame, table: TableConfig) -> DataFrame:
     """Clear the current flag on every version of every key in the batch."""
-    touched = key_summary(batch, table).select(table.key, "touched")
+    touched = _batch_summary(batch, table).select(table.key, "touched")
     return left_lookup(target, touched, table.key).select(
         *table.columns,
         "is_deleted",
@@ -87,11 +107,10 @@ def reset_current(target: DataFrame, batch: DataFrame, table: TableConfig) -> Da
 
 def set_current(target: DataFrame, batch: DataFrame, table: TableConfig) -> DataFrame:
     """Set the current flag where a version has the batch's highest date of its key."""
-    newest = key_summary(batch, table).select(table.key, "newest")
+    newest = _batch_summary(batch, table).select(table.key, "newest")
+    is_newest = F.col(table.version_column) == F.col("newest")
     return left_lookup(target, newest, table.key).select(
         *table.columns,
         "is_deleted",
-        F.when(F.col(table.version_column) == F.col("newest"), F.lit(True))
-        .otherwise(F.col("is_current"))
-        .alias("is_current"),
+        F.when(is_newest, F.lit(True)).otherwise(F.col("is_current")).alias("is_current"),
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULT_WATERMARK
@@ -32,7 +32,8 @@ def lookup_watermarks(
     """Mark of each named table; a NULL mark or a missing row gives the default."""
     spark = registry.sparkSession
     wanted = spark.createDataFrame([(t,) for t in tables], "table_name string")
-    known = registry.filter(F.col("table_name").isin(tables))
+    # one row per configured table at most
+    known = F.broadcast(registry.filter(F.col("table_name").isin(tables)))
     return wanted.join(known, "table_name", "left").select(
         "table_name", _mark(F.col("last_update"), default, exact).alias("last_update")
     )
@@ -47,21 +48,24 @@ def watermark_of_stage(
 
 def batch_mark(batch: DataFrame) -> DataFrame:
     """Row count and newest commit time over all operations of the batch."""
-    return batch.agg(
-        F.count("*").alias("n_rows"), F.max("start_lsn").alias("last_update")
-    )
+    return batch.agg(F.count("*").alias("n_rows"), F.max("start_lsn").alias("last_update"))
 
 
 def advance_watermark(registry: DataFrame, batch: DataFrame, table_name: str) -> DataFrame:
-    """Registry after the batch; an empty batch leaves it as it is."""
+    """Registry after the batch; an empty batch leaves it as it is.
+
+    The new mark replaces the old one even if it is lower.  The batch is read once.
+    """
     new = (
         batch_mark(batch)
         .filter("n_rows > 0")
-        .select(F.lit(table_name).alias("table_name"), "last_update")
+        .select(F.lit(table_name).alias("table_name"), "last_update", F.lit(1).alias("age"))
+    )
+    return (
+        registry.withColumn("age", F.lit(0))
+        .unionByName(new)
+        .groupBy("table_name")
+        .agg(F.max_by("last_update", "age").alias("last_update"))
     )
-    # `new` is one row at most
-    return registry.join(F.broadcast(new), "table_name", "left_anti").unionByName(new)
 
 
-def empty_registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], REGISTRY_SCHEMA)

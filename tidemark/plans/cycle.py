@@ -54,9 +54,8 @@ def summarize(store: TargetStore, configs: list[TableConfig]) -> DataFrame:
         .agg(
             F.count("*").alias("n_rows"),
             F.count_if("is_deleted").alias("n_deleted"),
-            (F.count_if("is_current") if t.versioned else F.lit(None).cast("long")).alias(
-                "n_current"
-            ),
+            # a type-1 table holds nothing but current rows
+            (F.count_if("is_current") if t.versioned else F.count("*")).alias("n_current"),
         )
         .withColumn("table_name", F.lit(t.name))
         for t in configs

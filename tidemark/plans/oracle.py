@@ -248,14 +248,14 @@ def _cycle_parts() -> list[str]:
 
 
 def _cycle_summary(name: str) -> str:
-    current = "count_if(is_current)" if SALES_TABLES[name].versioned else "NULL"
+    current = "count_if(is_current)" if SALES_TABLES[name].versioned else "count(*)"
     return f"""SELECT '{name}' AS table_name, count(*) AS n_rows,
         count_if(is_deleted)::BIGINT AS n_deleted, {current}::BIGINT AS n_current,
         (SELECT max(start_lsn) FROM {name}_b2) AS last_update FROM {name}_2"""
 
 
 def _cycle_rows(name: str) -> str:
-    current = "is_current" if SALES_TABLES[name].versioned else "NULL::BOOLEAN AS is_current"
+    current = "is_current" if SALES_TABLES[name].versioned else "TRUE AS is_current"
     return f"""SELECT '{name}' AS table_name, row_key, label, modified_date, is_deleted,
         {current} FROM {name}_2"""
 

@@ -15,7 +15,7 @@ from tidemark.plans import feeds
 from tidemark.plans.cycle import run_cycle, summarize
 from tidemark.plans.feeds import CUSTOMER_BALANCE, REGION
 from tidemark.session import work_dir
-from tidemark.sinks.stage import append_poll, read_polls, replace_stage
+from tidemark.sinks.stage import append_poll, read_polls, read_stage, replace_stage
 from tidemark.sinks.targets import TargetStore
 from tidemark.sources.change_log import changes_after, project_changes, read_raw_changes
 from tidemark.sources.query import query_frame
@@ -23,7 +23,7 @@ from tidemark.streaming.poll import ALL_AVAILABLE, stream_apply, stream_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BUCKETS = 8  # of the small target tables written by these queries
+COMPACT_BATCHES = 2  # so that the few batches of these queries include compactions
 
 ADHOC_SQL = """
     SELECT segment, operation, count(*) AS n_changes,
@@ -152,8 +152,9 @@ def stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second load replaces the first."""
     feed, path = feeds.customer_ct(spark, sf_dir), work_dir(spark, "stage-replace")
-    replace_stage(spark, feeds.batch(feed, 1), path, CUSTOMER_BALANCE, BUCKETS)
-    return replace_stage(spark, _polled(feed), path, CUSTOMER_BALANCE, BUCKETS).rows
+    for batch in (feeds.batch(feed, 1), _polled(feed)):
+        replace_stage(batch, path, CUSTOMER_BALANCE)
+    return read_stage(spark, path, CUSTOMER_BALANCE)
 
 
 # -- type-1 apply -----------------------------------------------------------------
@@ -222,7 +223,7 @@ def replay_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _two_cycles(spark: SparkSession, sf_dir: str) -> TargetStore:
     """All six tables: one cycle over the first part of their logs, one over the rest."""
-    store = TargetStore(spark, work_dir(spark, "cycle"), BUCKETS)
+    store = TargetStore(spark, work_dir(spark, "cycle"), compact_batches=COMPACT_BATCHES)
     customer = SALES_TABLES["dim_customer"]
     empty = spark.createDataFrame([], customer.target_schema)
     store.seed(customer, empty, feeds.CUSTOMER_MARK)
@@ -247,7 +248,7 @@ def multi_table_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def rows(table: TableConfig) -> DataFrame:
         label = "region_name" if table.versioned else "rowguid"
-        current = F.col("is_current") if table.versioned else F.lit(None).cast("boolean")
+        current = F.col("is_current") if table.versioned else F.lit(True)
         return store.read(table).select(
             F.lit(table.name).alias("table_name"),
             F.col(table.key).alias("row_key"),
@@ -268,7 +269,7 @@ def _deliver_and_apply(
 ) -> DataFrame:
     """Four deliveries of files, and a run of the stream after each."""
     path = work_dir(spark, "stream-apply")
-    store = TargetStore(spark, f"{path}/target", BUCKETS)
+    store = TargetStore(spark, f"{path}/target", compact_batches=COMPACT_BATCHES)
     store.seed(table, seed)
     for number in range(1, len(feeds.BATCH_STARTS) + 2):
         delivery = feed.filter(feeds.batch_number(F.col("start_lsn")) == number)

@@ -5,39 +5,33 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_WATERMARK, TableConfig
-from tidemark.functions import key_bucket, row_bytes
+from tidemark.functions import row_bytes
 from tidemark.operators.watermark import watermark_of_stage
 from tidemark.sources.change_log import changes_after, require_keys
 
 
 @dataclass(frozen=True)
 class StagedBatch:
-    """A staged batch and what was measured while it was written."""
+    """Where a batch was staged, and what was measured while it was written."""
 
-    rows: DataFrame
+    path: str
     n_rows: int
     last_update: datetime | None
     size_bytes: int
-    touched_buckets: frozenset[int]
 
 
-def replace_stage(
-    spark: SparkSession, batch: DataFrame, path: str, table: TableConfig, buckets: int
-) -> StagedBatch:
-    """Replace the stage table with the batch.
+def replace_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatch:
+    """Replace what is staged at a path by the batch.
 
-    Apply reads the batch several times, so it is written once and read back.
-    Its row count, newest commit time, size and the key buckets it touches are
-    observed during that one write; the set holds at most ``buckets`` numbers.
+    Row count, newest commit time and size are observed during the write, so
+    the batch is read once.
     """
     seen = Observation()
-    bucket = key_bucket(F.col(table.key), buckets)
     (
         require_keys(batch, table)
         .observe(
@@ -45,20 +39,16 @@ def replace_stage(
             F.count(F.lit(1)).alias("n_rows"),
             F.max("start_lsn").alias("last_update"),
             F.sum(row_bytes(table.stage_schema)).alias("size_bytes"),
-            F.collect_set(bucket).alias("touched"),
         )
         .write.mode("overwrite")
         .parquet(path)
     )
     found = seen.get
-    return StagedBatch(
-        # the session of a streaming micro-batch runs without adaptive execution
-        rows=spark.read.schema(table.stage_schema).parquet(path),
-        n_rows=found["n_rows"],
-        last_update=found["last_update"],
-        size_bytes=found["size_bytes"] or 0,
-        touched_buckets=frozenset(found["touched"]),
-    )
+    return StagedBatch(path, found["n_rows"], found["last_update"], found["size_bytes"] or 0)
+
+
+def read_stage(spark: SparkSession, path: str, table: TableConfig) -> DataFrame:
+    return spark.read.schema(table.stage_schema).parquet(path)
 
 
 def append_poll(
@@ -87,9 +77,6 @@ def append_poll(
 
 def read_polls(spark: SparkSession, log_path: str, table: TableConfig) -> DataFrame:
     schema = T.StructType([*table.stage_schema.fields, T.StructField("poll", T.IntegerType())])
-    try:
-        return spark.read.schema(schema).parquet(log_path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    none = spark.createDataFrame([], schema)
+    none.write.mode("ignore").partitionBy("poll").parquet(log_path)
+    return spark.read.schema(schema).parquet(log_path)

@@ -1,156 +1,159 @@
-"""Target tables as parquet snapshots, split by key bucket.
-
-A batch rewrites only the buckets whose keys it touches:
-
-    data/<table>/batch_id=<n>/key_bucket=<b>/   bucket b as of batch n
-    commits/table_name=<table>/slot=<0|1>/      one row per commit
-
-The commit row names the batch that wrote each bucket and the new watermark, so
-rows and watermark become visible together, when that one file appears.  Commits
-alternate between two slots: the previous one stays in place until the next is
-written, and a job that dies in between leaves the table as it was.  There must
-be one writer per table.
+"""Target tables as a snapshot plus the batches applied since.
+
+    snapshots/<table>/batch_id=<n>/          all rows as of batch n
+    batches/<table>/batch_id=<n>/            the staged changes of batch n
+    commits/table_name=<table>/slot=<0|1>/   one row per commit
+
+Applying a batch writes the batch and a commit row, so a poll costs as much as
+its changes, not as much as the target.  Reading replays the batches over the
+snapshot as one join; while they are few they are broadcast and the snapshot is
+not shuffled.  Compaction writes the replayed rows as the next snapshot.
+
+The commit row holds the new watermark and names the snapshot and the batches
+that count, so rows and watermark become visible together, when that one file
+appears.  Commits alternate between two slots: the previous one stays in place
+until the next is written, and a job that dies in between leaves the table as it
+was.  Folders that no commit names are never read.  One writer per table.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
-from tidemark.functions import key_bucket
-from tidemark.operators import type1, versioned
-from tidemark.operators.watermark import empty_registry
-from tidemark.sinks.stage import StagedBatch, replace_stage
+from tidemark.functions import row_bytes
+from tidemark.operators.joins import BROADCAST_BYTES
+from tidemark.operators.replay import replay
+from tidemark.sinks.stage import replace_stage
 
 COMMIT_SCHEMA = (
-    "batch_id long, last_update timestamp_ntz, source string, source_batch long, "
-    "buckets int, parts map<int, long>"
+    "commit_id long, batch_id long, snapshot_id long, last_update timestamp_ntz, "
+    "source string, source_batch long, batches_bytes long, snapshot_bytes long"
 )
 
 
 @dataclass(frozen=True)
 class TableState:
-    batch_id: int = -1
+    commit_id: int = 0
+    batch_id: int = 0
+    snapshot_id: int | None = None
     last_update: datetime | None = None
     source: str | None = None
     source_batch: int | None = None
-    parts: dict[int, int] = field(default_factory=dict)
+    batches_bytes: int = 0
+    snapshot_bytes: int = 0
+
+    @property
+    def open_batches(self) -> range:
+        """Batches that are not part of the snapshot."""
+        return range((self.snapshot_id or 0) + 1, self.batch_id + 1)
 
 
 class TargetStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 256):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    """``compact_share`` and ``compact_batches`` say when a batch is followed by a
+    compaction: the open batches are too large to broadcast and hold that share
+    of the snapshot's size, or there are that many of them."""
 
-    # -- reading ---------------------------------------------------------
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        compact_share: float = 0.2,
+        compact_batches: int = 200,
+    ):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.compact_share, self.compact_batches = compact_share, compact_batches
+        self.commit_schema = f"{COMMIT_SCHEMA}, table_name string, slot int"
+        none = spark.createDataFrame([], self.commit_schema)
+        none.write.mode("ignore").partitionBy("table_name", "slot").parquet(
+            f"{self.root}/commits"
+        )
+
+    # -- commits ---------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
-        schema = f"{COMMIT_SCHEMA}, table_name string, slot int"
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+    def _commits(self) -> DataFrame:
+        return self.spark.read.schema(self.commit_schema).parquet(f"{self.root}/commits")
 
     def registry(self) -> DataFrame:
         """Watermark of every table: ``(table_name, last_update)``."""
-        commits = self._commits()
-        if commits is None:
-            return empty_registry(self.spark)
-        return commits.groupBy("table_name").agg(
-            F.max_by("last_update", "batch_id").alias("last_update")
+        return (
+            self._commits()
+            .groupBy("table_name")
+            .agg(F.max_by("last_update", "commit_id").alias("last_update"))
         )
 
     def state(self, table: TableConfig) -> TableState:
-        commits = self._commits()
-        if commits is None:
-            return TableState()
-        found = commits.filter(F.col("table_name") == table.name).collect()  # two slots
-        if not found:
-            return TableState()
-        last = max(found, key=lambda c: c["batch_id"])
-        if last["buckets"] != self.buckets:
-            raise ValueError(f"{table.name} was written with {last['buckets']} buckets")
-        return TableState(
-            last["batch_id"],
-            last["last_update"],
-            last["source"],
-            last["source_batch"],
-            dict(last["parts"]),
-        )
+        names = list(TableState.__dataclass_fields__)
+        commits = self._commits().filter(F.col("table_name") == table.name).select(*names)
+        states = [TableState(**row.asDict()) for row in commits.collect()]  # two slots
+        return max(states, key=lambda s: s.commit_id, default=TableState())
 
-    def read(
-        self, table: TableConfig, state: TableState | None = None, only: frozenset | None = None
-    ) -> DataFrame:
-        """The table's rows, or those of some buckets; the paths prune the scan."""
-        state = state or self.state(table)
-        base = f"{self.root}/data/{table.name}"
-        paths = [
-            f"{base}/batch_id={batch}/key_bucket={bucket}"
-            for bucket, batch in sorted(state.parts.items())
-            if only is None or bucket in only
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], table.target_schema)
+    def _commit(self, table: TableConfig, state: TableState) -> TableState:
+        state = replace(state, commit_id=state.commit_id + 1)
+        slot = f"{self.root}/commits/table_name={table.name}/slot={state.commit_id % 2}"
+        row = self.spark.createDataFrame([tuple(asdict(state).values())], COMMIT_SCHEMA)
+        row.coalesce(1).write.mode("overwrite").parquet(slot)
+        return state
+
+    # -- rows ------------------------------------------------------------
+
+    def _snapshot_path(self, table: TableConfig, batch_id: int) -> str:
+        return f"{self.root}/snapshots/{table.name}/batch_id={batch_id}"
+
+    def _batch_path(self, table: TableConfig, batch_id: int) -> str:
+        return f"{self.root}/batches/{table.name}/batch_id={batch_id}"
+
+    def _read_batches(self, table: TableConfig, batch_ids: range) -> DataFrame:
+        base = f"{self.root}/batches/{table.name}"
         return (
-            self.spark.read.schema(table.target_schema)
-            .parquet(*paths)
-            .select(*table.target_schema.fieldNames())
+            self.spark.read.schema(table.stage_schema)
+            .option("basePath", base)
+            .parquet(*[self._batch_path(table, n) for n in batch_ids])
+            .withColumnRenamed("batch_id", "batch_no")
         )
 
-    # -- writing ---------------------------------------------------------
-
-    def _write_rows(self, rows: DataFrame, table: TableConfig, batch_id: int) -> dict[int, int]:
-        """Write rows under a batch id; returns the buckets that got any.
+    def read(self, table: TableConfig, state: TableState | None = None) -> DataFrame:
+        """The table's rows after all committed batches."""
+        state = state or self.state(table)
+        if state.snapshot_id is None:
+            rows = self.spark.createDataFrame([], table.target_schema)
+        else:
+            rows = self.spark.read.schema(table.target_schema).parquet(
+                self._snapshot_path(table, state.snapshot_id)
+            )
+        if not state.open_batches:
+            return rows
+        history = self._read_batches(table, state.open_batches)
+        return replay(rows, history, table, state.batches_bytes)
 
-        Rebalancing by bucket gives few, even files: adaptive execution splits a
-        hot bucket over several tasks and joins small ones.
-        """
+    def _write_snapshot(self, rows: DataFrame, table: TableConfig, batch_id: int) -> int:
+        """Write a snapshot in even files; returns its estimated size."""
         seen = Observation()
         (
             rows.select(*table.target_schema.fieldNames())
-            .withColumn("key_bucket", key_bucket(F.col(table.key), self.buckets))
-            .hint("rebalance", "key_bucket")
-            .observe(seen, F.collect_set("key_bucket").alias("written"))
+            .hint("rebalance")
+            .observe(seen, F.sum(row_bytes(table.target_schema)).alias("size_bytes"))
             .write.mode("overwrite")
-            .partitionBy("key_bucket")
-            .parquet(f"{self.root}/data/{table.name}/batch_id={batch_id}")
-        )
-        return {bucket: batch_id for bucket in seen.get["written"]}
-
-    def _commit(self, table: TableConfig, state: TableState) -> None:
-        row = (
-            state.batch_id,
-            state.last_update,
-            state.source,
-            state.source_batch,
-            self.buckets,
-            state.parts,
-        )
-        (
-            self.spark.createDataFrame([row], COMMIT_SCHEMA)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(
-                f"{self.root}/commits/table_name={table.name}/slot={state.batch_id % 2}"
-            )
+            .parquet(self._snapshot_path(table, batch_id))
         )
+        return seen.get["size_bytes"] or 0
+
+    # -- operations ------------------------------------------------------
 
     def seed(
         self, table: TableConfig, rows: DataFrame, last_update: datetime | None = None
     ) -> None:
         """First content of a table."""
-        parts = self._write_rows(rows, table, 0)
-        self._commit(table, TableState(0, last_update, parts=parts))
-
-    def stage(self, table: TableConfig, batch: DataFrame) -> StagedBatch:
-        path = f"{self.root}/stage/{table.name}"
-        return replace_stage(self.spark, batch, path, table, self.buckets)
+        if self.state(table).commit_id:
+            raise ValueError(f"{table.name} already has content")
+        size = self._write_snapshot(rows, table, 0)
+        self._commit(
+            table, TableState(snapshot_id=0, last_update=last_update, snapshot_bytes=size)
+        )
 
     def apply(
         self,
@@ -159,27 +162,49 @@ class TargetStore:
         source: str | None = None,
         source_batch: int | None = None,
     ) -> int:
-        """Stage a batch and apply it to the table; returns the number of staged rows.
+        """Add a batch to the table; returns the number of its rows.
 
-        A batch that a source delivers a second time, after its commit, is
-        skipped.  A batch that died before its commit starts over from the last
-        committed state.  An empty batch changes neither rows nor watermark.
+        A batch that a source delivers again after its commit is skipped.  A
+        batch that died before its commit starts over under the same number and
+        replaces what was left.  An empty batch changes neither rows nor mark.
         """
         state = self.state(table)
         if source is not None and source == state.source and source_batch <= state.source_batch:
             return 0
-        staged = self.stage(table, batch)
+        batch_id = state.batch_id + 1
+        staged = replace_stage(batch, self._batch_path(table, batch_id), table)
         if staged.n_rows == 0:
             return 0
-        step = versioned.apply_batch if table.versioned else type1.apply_batch
-        old = self.read(table, state, only=staged.touched_buckets)
-        batch_id = state.batch_id + 1
-        new = step(old, staged.rows, table, staged.size_bytes)
-        untouched = {
-            b: n for b, n in state.parts.items() if b not in staged.touched_buckets
-        }
-        parts = untouched | self._write_rows(new, table, batch_id)
-        self._commit(
-            table, TableState(batch_id, staged.last_update, source, source_batch, parts)
+        state = self._commit(
+            table,
+            replace(
+                state,
+                batch_id=batch_id,
+                last_update=staged.last_update,
+                source=source,
+                source_batch=source_batch,
+                batches_bytes=state.batches_bytes + staged.size_bytes,
+            ),
         )
+        if self._compaction_due(state):
+            self.compact(table)
         return staged.n_rows
+
+    def _compaction_due(self, state: TableState) -> bool:
+        large = state.batches_bytes > max(
+            BROADCAST_BYTES, self.compact_share * state.snapshot_bytes
+        )
+        return large or len(state.open_batches) >= self.compact_batches
+
+    def compact(self, table: TableConfig) -> None:
+        """Write the current rows as a new snapshot; changes no row."""
+        state = self.state(table)
+        if not state.open_batches:
+            return
+        size = self._write_snapshot(self.read(table, state), table, state.batch_id)
+        self._commit(
+            table,
+            replace(
+                state, snapshot_id=state.batch_id, batches_bytes=0, snapshot_bytes=size
+            ),
+        )
