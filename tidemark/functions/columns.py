@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -17,9 +19,17 @@ def sequence_hex(binary: Column) -> Column:
 def commit_time_ms(ts: Column) -> Column:
     """Commit time cut (not rounded) to milliseconds.
 
-    ``date_trunc`` returns a zoned timestamp, so the cast back is needed.
+    ``date_trunc`` would go through the session time zone; taking off the part
+    below a millisecond does not.
     """
-    return F.date_trunc("millisecond", ts).cast(T.TimestampNTZType())
+    below_ms = F.extract(F.lit("SECOND"), ts) % F.lit(Decimal("0.001"))
+    zero = F.lit(0)
+    return ts - F.make_dt_interval(zero, zero, zero, below_ms)
+
+
+def ntz(value: datetime) -> Column:
+    """A zone-less timestamp literal, whatever the time zone of driver and session."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def row_bytes(schema: T.StructType) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 # A side is broadcast only when its measured size is below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -18,6 +20,19 @@ def fits_broadcast(measured_bytes: int | None) -> bool:
     return measured_bytes is not None and measured_bytes <= BROADCAST_BYTES
 
 
+def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """Keys, NULL included, with more rows than a task should hold, and over how
+    many salts to spread them.  Counts are reduced before the shuffle and only
+    the key column is read; the few rows found are written once, so that all
+    uses agree."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar()
+    share = F.greatest(F.lit(rows_per_task), F.ceil(total / MAX_HOT_KEYS))
+    salts = F.ceil(F.col("n") / F.col("share")).cast("long").alias("salts")
+    hot = counts.withColumn("share", share).filter("n > share").select(key, salts)
+    return cut_lineage(hot)
+
+
 def left_lookup(
     left: DataFrame,
     right: DataFrame,
@@ -28,23 +43,19 @@ def left_lookup(
     """Left join to a side that holds each key once.
 
     With a measured small right side this is a broadcast join and the left side
-    is not shuffled.  Otherwise both sides are shuffled on (key, salt): a hot
-    key's left rows are spread over as many salts as they fill tasks and its one
-    right row is repeated once per salt; other keys have one salt.  NULL keys
-    match nothing and are spread freely.  The salt is a hash of the row, not a
-    random number, so a recomputed task sends each row to the same place.
+    is not shuffled.  Otherwise hot keys are looked for first.  Without any, it
+    is a plain join.  With some, both sides are shuffled on (key, salt): a hot
+    key's left rows are spread over its salts and its one right row is repeated
+    once per salt; other keys have one salt; NULL keys match nothing and are
+    spread freely.  The salt is a hash of the row, not a random number, so a
+    recomputed task sends each row to the same place.
     """
     if fits_broadcast(right_bytes):
         return left.join(F.broadcast(right), key, "left")
+    hot = hot_keys(left, key, rows_per_task)
+    if hot.isEmpty():
+        return left.join(right, key, "left")
 
-    counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar()
-    share = F.greatest(F.lit(rows_per_task), F.ceil(total / MAX_HOT_KEYS))
-    hot = (
-        counts.withColumn("share", share)
-        .filter("n > share")
-        .select(key, F.ceil(F.col("n") / F.col("share")).cast("long").alias("salts"))
-    )
     salts = F.coalesce("salts", F.lit(1))
     row_hash = F.xxhash64(*left.columns)
     salted_left = left.join(F.broadcast(hot), key, "left").withColumn(
@@ -53,4 +64,8 @@ def left_lookup(
     salted_right = right.join(F.broadcast(hot), key, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
     )
-    return salted_left.drop("salts").join(salted_right.drop("salts"), [key, "salt"], "left").drop("salt")
+    return (
+        salted_left.drop("salts")
+        .join(salted_right.drop("salts"), [key, "salt"], "left")
+        .drop("salt")
+    )

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 
 from tidemark.config import TableConfig
 from tidemark.operators import type1, versioned
+from tidemark.session import cut_lineage
 
 
 def apply_batches(target: DataFrame, batches: list[DataFrame], table: TableConfig) -> DataFrame:
+    """One batch after the other; each result is written before it is used."""
     step = versioned.apply_batch if table.versioned else type1.apply_batch
-    return reduce(lambda rows, batch: step(rows, batch, table), batches, target)
+    return reduce(lambda rows, batch: cut_lineage(step(rows, batch, table)), batches, target)
 
 
 def replay(

@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULT_WATERMARK
-from tidemark.functions import commit_time_ms
+from tidemark.functions import commit_time_ms, ntz
 
 REGISTRY_SCHEMA = "table_name string, last_update timestamp_ntz"
 
 
 def _mark(ts: Column, default: datetime, exact: bool) -> Column:
-    mark = F.coalesce(ts, F.lit(default).cast("timestamp_ntz"))
+    mark = F.coalesce(ts, ntz(default))
     return mark if exact else commit_time_ms(mark)
 
 

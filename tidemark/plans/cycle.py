@@ -31,13 +31,13 @@ def run_cycle(
     configs = {name: tables[name] if tables else table_config(name) for name in logs}
     for name, log in logs.items():
         check_schema(log, configs[name])
-    marks = {
-        r["table_name"]: r["last_update"]
-        for r in lookup_watermarks(store.registry(), list(logs), default, exact).collect()
-    }  # one row per configured table
+    names = [config.name for config in configs.values()]
+    found = lookup_watermarks(store.registry(), names, default, exact)
+    marks = {r["table_name"]: r["last_update"] for r in found.collect()}  # one per table
 
     def poll(name: str) -> int:
-        return store.apply(configs[name], changes_after(logs[name], marks[name]))
+        config = configs[name]
+        return store.apply(config, changes_after(logs[name], marks[config.name]))
 
     with ThreadPoolExecutor(max_workers=max(1, len(logs))) as pool:
         jobs = {

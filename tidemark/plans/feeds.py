@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import BEFORE_IMAGE, SALES_TABLES, TableConfig, define_table
+from tidemark.functions import ntz
 
 # Fixed values of the fixtures.
 FEED_START = datetime(2023, 12, 31)
@@ -39,10 +40,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ntz(value: datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
-
-
 def batch_number(ts: Column) -> Column:
     first, second, third = (ntz(t) for t in BATCH_STARTS)
     return F.when(ts < first, 1).when(ts < second, 2).when(ts < third, 3).otherwise(4)
@@ -53,7 +50,8 @@ def _hex(number: Column, digits: int) -> Column:
 
 
 def _with_before_images(operation: Column) -> Column:
-    return F.explode(F.when(operation == 4, F.array(F.lit(3), F.lit(4))).otherwise(F.array(operation)))
+    both = F.array(F.lit(3), F.lit(4))
+    return F.explode(F.when(operation == 4, both).otherwise(F.array(operation)))
 
 
 def _changes(df: DataFrame, ts: Column, table: TableConfig, **columns: Column) -> DataFrame:
@@ -120,7 +118,7 @@ def region_ct(spark: SparkSession, sf_dir: str) -> DataFrame:
         REGION,
         region_id=F.col("user_id") % 50,
         region_name=F.col("event_type"),
-        modified_date=F.date_trunc("day", "ts"),
+        modified_date=F.col("ts").cast("date"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import SALES_TABLES, TableConfig
-from tidemark.functions import commit_time_ms, sequence_hex
+from tidemark.functions import commit_time_ms, ntz, sequence_hex
 from tidemark.operators import changes, replay, type1, versioned, watermark
 from tidemark.plans import feeds
 from tidemark.plans.cycle import run_cycle, summarize
@@ -67,7 +67,7 @@ def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers, regions = feeds.customer_ct(spark, sf_dir), feeds.region_ct(spark, sf_dir)
     polls = [
         ("dim_customer", _polled(customers)),
-        ("dim_region", regions.filter(F.col("start_lsn") < feeds.ntz(feeds.FEED_START))),
+        ("dim_region", regions.filter(F.col("start_lsn") < ntz(feeds.FEED_START))),
         ("dim_address", _polled(regions)),
     ]
     return reduce(
@@ -144,7 +144,7 @@ def stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = feeds.customer_ct(spark, sf_dir)
     path = work_dir(spark, "stage-append")
     for poll, end in enumerate([*feeds.BATCH_STARTS, None], start=1):
-        log = feed if end is None else feed.filter(F.col("start_lsn") < feeds.ntz(end))
+        log = feed if end is None else feed.filter(F.col("start_lsn") < ntz(end))
         append_poll(spark, path, log, CUSTOMER_BALANCE, poll, feeds.FEED_START)
     return read_polls(spark, path, CUSTOMER_BALANCE).drop("poll")
 
@@ -230,7 +230,7 @@ def _two_cycles(spark: SparkSession, sf_dir: str) -> TargetStore:
     store.seed(REGION, feeds.region_seed(spark, sf_dir))
     logs = {name: feed(spark, sf_dir) for name, feed in feeds.SALES_FEEDS.items()}
     first = {
-        name: log.filter(F.col("start_lsn") < feeds.ntz(feeds.FIRST_CYCLE_ENDS[name]))
+        name: log.filter(F.col("start_lsn") < ntz(feeds.FIRST_CYCLE_ENDS[name]))
         for name, log in logs.items()
     }
     for available in (first, logs):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,3 +35,11 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"tidemark-{purpose}-")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute the frame once, into the shared checkpoint folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_dir(spark, "checkpoint"))
+    return df.checkpoint()

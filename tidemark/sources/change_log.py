@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import BEFORE_IMAGE, CHANGE_COLUMNS, TableConfig, source_column
-from tidemark.functions import sequence_hex
+from tidemark.functions import ntz, sequence_hex
+from tidemark.operators.changes import is_row_image
 from tidemark.operators.joins import left_lookup
 
 
@@ -59,13 +60,31 @@ def read_raw_changes(raw: DataFrame, lsn_times: DataFrame, table: TableConfig) -
     return project_changes(timed, table)
 
 
-def position_after(lsn_times: DataFrame, watermark: Column) -> DataFrame:
-    """Highest log position at or before a mark.
+def _mark(watermark: datetime | Column) -> Column:
+    return watermark if isinstance(watermark, Column) else ntz(watermark)
 
-    Positions rise with commit time, so ``position > this`` prunes the raw log
-    at the scan, before any position is mapped to a time.
+
+def raw_changes_after(
+    raw: DataFrame,
+    lsn_times: DataFrame,
+    table: TableConfig,
+    watermark: datetime | Column,
+    before_images: bool = False,
+) -> DataFrame:
+    """Changes of a raw change table committed strictly after the mark.
+
+    Log positions rise with commit time.  So the mark is translated once into
+    the last position it covers, and that position prunes both the raw table and
+    the positions to look up.  An end position is never before its start.
     """
-    return lsn_times.filter(F.col("commit_time") <= watermark).agg(F.max("lsn").alias("lsn"))
+    covered = (
+        lsn_times.filter(F.col("commit_time") <= _mark(watermark))
+        .agg(F.coalesce(F.max("lsn"), F.lit(b"")).alias("lsn"))
+        .scalar()
+    )
+    newer = raw.filter(F.col("__$start_lsn") > covered)
+    times = lsn_times.filter(F.col("lsn") > covered)
+    return changes_after(read_raw_changes(newer, times, table), watermark, before_images)
 
 
 def changes_after(
@@ -77,14 +96,12 @@ def changes_after(
     """Changes committed strictly after the mark, by default without before-images.
 
     Both filters reach the parquet scan.  For a log partitioned by commit date,
-    name that column and older partitions are not even listed.
+    name that column and older partitions are not read at all.
     """
-    mark = watermark if isinstance(watermark, Column) else F.lit(watermark)
-    mark = mark.cast("timestamp_ntz")
-    changes = log
+    mark = _mark(watermark)
+    changes = log.filter(F.col("start_lsn") > mark)
     if date_partition:
         changes = changes.filter(F.col(date_partition) >= mark.cast("date"))
-    changes = changes.filter(F.col("start_lsn") > mark)
     if not before_images:
         changes = changes.filter(F.col("operation") != BEFORE_IMAGE)
     return changes
@@ -92,7 +109,7 @@ def changes_after(
 
 def require_keys(batch: DataFrame, table: TableConfig) -> DataFrame:
     """Stop the batch if an image to be stored has no key."""
-    missing = F.col(table.key).isNull() & F.col("operation").isin(2, 4)
+    missing = F.col(table.key).isNull() & is_row_image()
     checked = F.when(
         missing, F.raise_error(F.lit(f"{table.name}: image without {table.key}"))
     ).otherwise(F.col(table.key))

@@ -7,6 +7,7 @@ Address and credentials come from the Spark configuration
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
 
@@ -47,6 +48,13 @@ def read_change_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def read_lsn_times(spark: SparkSession, name: str) -> DataFrame:
+    """The source's own table of log positions and commit times."""
+    options = connection(spark, name) | read_options("cdc.lsn_time_mapping")
+    times = spark.read.format("jdbc").options(**options).load()
+    return times.select(F.col("start_lsn").alias("lsn"), F.col("tran_end_time").alias("commit_time"))
+
+
 def read_query(spark: SparkSession, name: str, sql: str) -> DataFrame:
     """Ad-hoc SQL, run by the database itself."""
     return (
