@@ -1,5 +1,7 @@
 """Physical plans: what is pushed down, reduced before a shuffle, or not shuffled."""
 
+from datetime import timedelta
+
 import pytest
 from model import ACCOUNT, DAY, PLACE, change, frame, target
 
@@ -38,6 +40,18 @@ def test_scan_pushes_filters_and_prunes_columns(stored):
     assert "note" not in read and "seqval" not in read
 
 
+def test_scan_of_a_dated_log_skips_older_dates(spark, tmp_path):
+    log = frame(
+        spark, ACCOUNT, [change(n, 2, n, at=DAY + timedelta(days=n)) for n in range(6)]
+    )
+    dated = log.withColumn("commit_date", log["start_lsn"].cast("date"))
+    dated.write.partitionBy("commit_date").parquet(f"{tmp_path}/log")
+    log, mark = spark.read.parquet(f"{tmp_path}/log"), DAY + timedelta(days=3)
+    found = changes_after(log, mark, date_partition="commit_date")
+    assert sorted(r["account_id"] for r in found.collect()) == [4, 5]
+    assert "PartitionFilters: [isnotnull(commit_date" in plan(found)
+
+
 def test_latest_image_is_limited_before_the_shuffle(stored):
     text = plan(changes.latest_images(stored["log"], ACCOUNT))
     assert text.count("WindowGroupLimit") == 2

@@ -87,8 +87,11 @@ def test_connection_comes_from_the_configuration(spark):
     }
 
 
-def test_read_options():
-    options = jdbc.read_options("cdc.t", None)
-    assert options["dbtable"] == "cdc.t" and options["preferTimestampNTZ"] == "true"
-    with pytest.raises(ValueError, match="numPartitions"):
-        jdbc.read_options("cdc.t", {"partitionColumn": "id"})
+def test_predicates_of_a_poll():
+    mark = DAY + timedelta(microseconds=1999)
+    assert jdbc.position_query(mark).endswith("tran_end_time <= '2024-03-01 00:00:00.001'")
+    assert jdbc.newer_than("p", None, []) == ["p > 0x00"]
+    assert jdbc.newer_than("p", bytes([1, 255]), ["k < 5", "k >= 5"]) == [
+        "p > 0x01ff AND (k < 5)",
+        "p > 0x01ff AND (k >= 5)",
+    ]

@@ -7,7 +7,7 @@ from model import ACCOUNT, DAY, PLACE, change, frame, rows_of, target
 
 from tidemark.plans.cycle import run_cycle
 from tidemark.sinks.stage import replace_stage
-from tidemark.sinks.targets import TargetStore
+from tidemark.sinks.targets import SLOTS, TargetStore
 
 EARLY = datetime(2000, 1, 1)
 
@@ -87,7 +87,7 @@ def test_the_previous_commit_survives_a_broken_one(spark, store, tmp_path):
         store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(n, 2, n, "x")]))
     state = store.state(ACCOUNT)
     slots = tmp_path / "commits" / f"table_name={ACCOUNT.name}"
-    newest = slots / f"slot={state.commit_id % 2}"
+    newest = slots / f"slot={state.commit_id % SLOTS}"
     for part in newest.glob("*.parquet"):  # as if the overwrite had stopped half-way
         part.unlink()
     for part in newest.glob(".*.crc"):
@@ -96,6 +96,15 @@ def test_the_previous_commit_survives_a_broken_one(spark, store, tmp_path):
     assert rows_of(store.read(ACCOUNT)) == [(1, "x", 0, False)]
 
 
+def test_commits_go_round_the_slots(spark, store, tmp_path):
+    for n in range(1, SLOTS + 3):
+        store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(n, 2, n, "x")]))
+    state = store.state(ACCOUNT)
+    assert (state.commit_id, state.batch_id) == (SLOTS + 2, SLOTS + 2)
+    assert mark(store, ACCOUNT) == DAY + timedelta(seconds=SLOTS + 2)
+    assert store.read(ACCOUNT).count() == SLOTS + 2
+
+
 def test_an_image_without_key_stops_the_batch(spark, store):
     with pytest.raises(Exception, match="image without account_id"):
         store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(1, 2, None, "x")]))
@@ -154,3 +163,16 @@ def test_a_log_of_the_wrong_shape_stops_the_cycle_before_any_write(spark, store)
     with pytest.raises(KeyError, match="unknown table"):
         run_cycle(store, {"dim_unknown": log}, default=EARLY)
     assert store.state(ACCOUNT).commit_id == 0
+
+
+def test_a_log_may_be_a_function_of_the_mark(spark, store):
+    marks = []
+
+    def log(mark):
+        marks.append(mark)
+        return frame(spark, ACCOUNT, [change(len(marks), 2, len(marks), "x")])
+
+    for _ in range(2):
+        run_cycle(store, {"a": log}, {"a": ACCOUNT}, default=EARLY)
+    assert marks == [EARLY, DAY + timedelta(seconds=1)]
+    assert store.read(ACCOUNT).count() == 2

@@ -7,7 +7,7 @@ from model import ACCOUNT, DAY, PLACE, change, frame, rows_of
 
 from tidemark.operators.replay import apply_batches
 from tidemark.sinks.targets import TargetStore
-from tidemark.streaming.poll import ALL_AVAILABLE, stream_apply, stream_stage
+from tidemark.streaming.poll import ALL_AVAILABLE, stream_apply, stream_stage, stream_tables
 
 DELIVERIES = [
     [change(1, 2, 1, "a", 1), change(2, 3, 1, "before", 9), change(3, 4, 1, "b", 2)],
@@ -47,6 +47,22 @@ def test_stream_can_run_on_a_timer(spark, tmp_path):
     assert rows_of(store.read(ACCOUNT)) == [(1, "b", 2, False)]
 
 
+def test_several_tables_at_once(spark, tmp_path):
+    store = TargetStore(spark, f"{tmp_path}/target", compact_batches=1)
+    tables = [ACCOUNT, PLACE]
+    for rows in DELIVERIES:
+        for table in tables:
+            path = f"{tmp_path}/landing/{table.name}"
+            frame(spark, table, rows).write.mode("append").parquet(path)
+        for query in stream_tables(
+            store, f"{tmp_path}/landing", tables, f"{tmp_path}/checkpoint", ALL_AVAILABLE
+        ):
+            query.awaitTermination()
+    assert {store.state(t).snapshot_id for t in tables} == {3}
+    assert store.read(PLACE).count() == 4
+    assert rows_of(store.read(ACCOUNT)) == [(1, "d", 0, True), (2, "c", 1, False)]
+
+
 def test_stage_stream_keeps_every_image(spark, tmp_path):
     landing, stage = f"{tmp_path}/landing", f"{tmp_path}/stage"
     for rows in DELIVERIES:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -16,9 +16,13 @@ from tidemark.sinks.targets import TargetStore
 from tidemark.sources.change_log import changes_after, check_schema
 
 
+# A change log in stage form, or a function that gives the changes after a mark.
+ChangeLog = DataFrame | Callable[[datetime], DataFrame]
+
+
 def run_cycle(
     store: TargetStore,
-    logs: Mapping[str, DataFrame],
+    logs: Mapping[str, ChangeLog],
     tables: Mapping[str, TableConfig] | None = None,
     default: datetime = DEFAULT_WATERMARK,
     exact: bool = False,
@@ -30,14 +34,17 @@ def run_cycle(
     """
     configs = {name: tables[name] if tables else table_config(name) for name in logs}
     for name, log in logs.items():
-        check_schema(log, configs[name])
+        if isinstance(log, DataFrame):
+            check_schema(log, configs[name])
     names = [config.name for config in configs.values()]
     found = lookup_watermarks(store.registry(), names, default, exact)
     marks = {r["table_name"]: r["last_update"] for r in found.collect()}  # one per table
 
     def poll(name: str) -> int:
-        config = configs[name]
-        return store.apply(config, changes_after(logs[name], marks[config.name]))
+        config, log = configs[name], logs[name]
+        mark = marks[config.name]
+        changes = changes_after(log, mark) if isinstance(log, DataFrame) else log(mark)
+        return store.apply(config, check_schema(changes, config))
 
     with ThreadPoolExecutor(max_workers=max(1, len(logs))) as pool:
         jobs = {

@@ -2,7 +2,7 @@
 
     snapshots/<table>/batch_id=<n>/          all rows as of batch n
     batches/<table>/batch_id=<n>/            the staged changes of batch n
-    commits/table_name=<table>/slot=<0|1>/   one row per commit
+    commits/table_name=<table>/slot=<s>/     one row per commit
 
 Applying a batch writes the batch and a commit row, so a poll costs as much as
 its changes, not as much as the target.  Reading replays the batches over the
@@ -11,9 +11,10 @@ not shuffled.  Compaction writes the replayed rows as the next snapshot.
 
 The commit row holds the new watermark and names the snapshot and the batches
 that count, so rows and watermark become visible together, when that one file
-appears.  Commits alternate between two slots: the previous one stays in place
-until the next is written, and a job that dies in between leaves the table as it
-was.  Folders that no commit names are never read.  One writer per table.
+appears.  Commits go round a few slots: earlier ones stay in place while the next
+is written, so a job that dies in between leaves the table as it was, and a
+reader always finds a whole commit.  Folders that no commit names are never
+read.  One writer per table.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
@@ -30,10 +31,23 @@ from tidemark.operators.joins import BROADCAST_BYTES
 from tidemark.operators.replay import replay
 from tidemark.sinks.stage import replace_stage
 
-COMMIT_SCHEMA = (
-    "commit_id long, batch_id long, snapshot_id long, last_update timestamp_ntz, "
-    "source string, source_batch long, batches_bytes long, snapshot_bytes long"
-)
+COMMIT_TYPES = {
+    "commit_id": "long",
+    "batch_id": "long",
+    "snapshot_id": "long",
+    "last_update": "timestamp_ntz",
+    "source": "string",
+    "source_batch": "long",
+    "batches_bytes": "long",
+    "snapshot_bytes": "long",
+}
+SLOTS = 16
+COMMIT_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in COMMIT_TYPES.items())
+
+
+def _literal(value: object, kind: str, name: str) -> Column:
+    text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
+    return F.lit(text).cast(kind).alias(name)
 
 
 @dataclass(frozen=True)
@@ -76,7 +90,12 @@ class TargetStore:
     # -- commits ---------------------------------------------------------
 
     def _commits(self) -> DataFrame:
-        return self.spark.read.schema(self.commit_schema).parquet(f"{self.root}/commits")
+        """A few rows per table; a slot may be replaced while it is being read."""
+        return (
+            self.spark.read.schema(self.commit_schema)
+            .option("ignoreMissingFiles", "true")
+            .parquet(f"{self.root}/commits")
+        )
 
     def registry(self) -> DataFrame:
         """Watermark of every table: ``(table_name, last_update)``."""
@@ -89,14 +108,16 @@ class TargetStore:
     def state(self, table: TableConfig) -> TableState:
         names = list(TableState.__dataclass_fields__)
         commits = self._commits().filter(F.col("table_name") == table.name).select(*names)
-        states = [TableState(**row.asDict()) for row in commits.collect()]  # two slots
+        states = [TableState(**row.asDict()) for row in commits.collect()]  # one per slot
         return max(states, key=lambda s: s.commit_id, default=TableState())
 
     def _commit(self, table: TableConfig, state: TableState) -> TableState:
         state = replace(state, commit_id=state.commit_id + 1)
-        slot = f"{self.root}/commits/table_name={table.name}/slot={state.commit_id % 2}"
-        row = self.spark.createDataFrame([tuple(asdict(state).values())], COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("overwrite").parquet(slot)
+        slot = f"{self.root}/commits/table_name={table.name}/slot={state.commit_id % SLOTS}"
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[_literal(value, COMMIT_TYPES[name], name) for name, value in asdict(state).items()]
+        )
+        row.write.mode("overwrite").parquet(slot)
         return state
 
     # -- rows ------------------------------------------------------------
@@ -131,11 +152,15 @@ class TargetStore:
         return replay(rows, history, table, state.batches_bytes)
 
     def _write_snapshot(self, rows: DataFrame, table: TableConfig, batch_id: int) -> int:
-        """Write a snapshot in even files; returns its estimated size."""
+        """Write a snapshot; returns its estimated size.
+
+        No shuffle is added: after a broadcast merge the files follow the scan's
+        splits, where the next scan packs small ones together, and after a
+        shuffled merge adaptive execution has sized the partitions.
+        """
         seen = Observation()
         (
             rows.select(*table.target_schema.fieldNames())
-            .hint("rebalance")
             .observe(seen, F.sum(row_bytes(table.target_schema)).alias("size_bytes"))
             .write.mode("overwrite")
             .parquet(self._snapshot_path(table, batch_id))
@@ -187,7 +212,7 @@ class TargetStore:
             ),
         )
         if self._compaction_due(state):
-            self.compact(table)
+            self.compact(table, state)
         return staged.n_rows
 
     def _compaction_due(self, state: TableState) -> bool:
@@ -196,9 +221,9 @@ class TargetStore:
         )
         return large or len(state.open_batches) >= self.compact_batches
 
-    def compact(self, table: TableConfig) -> None:
+    def compact(self, table: TableConfig, state: TableState | None = None) -> None:
         """Write the current rows as a new snapshot; changes no row."""
-        state = self.state(table)
+        state = state or self.state(table)
         if not state.open_batches:
             return
         size = self._write_snapshot(self.read(table, state), table, state.batch_id)

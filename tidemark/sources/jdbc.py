@@ -1,15 +1,22 @@
-"""JDBC options for live databases.
+"""Live databases over JDBC: change tables in, ad-hoc queries in, tables out.
 
 Address and credentials come from the Spark configuration
-(``spark.tidemark.<name>.url|user|password``), never from code.
+(``spark.tidemark.<name>.url|user|password|driver``), never from code.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
+from tidemark.sources.change_log import changes_after, read_raw_changes
+
+# The source's own table of log positions and commit times.
+LSN_TIMES, LSN, COMMIT_TIME = "cdc.lsn_time_mapping", "start_lsn", "tran_end_time"
 
 
 def connection(spark: SparkSession, name: str) -> dict[str, str]:
@@ -22,39 +29,6 @@ def connection(spark: SparkSession, name: str) -> dict[str, str]:
     return options
 
 
-def read_options(table: str, partitioning: dict[str, str] | None = None) -> dict[str, str]:
-    """Options of a whole-table read.
-
-    ``partitioning`` is partitionColumn, lowerBound, upperBound and
-    numPartitions; without it one task reads the table.
-    """
-    options = {"dbtable": table, "preferTimestampNTZ": "true", "fetchsize": "10000"}
-    needed = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"}
-    if partitioning:
-        if set(partitioning) != needed:
-            raise ValueError(f"partitioning needs exactly {sorted(needed)}")
-        options.update(partitioning)
-    return options
-
-
-def read_change_table(
-    spark: SparkSession,
-    name: str,
-    table: TableConfig,
-    partitioning: dict[str, str] | None = None,
-) -> DataFrame:
-    """The raw change table; filters on its own columns are pushed to the database."""
-    options = connection(spark, name) | read_options(table.change_table, partitioning)
-    return spark.read.format("jdbc").options(**options).load()
-
-
-def read_lsn_times(spark: SparkSession, name: str) -> DataFrame:
-    """The source's own table of log positions and commit times."""
-    options = connection(spark, name) | read_options("cdc.lsn_time_mapping")
-    times = spark.read.format("jdbc").options(**options).load()
-    return times.select(F.col("start_lsn").alias("lsn"), F.col("tran_end_time").alias("commit_time"))
-
-
 def read_query(spark: SparkSession, name: str, sql: str) -> DataFrame:
     """Ad-hoc SQL, run by the database itself."""
     return (
@@ -64,6 +38,52 @@ def read_query(spark: SparkSession, name: str, sql: str) -> DataFrame:
     )
 
 
+def read_table(
+    spark: SparkSession, name: str, table: str, predicates: list[str]
+) -> DataFrame:
+    """A table, one task per predicate; the database filters."""
+    options = connection(spark, name) | {"preferTimestampNTZ": "true", "fetchsize": "10000"}
+    return spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
+
+
+def position_query(mark: datetime) -> str:
+    """Last log position a mark covers; the source keeps times to the millisecond."""
+    text = mark.isoformat(sep=" ", timespec="milliseconds")
+    return f"SELECT max({LSN}) AS lsn FROM {LSN_TIMES} WHERE {COMMIT_TIME} <= '{text}'"
+
+
+def newer_than(column: str, position: bytes | None, slices: list[str]) -> list[str]:
+    """Predicates for rows after a position, one for each slice of the table."""
+    newer = f"{column} > 0x{position.hex() if position else '00'}"
+    return [f"{newer} AND ({part})" for part in slices] or [newer]
+
+
+def change_log(
+    spark: SparkSession, name: str, table: TableConfig, slices: list[str] | None = None
+) -> Callable[[datetime], DataFrame]:
+    """Change log for ``run_cycle``, read from the source database at each poll.
+
+    The mark is translated once into a log position, and the database sends
+    only rows after it.  ``slices`` are conditions that split a first load over
+    several tasks, such as key ranges; together they must cover every row.
+    """
+
+    def poll(mark: datetime) -> DataFrame:
+        position = read_query(spark, name, position_query(mark)).first()["lsn"]
+        raw = read_table(
+            spark,
+            name,
+            table.change_table,
+            newer_than("[__$start_lsn]", position, slices or []),
+        )
+        times = read_table(spark, name, LSN_TIMES, newer_than(LSN, position, [])).select(
+            F.col(LSN).alias("lsn"), F.col(COMMIT_TIME).alias("commit_time")
+        )
+        return changes_after(read_raw_changes(raw, times, table), mark)
+
+    return poll
+
+
 def write_table(df: DataFrame, name: str, table: str, replace: bool) -> None:
     """Append to a table, or empty it and load it anew, in parallel batches."""
     writer = df.write.format("jdbc").options(

@@ -7,6 +7,8 @@ batch and streaming runs of a table can take turns.  One query is one writer.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,6 +47,20 @@ def stream_apply(
     )
 
 
+def stream_tables(
+    store: TargetStore,
+    landing: str,
+    tables: Iterable[TableConfig],
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """One query per table, each with its own folder and its own progress."""
+    return [
+        stream_apply(store, f"{landing}/{t.name}", t, f"{checkpoint}/{t.name}", trigger)
+        for t in tables
+    ]
+
+
 def stream_stage(
     spark: SparkSession,
     landing: str,
