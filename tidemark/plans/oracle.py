@@ -281,6 +281,17 @@ _REPLAYED_REGIONS = _with(
 )
 _APPENDED = [REGION_CT, REGION_SEED, _append("app", "region_seed", "region_batches", _REGION)]
 
+_MAPPED = [
+    """raw AS (SELECT *, event_id * 2 + (event_type = 'error')::INTEGER AS position
+        FROM event_changes)""",
+    "lsn_times AS (SELECT event_id * 2 AS lsn, ts AS commit_time FROM events)",
+    """mapped AS (SELECT s.commit_time AS start_lsn, e.commit_time AS end_lsn, seqval,
+        operation, 1 AS command_id, k AS customer_id, event_type AS segment,
+        value AS balance, ts AS modified_date
+        FROM raw LEFT JOIN lsn_times s ON position = s.lsn
+        LEFT JOIN lsn_times e ON event_type = 'signup' AND position = e.lsn)""",
+]
+
 ORACLE_SQL: dict[str, str] = {
     "watermark_lookup": _with(
         CUSTOMER_CT,
@@ -322,17 +333,15 @@ ORACLE_SQL: dict[str, str] = {
         result="SELECT * FROM customer_ct WHERE start_lsn > TIMESTAMP '2023-12-31'",
     ),
     "adhoc_query": _with(CUSTOMER_CT, result=ADHOC_SQL.format(changes="customer_ct")),
-    "lsn_to_commit_time": _with(
-        EVENT_CHANGES,
-        """raw AS (SELECT *, event_id * 2 + (event_type = 'error')::INTEGER AS position,
-            FROM event_changes)""",
-        "lsn_times AS (SELECT event_id * 2 AS lsn, ts AS commit_time FROM events)",
-        result="""SELECT s.commit_time AS start_lsn, e.commit_time AS end_lsn, seqval,
-            operation, 1 AS command_id, k AS customer_id, event_type AS segment,
-            value AS balance, ts AS modified_date
-            FROM raw LEFT JOIN lsn_times s ON position = s.lsn
-            LEFT JOIN lsn_times e ON event_type = 'signup' AND position = e.lsn""",
+    "change_scan_raw": _with(
+        CUSTOMER_CT,
+        REGISTRY,
+        *_MAPPED,
+        result="""SELECT * FROM mapped WHERE operation <> 3 AND start_lsn > (
+            SELECT date_trunc('milliseconds', last_update) FROM registry
+            WHERE table_name = 'dim_customer')""",
     ),
+    "lsn_to_commit_time": _with(EVENT_CHANGES, *_MAPPED, result="SELECT * FROM mapped"),
     "seqval_hex": _with(
         EVENT_CHANGES, result="SELECT k AS customer_id, seqval FROM event_changes"
     ),
@@ -381,6 +390,7 @@ ORACLE_SQL: dict[str, str] = {
         *_type1_step("applied", "customer_seed", "customer_batches", _CUSTOMER),
         result="SELECT * FROM applied",
     ),
+    "successive_type1": _REPLAYED_CUSTOMERS,
     "replay_type1": _REPLAYED_CUSTOMERS,
     "versioned_append": _with(*_APPENDED, result="SELECT * FROM app"),
     "versioned_soft_delete": _with(
@@ -404,6 +414,7 @@ ORACLE_SQL: dict[str, str] = {
         *_versioned_step("applied", "region_seed", "region_batches", _REGION),
         result="SELECT * FROM applied",
     ),
+    "successive_versioned": _REPLAYED_REGIONS,
     "replay_versioned": _REPLAYED_REGIONS,
     "multi_table_cycle": _with(
         *_cycle_parts(), result=" UNION ALL ".join(map(_cycle_summary, SALES_FEEDS))

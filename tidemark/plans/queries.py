@@ -17,12 +17,18 @@ from tidemark.plans.feeds import CUSTOMER_BALANCE, REGION
 from tidemark.session import work_dir
 from tidemark.sinks.stage import append_poll, read_polls, read_stage, replace_stage
 from tidemark.sinks.targets import TargetStore
-from tidemark.sources.change_log import changes_after, project_changes, read_raw_changes
+from tidemark.sources.change_log import (
+    changes_after,
+    project_changes,
+    raw_changes_after,
+    read_raw_changes,
+)
 from tidemark.sources.query import query_frame
 from tidemark.streaming.poll import ALL_AVAILABLE, stream_apply, stream_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BATCH_NUMBERS = range(1, len(feeds.BATCH_STARTS) + 2)
 COMPACT_BATCHES = 2  # so that the few batches of these queries include compactions
 
 ADHOC_SQL = """
@@ -106,6 +112,17 @@ def lsn_to_commit_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def change_scan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental scan of a raw change table, mark and all."""
+    mark = watermark.lookup_watermarks(_registry(spark, sf_dir), ["dim_customer"])
+    return raw_changes_after(
+        feeds.raw_customer_ct(spark, sf_dir),
+        feeds.lsn_times(spark, sf_dir),
+        CUSTOMER_BALANCE,
+        mark.select("last_update").scalar(),
+    )
+
+
 def seqval_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.raw_customer_ct(spark, sf_dir).select(
         F.col("CustomerID").alias("customer_id"),
@@ -175,6 +192,12 @@ def apply_type1_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type1.apply_batch(feeds.customer_seed(spark, sf_dir), batch, CUSTOMER_BALANCE)
 
 
+def successive_type1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = feeds.customer_ct(spark, sf_dir)
+    batches = [feeds.batch(feed, n) for n in BATCH_NUMBERS]
+    return replay.apply_batches(feeds.customer_seed(spark, sf_dir), batches, CUSTOMER_BALANCE)
+
+
 def replay_type1(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = feeds.numbered(feeds.customer_ct(spark, sf_dir))
     return replay.replay(feeds.customer_seed(spark, sf_dir), history, CUSTOMER_BALANCE)
@@ -213,6 +236,12 @@ def apply_versioned_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versioned.apply_batch(*_regions(spark, sf_dir), REGION)
 
 
+def successive_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = feeds.region_ct(spark, sf_dir)
+    batches = [feeds.batch(feed, n) for n in BATCH_NUMBERS]
+    return replay.apply_batches(feeds.region_seed(spark, sf_dir), batches, REGION)
+
+
 def replay_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = feeds.numbered(feeds.region_ct(spark, sf_dir))
     return replay.replay(feeds.region_seed(spark, sf_dir), history, REGION)
@@ -271,7 +300,7 @@ def _deliver_and_apply(
     path = work_dir(spark, "stream-apply")
     store = TargetStore(spark, f"{path}/target", compact_batches=COMPACT_BATCHES)
     store.seed(table, seed)
-    for number in range(1, len(feeds.BATCH_STARTS) + 2):
+    for number in BATCH_NUMBERS:
         delivery = feed.filter(feeds.batch_number(F.col("start_lsn")) == number)
         delivery.write.mode("append").parquet(f"{path}/landing")
         stream_apply(
@@ -315,6 +344,7 @@ QUERIES: dict[str, Query] = {
         change_scan_incremental,
         change_scan_all_images,
         adhoc_query,
+        change_scan_raw,
         lsn_to_commit_time,
         seqval_hex,
         rename_project,
@@ -327,12 +357,14 @@ QUERIES: dict[str, Query] = {
         upsert_type1,
         soft_delete_type1,
         apply_type1_batch,
+        successive_type1,
         replay_type1,
         versioned_append,
         versioned_soft_delete,
         versioned_reset_current,
         versioned_set_current,
         apply_versioned_batch,
+        successive_versioned,
         replay_versioned,
         multi_table_cycle,
         multi_table_targets,
