@@ -52,8 +52,10 @@ def test_a_batch_delivered_twice_counts_once(spark, store):
     assert store.apply(PLACE, batch, source="s", source_batch=0) == 1
     assert store.apply(PLACE, batch, source="s", source_batch=0) == 0
     assert store.read(PLACE).count() == 1
+    assert store.apply(PLACE, batch) == 1  # in between, without a source
+    assert store.apply(PLACE, batch, source="s", source_batch=0) == 0
     assert store.apply(PLACE, batch, source="other", source_batch=0) == 1
-    assert store.read(PLACE).count() == 2
+    assert store.read(PLACE).count() == 3
 
 
 @pytest.mark.parametrize("table", [ACCOUNT, PLACE], ids=lambda t: t.name)
@@ -176,3 +178,14 @@ def test_a_log_may_be_a_function_of_the_mark(spark, store):
         run_cycle(store, {"a": log}, {"a": ACCOUNT}, default=EARLY)
     assert marks == [EARLY, DAY + timedelta(seconds=1)]
     assert store.read(ACCOUNT).count() == 2
+
+
+def test_a_failing_table_does_not_hold_up_the_others(spark, store):
+    logs = {
+        "a": frame(spark, ACCOUNT, [change(1, 2, None)]),
+        "p": frame(spark, PLACE, [change(1, 2, 1)]),
+    }
+    with pytest.raises(Exception, match="image without account_id"):
+        run_cycle(store, logs, {"a": ACCOUNT, "p": PLACE}, default=EARLY)
+    assert store.state(ACCOUNT).commit_id == 0
+    assert store.read(PLACE).count() == 1

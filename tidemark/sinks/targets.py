@@ -200,14 +200,14 @@ class TargetStore:
         staged = replace_stage(batch, self._batch_path(table, batch_id), table)
         if staged.n_rows == 0:
             return 0
+        if source is not None:
+            state = replace(state, source=source, source_batch=source_batch)
         state = self._commit(
             table,
             replace(
                 state,
                 batch_id=batch_id,
                 last_update=staged.last_update,
-                source=source,
-                source_batch=source_batch,
                 batches_bytes=state.batches_bytes + staged.size_bytes,
             ),
         )

@@ -1,8 +1,8 @@
 """Continuous polling with Structured Streaming.
 
 The checkpoint keeps track of what was read, so progress does not depend on the
-commit time and rows are never read twice.  The watermark is still recorded, so
-batch and streaming runs of a table can take turns.  One query is one writer.
+commit time and rows are never read twice.  The watermark is still recorded.
+One query is one writer: do not poll the same table in batch cycles meanwhile.
 """
 
 from __future__ import annotations
