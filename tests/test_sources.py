@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import SALES_TABLES, source_column, table_config
 from tidemark.sources import jdbc
-from tidemark.sources.change_log import check_schema, raw_changes_after
+from tidemark.sources.change_log import check_schema, raw_changes_after, read_raw_changes
 from tidemark.sources.query import query_frame
 
 
@@ -72,6 +72,16 @@ def test_raw_scan(spark, seconds, images, expected):
     assert [r["seqval"] for r in rows] == [f"0x00{n:02X}" for n in expected]
 
 
+def test_end_positions_are_looked_up_if_there_are_any(spark):
+    raw, times = raw_side(spark)
+    assert read_raw_changes(raw, times, ACCOUNT).filter("end_lsn is not null").isEmpty()
+    ended = raw.withColumn("__$end_lsn", F.when(F.col("AccountID") < 4, F.col("__$start_lsn")))
+    got = read_raw_changes(ended, times, ACCOUNT).orderBy("account_id").collect()
+    want = [DAY + timedelta(seconds=n) if n in (1, 2) else None for n in range(1, 6)]
+    assert [r["end_lsn"] for r in got] == want
+    assert [r["start_lsn"] for r in got][2:4] == [None, DAY + timedelta(seconds=4)]
+
+
 def test_adhoc_query(spark):
     assert query_frame(spark, "SELECT current_timestamp() AS now").count() == 1
     df = query_frame(spark, "SELECT max(note) AS m FROM {t}", t=frame(spark, ACCOUNT, []))

@@ -71,3 +71,21 @@ def test_stage_stream_keeps_every_image(spark, tmp_path):
             spark, landing, ACCOUNT, stage, f"{tmp_path}/checkpoint", ALL_AVAILABLE
         ).awaitTermination()
     assert spark.read.parquet(stage).count() == sum(map(len, DELIVERIES))
+
+
+def test_files_can_be_taken_one_by_one(spark, tmp_path):
+    store = TargetStore(spark, f"{tmp_path}/target")
+    landing = f"{tmp_path}/landing"
+    for n, rows in enumerate(DELIVERIES):
+        path = tmp_path / "landing" / f"delivery={n}"
+        frame(spark, ACCOUNT, rows).coalesce(1).write.parquet(str(path))
+    stream_apply(
+        store,
+        f"{landing}/*",
+        ACCOUNT,
+        f"{tmp_path}/checkpoint",
+        ALL_AVAILABLE,
+        maxFilesPerTrigger="1",
+    ).awaitTermination()
+    assert store.state(ACCOUNT).batch_id == len(DELIVERIES)
+    assert rows_of(store.read(ACCOUNT)) == [(1, "d", 0, True), (2, "c", 1, False)]

@@ -1,4 +1,4 @@
-"""Reference answers of the registered queries as plain SQL for DuckDB.
+"""Expected answers of the registered queries as plain SQL for DuckDB.
 
 Feeds are spelled out again here.  Successive batches are applied one after the
 other, step by step, while the Spark side mostly works in closed form.

@@ -119,7 +119,7 @@ def change_scan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         feeds.raw_customer_ct(spark, sf_dir),
         feeds.lsn_times(spark, sf_dir),
         CUSTOMER_BALANCE,
-        mark.select("last_update").scalar(),
+        mark.first()["last_update"],
     )
 
 

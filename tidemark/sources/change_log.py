@@ -31,8 +31,8 @@ def commit_times(raw: DataFrame, lsn_times: DataFrame, position: str, out: str)
 
     ``lsn_times(lsn, commit_time)`` holds each position once but grows with the
     log, so it is broadcast only if Spark sees that it is small.  One position
-    is one transaction: a bulk load puts very many rows on one position, and end
-    positions are mostly NULL, which is why the lookup is the salted one.
+    is one transaction, and a bulk load puts very many rows on one position:
+    hence the lookup that spreads hot keys.
     """
     times = lsn_times.select(F.col("lsn").alias(position), F.col("commit_time").alias(out))
     return left_lookup(raw, times, position)
@@ -54,36 +54,37 @@ def project_changes(raw: DataFrame, table: TableConfig) -> DataFrame:
 
 
 def read_raw_changes(raw: DataFrame, lsn_times: DataFrame, table: TableConfig) -> DataFrame:
-    """A raw change table in stage form, with log positions mapped to commit times."""
+    """A raw change table in stage form, with log positions mapped to commit times.
+
+    Sources usually leave the end position NULL throughout.  A look for the
+    first one that is not (file statistics mostly answer it) then saves the
+    second lookup, and with it a shuffle of all rows.
+    """
     timed = commit_times(raw, lsn_times, "__$start_lsn", "start_lsn")
-    timed = commit_times(timed, lsn_times, "__$end_lsn", "end_lsn")
+    if raw.filter(F.col("__$end_lsn").isNotNull()).isEmpty():
+        timed = timed.withColumn("end_lsn", F.lit(None).cast("timestamp_ntz"))
+    else:
+        timed = commit_times(timed, lsn_times, "__$end_lsn", "end_lsn")
     return project_changes(timed, table)
 
 
-def _mark(watermark: datetime | Column) -> Column:
-    return watermark if isinstance(watermark, Column) else ntz(watermark)
-
-
 def raw_changes_after(
     raw: DataFrame,
     lsn_times: DataFrame,
     table: TableConfig,
-    watermark: datetime | Column,
+    watermark: datetime,
     before_images: bool = False,
 ) -> DataFrame:
     """Changes of a raw change table committed strictly after the mark.
 
     Log positions rise with commit time.  So the mark is translated once into
-    the last position it covers, and that position prunes both the raw table and
-    the positions to look up.  An end position is never before its start.
+    the last position it covers, and that one value prunes both the raw table
+    and the positions to look up.  An end position is never before its start.
     """
-    covered = (
-        lsn_times.filter(F.col("commit_time") <= _mark(watermark))
-        .agg(F.coalesce(F.max("lsn"), F.lit(b"")).alias("lsn"))
-        .scalar()
-    )
-    newer = raw.filter(F.col("__$start_lsn") > covered)
-    times = lsn_times.filter(F.col("lsn") > covered)
+    covered = lsn_times.filter(F.col("commit_time") <= ntz(watermark)).agg(F.max("lsn")).first()[0]
+    position = F.lit(bytes(covered or b""))
+    newer = raw.filter(F.col("__$start_lsn") > position)
+    times = lsn_times.filter(F.col("lsn") > position)
     return changes_after(read_raw_changes(newer, times, table), watermark, before_images)
 
 
@@ -98,7 +99,7 @@ def changes_after(
     Both filters reach the parquet scan.  For a log partitioned by commit date,
     name that column and older partitions are not read at all.
     """
-    mark = _mark(watermark)
+    mark = watermark if isinstance(watermark, Column) else ntz(watermark)
     changes = log.filter(F.col("start_lsn") > mark)
     if date_partition:
         changes = changes.filter(F.col(date_partition) >= mark.cast("date"))

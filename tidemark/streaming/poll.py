@@ -20,9 +20,15 @@ EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
 ALL_AVAILABLE = {"availableNow": True}
 
 
-def change_stream(spark: SparkSession, landing: str, table: TableConfig) -> DataFrame:
-    """Changes from files landing in a folder; one trigger takes all new files."""
-    return spark.readStream.schema(table.stage_schema).parquet(landing)
+def change_stream(
+    spark: SparkSession, landing: str, table: TableConfig, **options: str
+) -> DataFrame:
+    """Changes from files landing in a folder.
+
+    One trigger takes all new files, unless ``maxFilesPerTrigger`` says
+    otherwise; ``cleanSource`` keeps the folder from growing for ever.
+    """
+    return spark.readStream.schema(table.stage_schema).options(**options).parquet(landing)
 
 
 def stream_apply(
@@ -31,6 +37,7 @@ def stream_apply(
     table: TableConfig,
     checkpoint: str,
     trigger: dict | None = None,
+    **options: str,
 ) -> StreamingQuery:
     """Apply each micro-batch to the target table, exactly once."""
 
@@ -38,7 +45,7 @@ def stream_apply(
         store.apply(table, batch, source=checkpoint, source_batch=batch_no)
 
     return (
-        change_stream(store.spark, landing, table)
+        change_stream(store.spark, landing, table, **options)
         .filter(F.col("operation") != BEFORE_IMAGE)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
@@ -53,10 +60,13 @@ def stream_tables(
     tables: Iterable[TableConfig],
     checkpoint: str,
     trigger: dict | None = None,
+    **options: str,
 ) -> list[StreamingQuery]:
     """One query per table, each with its own folder and its own progress."""
     return [
-        stream_apply(store, f"{landing}/{t.name}", t, f"{checkpoint}/{t.name}", trigger)
+        stream_apply(
+            store, f"{landing}/{t.name}", t, f"{checkpoint}/{t.name}", trigger, **options
+        )
         for t in tables
     ]
 
@@ -68,10 +78,11 @@ def stream_stage(
     stage: str,
     checkpoint: str,
     trigger: dict | None = None,
+    **options: str,
 ) -> StreamingQuery:
     """Append every change, before-images included, to a stage table."""
     return (
-        change_stream(spark, landing, table)
+        change_stream(spark, landing, table, **options)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", stage)
