@@ -31,7 +31,8 @@ def lookup_watermarks(
 ) -> DataFrame:
     """Mark of each named table; a NULL mark or a missing row gives the default."""
     spark = registry.sparkSession
-    wanted = spark.createDataFrame([(t,) for t in tables], "table_name string")
+    names = F.array(*[F.lit(t) for t in tables])
+    wanted = spark.range(0, 1, 1, 1).select(F.explode(names).alias("table_name"))
     # one row per configured table at most
     known = F.broadcast(registry.filter(F.col("table_name").isin(tables)))
     return wanted.join(known, "table_name", "left").select(

@@ -29,7 +29,8 @@ def replace_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatc
     """Replace what is staged at a path by the batch.
 
     Row count, newest commit time and size are observed during the write, so
-    the batch is read once.
+    the batch is read once.  A target store gives each batch a path of its own,
+    so there a write that dies never empties what is in use.
     """
     seen = Observation()
     (
