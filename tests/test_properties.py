@@ -14,15 +14,15 @@ SMALL, UNKNOWN = BROADCAST_BYTES, None
 
 
 def random_batches(seed):
+    """Sequence values are unique but do not rise from batch to batch."""
     rng = random.Random(seed)
-    seq, batches = 0, []
+    sequence = iter(rng.sample(range(1, 1000), 100))
+    batches = []
     for _ in range(rng.randint(1, 4)):
         batch = []
         for _ in range(rng.randint(0, 12)):
-            seq += 1
-            day = rng.choice([None, 0, 1, 2, 3])
+            seq, day = next(sequence), rng.choice([None, 0, 1, 2, 3])
             batch.append(change(seq, rng.choice([1, 2, 4]), rng.randint(1, 5), f"n{seq}", day))
-        rng.shuffle(batch)
         batches.append(batch)
     return batches
 
