@@ -38,6 +38,7 @@ def test_hot_key_is_spread(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",  # 500 rows each if even
     }
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
