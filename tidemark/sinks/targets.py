@@ -149,7 +149,9 @@ class TargetStore:
         if not state.open_batches:
             return rows
         history = self._read_batches(table, state.open_batches)
-        return replay(rows, history, table, state.batches_bytes)
+        # broadcasting spares a snapshot from the shuffle; without one it gains nothing
+        spared = table.versioned or state.snapshot_id is not None
+        return replay(rows, history, table, state.batches_bytes if spared else None)
 
     def _write_snapshot(self, rows: DataFrame, table: TableConfig, batch_id: int) -> int:
         """Write a snapshot; returns its estimated size.
