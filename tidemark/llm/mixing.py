@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import WORD
+from tidemark.llm.words import GAP
 
 UNIT = 1 << 24  # expected copies are counted in whole parts of this size
 SALTS = 2  # hex digits of the salt within one source and size: 256 blocks
 
 
 def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Words of a text by one split; an empty one is before or after white space."""
+    return F.coalesce(F.size(F.array_remove(F.split(text, GAP), "")), F.lit(0)).cast("long")
 
 
 def _key(source: Column) -> Column:

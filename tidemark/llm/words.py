@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
-WORD = r"[^\x20\x09-\x0D]+"  # of Spark's regular expressions; SPACE says the same by byte
+GAP = r"[\x20\x09-\x0D]+"  # between words, in Spark's regular expressions
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
