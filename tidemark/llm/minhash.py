@@ -15,7 +15,7 @@ from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import bounds, mix, shingle_set, slices, split
 
 BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability 3e-6
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 4
 BROADCAST_IDS = 2_000_000  # 16 MB
 
 SIGNED = "id long, n long, f1 long, f2 long, bands array<long>, minima binary"
@@ -128,10 +128,10 @@ def _verified(
 ) -> DataFrame:
     """Pairs (a, b) whose signatures agree and whose whole sets are similar enough.
 
-    Signatures may fall short of the wanted similarity by six standard errors.
+    Signatures may fall short of the wanted similarity by five standard errors.
     """
     wanted = percent / 100
-    least = wanted - 6 * (wanted * (1 - wanted) / bands_rows) ** 0.5
+    least = wanted - 5 * (wanted * (1 - wanted) / bands_rows) ** 0.5
     of = reps.select("id", "minima")
     near = (
         pairs.join(of.toDF("b", "mb"), "b")
@@ -177,10 +177,10 @@ def near_duplicates(
 
     Equal sets are one class, found by grouping on a 128-bit fingerprint.  Class
     representatives meet in buckets of equal bands.  Within a bucket all members
-    are compared with its least one, twice over (a member that was not linked
-    becomes the next pivot), so a large group of near copies costs a pair per
-    member.  What then still lies in different components of one bucket is
-    compared member by member, which loses no link.
+    are compared with its least one, so a large group of near copies costs a pair
+    per member; in further rounds those of other components than a pivot drawn by
+    hash are compared with that.  What then still lies in different components of
+    one bucket is compared member by member, which loses no link.
 
     A null or empty text has no shingles and is linked with nothing.  A null id
     joins nothing and has a null component, but stays.  Rows that repeat an id
@@ -226,12 +226,13 @@ def near_duplicates(
         if members.isEmpty():
             break
         if turn < PIVOT_ROUNDS:
-            # The first pivot is the bucket's least member, the second the least
-            # of those outside the pivot's component.
-            outside = members if turn == 0 else members.filter("comp > first_comp")
-            pivots = outside.groupBy("key").agg(
-                F.min(F.struct(F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))).alias("p")
-            ).select("key", "p.*")
+            # The first pivot is the least member, so nearly the same in all buckets of
+            # a group.  Later ones are drawn by a hash, so a member that is still apart
+            # meets another pivot in each of its buckets.
+            drawn = F.xxhash64(F.lit(turn), "key", "id") if turn else F.col("id")
+            first = F.struct(drawn.alias("draw"), F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
+            pivots = members.groupBy("key").agg(F.min(first).alias("p"))
+            pivots = pivots.select("key", "p.a", "p.ca", "p.na")
             pairs = members.join(pivots, "key").filter("comp <> ca")
             pairs = pairs.select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
         else:
