@@ -7,7 +7,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -15,7 +15,7 @@ from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import bounds, mix, shingle_set, slices, split
 
 BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability 3e-6
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
 BROADCAST_IDS = 2_000_000  # 16 MB
 
 SIGNED = "id long, n long, f1 long, f2 long, bands array<long>, minima binary"
@@ -159,6 +159,43 @@ def _verified(
     return links
 
 
+def _sharing_rare(
+    members: DataFrame, docs: DataFrame, scratch: Scratch, k: int, percent: int
+) -> DataFrame:
+    """Pairs (a, na, b, nb) across components that share one of their rarest shingles.
+
+    A partner of x shares at least ``percent`` hundredths of x's shingles, so one
+    of any |x| - that + 1 of them; taking the rarest of these members' shingles
+    keeps the meetings few.  No linked pair is lost.  Near copies whose own
+    changes exceed the allowed difference have rare shingles that nobody shares.
+    """
+    nodes = members.groupBy("id").agg(F.first("n").alias("n"), F.first("comp").alias("comp"))
+    nodes = scratch.save(nodes, "rest")
+    sets = _only(docs, nodes.select("id")).mapInArrow(
+        partial(shingle_sets, k=k), "id long, shingles array<long>"
+    )
+    entries = scratch.save(sets.select("id", F.explode("shingles").alias("shingle")), "rest-sets")
+    shared = entries.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    common = entries.join(shared, "shingle").join(nodes, "id")
+    of_text = Window.partitionBy("id")
+    place = F.row_number().over(of_text.orderBy("df", "shingle"))
+    alone = F.col("n") - F.count("*").over(of_text)
+    needed = F.ceil(F.col("n") * percent / 100)
+    prefix = (
+        common.withColumn("place", place + alone)
+        .filter(F.col("place") <= F.col("n") - needed + 1)
+        .select("shingle", "id", "n", "comp", "place")
+    )
+    prefix = scratch.save(prefix, "rest-prefix")
+    left = prefix.toDF("shingle", "a", "na", "comp_a", "ia")
+    right = prefix.toDF("shingle", "b", "nb", "comp_b", "ib")
+    # At their first common shingle, the places from there on bound what is shared.
+    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1
+    enough = most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    met = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("comp_a") < F.col("comp_b")) & enough)
+    return met.select("a", "na", "b", "nb")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -180,7 +217,8 @@ def near_duplicates(
     are compared with its least one, so a large group of near copies costs a pair
     per member; in further rounds those of other components than a pivot drawn by
     hash are compared with that.  What then still lies in different components of
-    one bucket is compared member by member, which loses no link.
+    one bucket is compared wherever two texts share one of their rarest shingles,
+    which loses no link and needs no pair for texts that are alike but not enough.
 
     A null or empty text has no shingles and is linked with nothing.  A null id
     joins nothing and has a null component, but stays.  Rows that repeat an id
@@ -236,14 +274,7 @@ def near_duplicates(
             pairs = members.join(pivots, "key").filter("comp <> ca")
             pairs = pairs.select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
         else:
-            left = members.select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "comp")])
-            right = members.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "comp")])
-            pairs = (
-                left.join(right, "key")
-                .filter("comp_a < comp_b")
-                .filter("least(n_a, n_b) * 100 >= greatest(n_a, n_b) * %d" % percent)
-                .selectExpr("id_a AS a", "n_a AS na", "id_b AS b", "n_b AS nb")
-            )
+            pairs = _sharing_rare(members, docs, scratch, words, percent)
         pairs = pairs.filter(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         new = check(pairs.distinct(), name=f"round-{turn}")
         links = new if links is None else links.union(new)
