@@ -99,9 +99,21 @@ def test_connection_comes_from_the_configuration(spark):
 
 def test_predicates_of_a_poll():
     mark = DAY + timedelta(microseconds=1999)
-    assert jdbc.position_query(mark).endswith("tran_end_time <= '2024-03-01 00:00:00.001'")
-    assert jdbc.newer_than("p", None, []) == ["p > 0x00"]
-    assert jdbc.newer_than("p", bytes([1, 255]), ["k < 5", "k >= 5"]) == [
-        "p > 0x01ff AND (k < 5)",
-        "p > 0x01ff AND (k >= 5)",
+    assert jdbc.position_query(mark).startswith("SELECT min(")
+    assert jdbc.position_query(mark).endswith("> CAST('2024-03-01 00:00:00.001' AS datetime2(3))")
+    assert jdbc.from_position("p", None, []) == ["1 = 0"]
+    assert jdbc.from_position("p", bytes([1, 255]), ["k < 5", "k >= 5"]) == [
+        "p >= 0x01ff AND (k < 5)",
+        "p >= 0x01ff AND (k >= 5)",
     ]
+
+
+def test_times_that_fall_as_positions_rise_lose_nothing(spark):
+    raw, _ = raw_side(spark)
+    times = spark.createDataFrame(
+        [(bytes([n]), DAY + timedelta(seconds=s)) for n, s in ((1, 1), (2, 9), (3, 2), (5, 1))],
+        "lsn binary, commit_time timestamp_ntz",
+    )
+    read = raw_changes_after(raw, times, ACCOUNT, DAY + timedelta(seconds=2))
+    assert [r.start_lsn for r in read.collect()] == [DAY + timedelta(seconds=9)]
+    assert raw_changes_after(raw, times, ACCOUNT, DAY + timedelta(seconds=9)).count() == 0

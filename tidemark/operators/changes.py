@@ -16,6 +16,13 @@ def is_row_image() -> Column:
     return F.col("operation").isin(*ROW_IMAGES)
 
 
+def required_key(table: TableConfig) -> Column:
+    """The key; an image to be stored that has none stops the job."""
+    missing = F.col(table.key).isNull() & is_row_image()
+    stop = F.raise_error(F.lit(f"{table.name}: image without {table.key}"))
+    return F.when(missing, stop).otherwise(F.col(table.key))
+
+
 def is_delete() -> Column:
     return F.col("operation") == DELETE
 

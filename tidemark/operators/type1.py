@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
-from tidemark.operators.changes import IMAGE_ORDER, is_delete, is_row_image
+from tidemark.operators.changes import IMAGE_ORDER, is_delete, is_row_image, required_key
 from tidemark.operators.joins import fits_broadcast
 
 
@@ -85,8 +85,10 @@ def apply_history(
     """Target after all batches of a history with a ``batch_no`` column.
 
     ``history_bytes`` is the measured size of the history; net changes are never
-    larger, so it decides whether they may be broadcast.
+    larger, so it decides whether they may be broadcast.  An image without key
+    stops the job; a delete without key matches nothing.
     """
+    history = history.withColumn(table.key, required_key(table))
     return merge(target, net_changes(history, table), table, history_bytes)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import BEFORE_IMAGE, CHANGE_COLUMNS, TableConfig, source_column
 from tidemark.functions import ntz, sequence_hex
-from tidemark.operators.changes import is_row_image
+from tidemark.operators.changes import required_key
 from tidemark.operators.joins import left_lookup
 
 
@@ -77,14 +77,16 @@ def raw_changes_after(
 ) -> DataFrame:
     """Changes of a raw change table committed strictly after the mark.
 
-    Log positions rise with commit time.  So the mark is translated once into
-    the last position it covers, and that one value prunes both the raw table
-    and the positions to look up.  An end position is never before its start.
+    The mark is translated once into the first position with a later commit time,
+    and that one value prunes both the raw table and the positions to look up.
+    Clocks may step back, so positions from there on may still have times up to
+    the mark, which the last filter drops.  An end position is never before its
+    start.
     """
-    covered = lsn_times.filter(F.col("commit_time") <= ntz(watermark)).agg(F.max("lsn")).first()[0]
-    position = F.lit(bytes(covered or b""))
-    newer = raw.filter(F.col("__$start_lsn") > position)
-    times = lsn_times.filter(F.col("lsn") > position)
+    first = lsn_times.filter(F.col("commit_time") > ntz(watermark)).agg(F.min("lsn")).first()[0]
+    position = F.lit(None if first is None else bytes(first)).cast("binary")
+    newer = raw.filter(F.col("__$start_lsn") >= position)
+    times = lsn_times.filter(F.col("lsn") >= position)
     return changes_after(read_raw_changes(newer, times, table), watermark, before_images)
 
 
@@ -110,8 +112,4 @@ def changes_after(
 
 def require_keys(batch: DataFrame, table: TableConfig) -> DataFrame:
     """Stop the batch if an image to be stored has no key."""
-    missing = F.col(table.key).isNull() & is_row_image()
-    checked = F.when(
-        missing, F.raise_error(F.lit(f"{table.name}: image without {table.key}"))
-    ).otherwise(F.col(table.key))
-    return batch.withColumn(table.key, checked).select(*CHANGE_COLUMNS, *table.columns)
+    return batch.withColumn(table.key, required_key(table)).select(*CHANGE_COLUMNS, *table.columns)

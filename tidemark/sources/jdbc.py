@@ -47,14 +47,20 @@ def read_table(
 
 
 def position_query(mark: datetime) -> str:
-    """Last log position a mark covers; the source keeps times to the millisecond."""
+    """First log position after a mark; the source keeps times to the millisecond.
+
+    Times may fall as positions rise, so this is not the one after the last position
+    that the mark covers.
+    """
     text = mark.isoformat(sep=" ", timespec="milliseconds")
-    return f"SELECT max({LSN}) AS lsn FROM {LSN_TIMES} WHERE {COMMIT_TIME} <= '{text}'"
+    after = f"{COMMIT_TIME} > CAST('{text}' AS datetime2(3))"
+    return f"SELECT min({LSN}) AS lsn FROM {LSN_TIMES} WHERE {after}"
 
 
-def newer_than(column: str, position: bytes | None, slices: list[str]) -> list[str]:
-    """Predicates for rows after a position, one for each slice of the table."""
-    newer = f"{column} > 0x{position.hex() if position else '00'}"
+def from_position(column: str, position: bytes | None, slices: list[str]) -> list[str]:
+    """Predicates for rows from a position on, one for each slice of the table; without
+    a position there are no rows."""
+    newer = f"{column} >= 0x{bytes(position).hex()}" if position is not None else "1 = 0"
     return [f"{newer} AND ({part})" for part in slices] or [newer]
 
 
@@ -64,7 +70,7 @@ def change_log(
     """Change log for ``run_cycle``, read from the source database at each poll.
 
     The mark is translated once into a log position, and the database sends
-    only rows after it.  ``slices`` are conditions that split a first load over
+    only rows from there on.  ``slices`` are conditions that split a first load over
     several tasks, such as key ranges; together they must cover every row.
     """
 
@@ -74,9 +80,9 @@ def change_log(
             spark,
             name,
             table.change_table,
-            newer_than("[__$start_lsn]", position, slices or []),
+            from_position("[__$start_lsn]", position, slices or []),
         )
-        times = read_table(spark, name, LSN_TIMES, newer_than(LSN, position, [])).select(
+        times = read_table(spark, name, LSN_TIMES, from_position(LSN, position, [])).select(
             F.col(LSN).alias("lsn"), F.col(COMMIT_TIME).alias("commit_time")
         )
         return changes_after(read_raw_changes(raw, times, table), mark)

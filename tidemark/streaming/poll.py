@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import BEFORE_IMAGE, TableConfig
 from tidemark.sinks.targets import TargetStore
+from tidemark.sources.change_log import changes_after
 
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
 ALL_AVAILABLE = {"availableNow": True}
@@ -39,14 +40,24 @@ def stream_apply(
     trigger: dict | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Apply each micro-batch to the target table, exactly once."""
+    """Apply each micro-batch to the target table, exactly once.
+
+    A query is known by its own id, which lives in its checkpoint, not by the
+    checkpoint's path.  The first batch of a query that the table has not seen
+    before starts past the table's mark, so a stream may follow batch cycles or
+    another stream over the same changes.
+    """
 
     def apply(batch: DataFrame, batch_no: int) -> None:
-        store.apply(table, batch, source=checkpoint, source_batch=batch_no)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        state = store.state(table)
+        if state.source != query and state.last_update is not None:
+            batch = changes_after(batch, state.last_update)
+        store.apply(table, batch, source=query, source_batch=batch_no)
 
     return (
         change_stream(store.spark, landing, table, **options)
-        .filter(F.col("operation") != BEFORE_IMAGE)
+        .filter((F.col("operation") != BEFORE_IMAGE) & F.col("start_lsn").isNotNull())
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_FIVE_MINUTES))
