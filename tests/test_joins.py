@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import BROADCAST_BYTES, left_lookup
@@ -20,7 +21,7 @@ def rows(df):
     return Counter(tuple(r) for r in df.select("k", "row", "v").collect())
 
 
-def test_salted_lookup_equals_plain_join(spark):
+def test_lookup_equals_plain_join(spark):
     left, right = sides(spark)
     want = rows(left.join(right, "k", "left"))
     assert rows(left_lookup(left, right, "k")) == want
@@ -33,8 +34,12 @@ def partition_sizes(df):
     return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
 
 
-def test_hot_key_is_spread(spark):
+@pytest.mark.parametrize("equal_rows", [False, True])
+def test_hot_key_is_spread(spark, equal_rows):
     left, right = sides(spark)
+    left = left.repartition(8)
+    if equal_rows:
+        left = left.withColumn("row", F.lit(0))
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
@@ -45,10 +50,20 @@ def test_hot_key_is_spread(spark):
         spark.conf.set(name, value)
     try:
         plain = partition_sizes(left.join(right, "k", "left"))
-        salted = partition_sizes(left_lookup(left, right, "k", rows_per_task=50))
+        spread = partition_sizes(left_lookup(left, right, "k", rows_per_task=50))
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
     assert plain[-1] >= 2000
-    assert salted[-1] < 1000
-    assert sum(salted) == sum(plain) == 4000
+    assert spread[-1] < 1000
+    assert sum(spread) == sum(plain) == 4000
+
+
+def test_binary_and_null_hot_keys(spark):
+    left, right = sides(spark)
+    left, right = (df.withColumn("k", F.col("k").cast("string").cast("binary")) for df in (left, right))
+    want = Counter(tuple(map(str, r)) for r in left.join(right, "k", "left").collect())
+    found = left_lookup(left, right, "k", rows_per_task=50)
+    assert Counter(tuple(map(str, r)) for r in found.collect()) == want
+    only_null = left.withColumn("k", F.lit(None).cast("binary"))
+    assert left_lookup(only_null, right, "k", rows_per_task=50).filter("v IS NULL").count() == 4000

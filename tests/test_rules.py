@@ -190,3 +190,20 @@ def test_single_steps_add_up_to_the_batch(spark):
     steps = versioned.reset_current(steps, batch, PLACE)
     steps = versioned.set_current(steps, batch, PLACE)
     assert rows_of(steps) == rows_of(versioned.apply_batch(seed, batch, PLACE))
+
+
+def test_full_ties_do_not_depend_on_order(spark):
+    rows = [change(1, 2, 1, note) for note in ("b", None, "a")]
+    for given in (rows, rows[::-1]):
+        log = frame(spark, ACCOUNT, given).coalesce(1)
+        assert [r["note"] for r in changes.latest_images(log, ACCOUNT).collect()] == ["b"]
+
+
+def test_a_poll_reads_only_what_its_marks_leave_open(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [change(n, 2, n, at=DAY + timedelta(seconds=n)) for n in range(1, 5)]
+    for poll, n in ((1, 1), (5, 2), (21, 3), (21, 4)):  # poll 21 replaces the mark of poll 5
+        log = frame(spark, ACCOUNT, rows[:n])
+        append_poll(spark, path, log, ACCOUNT, poll, datetime(2000, 1, 1), exact=True)
+    found = [(r["account_id"], r["poll"]) for r in read_polls(spark, path, ACCOUNT).collect()]
+    assert sorted(found) == [(1, 1), (2, 5), (3, 21), (4, 21)]

@@ -6,7 +6,7 @@ import pytest
 from model import ACCOUNT, DAY, PLACE, change, frame, rows_of, target
 
 from tidemark.plans.cycle import run_cycle
-from tidemark.sinks.stage import replace_stage
+from tidemark.sinks.stage import read_stage, replace_stage, write_stage
 from tidemark.sinks.targets import SLOTS, TargetStore
 
 EARLY = datetime(2000, 1, 1)
@@ -41,7 +41,7 @@ def test_empty_batch(spark, store):
 def test_a_batch_that_died_before_its_commit_leaves_no_trace(spark, store):
     store.seed(PLACE, target(spark, PLACE, [(1, "a", 0, False, True)]))
     lost = frame(spark, PLACE, [change(1, 2, 1, "lost", 5), change(2, 2, 2, "lost", 5)])
-    replace_stage(lost, store._batch_path(PLACE, 1), PLACE)
+    write_stage(lost, store._batch_path(PLACE, 1), PLACE)
     assert rows_of(store.read(PLACE)) == [(1, "a", 0, False, True)]
     store.apply(PLACE, frame(spark, PLACE, [change(1, 2, 1, "b", 1)]))
     assert rows_of(store.read(PLACE)) == [(1, "a", 0, False, False), (1, "b", 1, False, True)]
@@ -189,3 +189,14 @@ def test_a_failing_table_does_not_hold_up_the_others(spark, store):
         run_cycle(store, logs, {"a": ACCOUNT, "p": PLACE}, default=EARLY)
     assert store.state(ACCOUNT).commit_id == 0
     assert store.read(PLACE).count() == 1
+
+
+def test_a_failed_replace_keeps_the_rows_before(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    assert read_stage(spark, path, ACCOUNT).count() == 0
+    for n in (1, 2, 3):
+        replace_stage(frame(spark, ACCOUNT, [change(1, 2, n, "a")]), path, ACCOUNT)
+        assert [r["account_id"] for r in read_stage(spark, path, ACCOUNT).collect()] == [n]
+    with pytest.raises(Exception, match="image without"):
+        replace_stage(frame(spark, ACCOUNT, [change(1, 2, None, "a")]), path, ACCOUNT)
+    assert [r["account_id"] for r in read_stage(spark, path, ACCOUNT).collect()] == [3]

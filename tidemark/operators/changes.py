@@ -42,9 +42,11 @@ def latest_images(batch: DataFrame, table: TableConfig) -> DataFrame:
     """The image with the highest sequence value of each key.
 
     Spark limits each key to one row before the shuffle (WindowGroupLimit), so
-    a hot key sends at most one row per input task.
+    a hot key sends at most one row per input task.  Full ties are decided by the
+    columns, in the order in which ``type1.net_changes`` compares them.
     """
-    newest = Window.partitionBy(table.key).orderBy(*[F.desc(c) for c in IMAGE_ORDER])
+    order = [*IMAGE_ORDER, *table.columns[1:], "operation", "end_lsn"]
+    newest = Window.partitionBy(table.key).orderBy(*[F.desc(c) for c in order])
     return (
         row_images(batch)
         .withColumn("image_rank", F.row_number().over(newest))

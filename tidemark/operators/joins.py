@@ -5,32 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
-
 # A side is broadcast only when its measured size is below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key is hot when it holds more than 1/MAX_HOT_KEYS of all rows (and enough
-# rows to fill a task), so there can be at most MAX_HOT_KEYS hot keys.
-MAX_HOT_KEYS = 10_000
+# A key is hot when it has more rows than a task should hold, whatever the total.
 ROWS_PER_TASK = 1_000_000
+# The hottest so many are joined apart; the others are in the plain join, where
+# adaptive execution splits what is still uneven.
+MAX_HOT_KEYS = 1_000
 
 
 def fits_broadcast(measured_bytes: int | None) -> bool:
     return measured_bytes is not None and measured_bytes <= BROADCAST_BYTES
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """Keys, NULL included, with more rows than a task should hold, and over how
-    many salts to spread them.  Counts are reduced before the shuffle and only
-    the key column is read; the few rows found are written once, so that all
-    uses agree."""
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar()
-    share = F.greatest(F.lit(rows_per_task), F.ceil(total / MAX_HOT_KEYS))
-    salts = F.ceil(F.col("n") / F.col("share")).cast("long").alias("salts")
-    hot = counts.withColumn("share", share).filter("n > share").select(key, salts)
-    return cut_lineage(hot)
+def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> list:
+    """The hottest keys, NULL included, with more rows than a task should hold.
+
+    Counts are reduced before the shuffle, only the key column is read, and at
+    most ``MAX_HOT_KEYS`` values come to the driver.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > rows_per_task)
+    found = counts.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect()
+    return [bytes(row[0]) if isinstance(row[0], bytearray) else row[0] for row in found]
 
 
 def left_lookup(
@@ -39,33 +36,25 @@ def left_lookup(
     key: str,
     right_bytes: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a side that holds each key once.
 
     With a measured small right side this is a broadcast join and the left side
-    is not shuffled.  Otherwise hot keys are looked for first.  Without any, it
-    is a plain join.  With some, both sides are shuffled on (key, salt): a hot
-    key's left rows are spread over its salts and its one right row is repeated
-    once per salt; other keys have one salt; NULL keys match nothing and are
-    spread freely.  The salt is a hash of the row, not a random number, so a
-    recomputed task sends each row to the same place.
+    is not shuffled.  Otherwise hot keys are looked for first, in ``keys`` if the
+    left side is dear to compute.  Without any, it is a plain join.  With some,
+    their left rows and those without key stay where they are and meet a
+    broadcast of the at most ``MAX_HOT_KEYS`` right rows of the hot keys; all
+    other rows are joined plainly.  Each row is in one part by its key alone.
     """
     if fits_broadcast(right_bytes):
         return left.join(F.broadcast(right), key, "left")
-    hot = hot_keys(left, key, rows_per_task)
-    if hot.isEmpty():
+    hot = hot_keys(left if keys is None else keys, key, rows_per_task)
+    if not hot:
         return left.join(right, key, "left")
 
-    salts = F.coalesce("salts", F.lit(1))
-    row_hash = F.xxhash64(*left.columns)
-    salted_left = left.join(F.broadcast(hot), key, "left").withColumn(
-        "salt", F.when(F.col(key).isNull(), row_hash).otherwise(F.pmod(row_hash, salts))
-    )
-    salted_right = right.join(F.broadcast(hot), key, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
-    )
-    return (
-        salted_left.drop("salts")
-        .join(salted_right.drop("salts"), [key, "salt"], "left")
-        .drop("salt")
-    )
+    values = [F.lit(value) for value in hot if value is not None]
+    is_hot = F.col(key).isin(values) if values else F.lit(False)
+    rest = left.filter(F.col(key).isNotNull() & ~is_hot).join(right, key, "left")
+    apart = left.filter(F.col(key).isNull() | is_hot)
+    return rest.unionByName(apart.join(F.broadcast(right.filter(is_hot)), key, "left"))

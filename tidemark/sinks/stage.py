@@ -14,6 +14,8 @@ from tidemark.functions import row_bytes
 from tidemark.operators.watermark import watermark_of_stage
 from tidemark.sources.change_log import changes_after, require_keys
 
+MARK_SLOTS = 16
+
 
 @dataclass(frozen=True)
 class StagedBatch:
@@ -25,12 +27,11 @@ class StagedBatch:
     size_bytes: int
 
 
-def replace_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatch:
-    """Replace what is staged at a path by the batch.
+def write_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatch:
+    """Write a batch to a path that nothing reads yet.
 
     Row count, newest commit time and size are observed during the write, so
-    the batch is read once.  A target store gives each batch a path of its own,
-    so there a write that dies never empties what is in use.
+    the batch is read once.  What a write that died left there is replaced.
     """
     seen = Observation()
     (
@@ -48,8 +49,40 @@ def replace_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatc
     return StagedBatch(path, found["n_rows"], found["last_update"], found["size_bytes"] or 0)
 
 
+def _slots(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A few one-row files, each in a slot of its own; one may be replaced meanwhile."""
+    none = spark.createDataFrame([], f"{schema}, slot int")
+    none.write.mode("ignore").partitionBy("slot").parquet(path)
+    reader = spark.read.schema(f"{schema}, slot int").option("ignoreMissingFiles", "true")
+    return reader.parquet(path)
+
+
+def _current_load(spark: SparkSession, path: str) -> int:
+    loads = _slots(spark, f"{path}/current", "load long")
+    return loads.agg(F.coalesce(F.max("load"), F.lit(0))).first()[0]
+
+
+def replace_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatch:
+    """Replace what is staged at a path by the batch, all at once.
+
+    Loads go to two folders in turn and count when their number is written, as
+    one small file.  A load that fails, or is still running, changes nothing for
+    readers, and the load before stays until the next but one.
+    """
+    spark = batch.sparkSession
+    load = _current_load(spark, path) + 1
+    staged = write_stage(batch, f"{path}/rows-{load % 2}", table)
+    number = spark.range(load, load + 1, 1, 1).withColumnRenamed("id", "load")
+    number.write.mode("overwrite").parquet(f"{path}/current/slot={load % 2}")
+    return staged
+
+
 def read_stage(spark: SparkSession, path: str, table: TableConfig) -> DataFrame:
-    return spark.read.schema(table.stage_schema).parquet(path)
+    """The rows of the last whole load; none before the first."""
+    load = _current_load(spark, path)
+    if not load:
+        return spark.createDataFrame([], table.stage_schema)
+    return spark.read.schema(table.stage_schema).parquet(f"{path}/rows-{load % 2}")
 
 
 def append_poll(
@@ -64,16 +97,36 @@ def append_poll(
     """One poll of the append-only stage: its own newest time is the mark.
 
     Before-images are kept.  Each poll has a folder of its own and only looks at
-    earlier polls, so a poll that is run again replaces its rows.
+    earlier polls, so a poll that is run again replaces its rows.  Its newest time
+    is noted beside the log, and a later poll reads the last note and only the
+    folders after it, normally none, so a poll costs its changes.
     """
+    notes = _slots(spark, f"{log_path}.marks", "poll int, start_lsn timestamp_ntz").collect()
+    last = max(
+        (note for note in notes if note["poll"] < poll), key=lambda n: n["poll"], default=None
+    )
     earlier = read_polls(spark, log_path, table).filter(F.col("poll") < poll)
-    mark = watermark_of_stage(earlier, default, exact).first()["last_update"]
+    if last is not None:
+        earlier = earlier.filter(F.col("poll") > last["poll"])
+    times = [earlier.agg(F.max("start_lsn")).first()[0], last and last["start_lsn"]]
+    newest = max((time for time in times if time is not None), default=None)
+    known = spark.createDataFrame([(newest,)], "start_lsn timestamp_ntz")
+    mark = watermark_of_stage(known, default, exact).first()["last_update"]
+    seen = Observation()
     (
         changes_after(changes, mark, before_images=True)
         .select(*table.stage_schema.fieldNames())
+        .observe(seen, F.max("start_lsn").alias("newest"))
         .write.mode("overwrite")
         .parquet(f"{log_path}/poll={poll}")
     )
+    times = [t for t in (newest, seen.get["newest"]) if t is not None]
+    note = [(poll, max(times, default=None))]
+    (
+        spark.createDataFrame(note, "poll int, start_lsn timestamp_ntz")
+        .write.mode("overwrite")
+        .parquet(f"{log_path}.marks/slot={poll % MARK_SLOTS}")
+    )
 
 
 def read_polls(spark: SparkSession, log_path: str, table: TableConfig) -> DataFrame:

@@ -29,7 +29,7 @@ from tidemark.config import TableConfig
 from tidemark.functions import row_bytes
 from tidemark.operators.joins import BROADCAST_BYTES
 from tidemark.operators.replay import replay
-from tidemark.sinks.stage import replace_stage
+from tidemark.sinks.stage import write_stage
 
 COMMIT_TYPES = {
     "commit_id": "long",
@@ -199,7 +199,7 @@ class TargetStore:
         if source is not None and source == state.source and source_batch <= state.source_batch:
             return 0
         batch_id = state.batch_id + 1
-        staged = replace_stage(batch, self._batch_path(table, batch_id), table)
+        staged = write_stage(batch, self._batch_path(table, batch_id), table)
         if staged.n_rows == 0:
             return 0
         if source is not None:

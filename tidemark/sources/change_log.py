@@ -26,16 +26,22 @@ def check_schema(df: DataFrame, table: TableConfig) -> DataFrame:
     return df
 
 
-def commit_times(raw: DataFrame, lsn_times: DataFrame, position: str, out: str) -> DataFrame:
+def commit_times(
+    raw: DataFrame,
+    lsn_times: DataFrame,
+    position: str,
+    out: str,
+    positions: DataFrame | None = None,
+) -> DataFrame:
     """Add the commit time of a log position; an unknown position gives NULL.
 
     ``lsn_times(lsn, commit_time)`` holds each position once but grows with the
     log, so it is broadcast only if Spark sees that it is small.  One position
     is one transaction, and a bulk load puts very many rows on one position:
-    hence the lookup that spreads hot keys.
+    hence the lookup that spreads hot keys, which it counts in ``positions``.
     """
     times = lsn_times.select(F.col("lsn").alias(position), F.col("commit_time").alias(out))
-    return left_lookup(raw, times, position)
+    return left_lookup(raw, times, position, keys=positions)
 
 
 def project_changes(raw: DataFrame, table: TableConfig) -> DataFrame:
@@ -56,15 +62,12 @@ def project_changes(raw: DataFrame, table: TableConfig) -> DataFrame:
 def read_raw_changes(raw: DataFrame, lsn_times: DataFrame, table: TableConfig) -> DataFrame:
     """A raw change table in stage form, with log positions mapped to commit times.
 
-    Sources usually leave the end position NULL throughout.  A look for the
-    first one that is not (file statistics mostly answer it) then saves the
-    second lookup, and with it a shuffle of all rows.
+    Sources usually leave the end position NULL throughout.  NULL is then a hot
+    key, whose rows are not shuffled for the second lookup.  Both counts read the
+    raw positions, never the result of a join.
     """
-    timed = commit_times(raw, lsn_times, "__$start_lsn", "start_lsn")
-    if raw.filter(F.col("__$end_lsn").isNotNull()).isEmpty():
-        timed = timed.withColumn("end_lsn", F.lit(None).cast("timestamp_ntz"))
-    else:
-        timed = commit_times(timed, lsn_times, "__$end_lsn", "end_lsn")
+    timed = commit_times(raw, lsn_times, "__$start_lsn", "start_lsn", positions=raw)
+    timed = commit_times(timed, lsn_times, "__$end_lsn", "end_lsn", positions=raw)
     return project_changes(timed, table)
 
 
