@@ -110,10 +110,9 @@ def agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
         yield batch.select([0, 1]).filter(pa.array(near))
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of these ids: by broadcast while their counted number is small."""
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "id", "left_semi")
+def _only(docs: DataFrame, ids: DataFrame, at_most: int) -> DataFrame:
+    """The texts of these ids: by broadcast while the counted bound on them is small."""
+    return docs.join(F.broadcast(ids) if at_most <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
 def _verified(
@@ -141,7 +140,7 @@ def _verified(
     )
     near = scratch.save(near, f"{name}-near")
     ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _only(docs, scratch.save(ids, f"{name}-ids")).mapInArrow(
+    sets = _only(docs, ids, at_most=2 * near.count()).mapInArrow(
         partial(shingle_sets, k=k), "id long, shingles array<long>"
     )
     sets = scratch.save(sets, f"{name}-sets")
@@ -155,7 +154,7 @@ def _verified(
         .select("a", "b")
     )
     links = scratch.save(links, f"{name}-links")
-    scratch.drop(f"{name}-near", f"{name}-ids", f"{name}-sets")
+    scratch.drop(f"{name}-near", f"{name}-sets")
     return links
 
 
@@ -171,7 +170,7 @@ def _sharing_rare(
     """
     nodes = members.groupBy("id").agg(F.first("n").alias("n"), F.first("comp").alias("comp"))
     nodes = scratch.save(nodes, "rest")
-    sets = _only(docs, nodes.select("id")).mapInArrow(
+    sets = _only(docs, nodes.select("id"), at_most=nodes.count()).mapInArrow(
         partial(shingle_sets, k=k), "id long, shingles array<long>"
     )
     entries = scratch.save(sets.select("id", F.explode("shingles").alias("shingle")), "rest-sets")
@@ -247,22 +246,23 @@ def near_duplicates(
         docs=docs, reps=reps, scratch=scratch, k=words, percent=percent, bands_rows=bands * rows,
     )
 
-    links, linked = None, None
+    linked, changed = None, True
     for turn in range(PIVOT_ROUNDS + 1):
-        members = buckets.withColumn("comp", F.col("id"))
-        if linked is not None:
-            members = (
-                buckets.join(linked, "id", "left")
-                .withColumn("comp", F.coalesce("component", "id"))
-                .drop("component")
+        if changed:
+            members = buckets.withColumn("comp", F.col("id"))
+            if linked is not None:
+                members = (
+                    buckets.join(linked, "id", "left")
+                    .withColumn("comp", F.coalesce("component", "id"))
+                    .drop("component")
+                )
+            spans = members.groupBy("key").agg(
+                F.min("comp").alias("first_comp"), F.max("comp").alias("last_comp")
             )
-        spans = members.groupBy("key").agg(
-            F.min("comp").alias("first_comp"), F.max("comp").alias("last_comp")
-        )
-        open_keys = spans.filter("first_comp < last_comp")
-        members = scratch.save(members.join(open_keys, "key"), f"open-{turn}")
-        if members.isEmpty():
-            break
+            open_keys = spans.filter("first_comp < last_comp")
+            members = scratch.save(members.join(open_keys, "key"), f"open-{turn}")
+            if members.isEmpty():
+                break
         if turn < PIVOT_ROUNDS:
             # The first pivot is the least member, so nearly the same in all buckets of
             # a group.  Later ones are drawn by a hash, so a member that is still apart
@@ -276,9 +276,12 @@ def near_duplicates(
         else:
             pairs = _sharing_rare(members, docs, scratch, words, percent)
         pairs = pairs.filter(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        new = check(pairs.distinct(), name=f"round-{turn}")
-        links = new if links is None else links.union(new)
-        linked = components(links, "a", "b", scratch, f"stars-{turn}")
+        links = check(pairs.distinct(), name=f"round-{turn}")
+        changed = not links.isEmpty()
+        if changed:
+            # Earlier links are represented by the stars they have become.
+            edges = links if linked is None else links.union(linked.select("id", "component"))
+            linked = components(edges, "a", "b", scratch, f"stars-{turn}")
     scratch.drop("buckets")
 
     ids = signed.select("id", "n", "f1", "f2")
