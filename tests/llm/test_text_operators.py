@@ -6,6 +6,8 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from check import DATA, difference, duck
 
@@ -286,6 +288,43 @@ def test_language_model_sums_to_one_and_carries_state():
     assert abs(recurrent.score_tokens(net, long)[0] - (want + sum(word))) < 1e-2
 
 
+def test_language_model_learns_every_token():
+    counts = np.ones(200)
+    texts = [np.array([2, 3, 4, 5, 6]), np.arange(7, 7 + 2 * recurrent.WINDOW + 3), np.array([9])]
+    net = recurrent.new_network(counts)
+    net = net._replace(of_class=net.of_class + 0.1, of_word=net.of_word + 0.05)
+    before, fresh, target, number = next(recurrent.windows(texts, 3, recurrent.WINDOW))
+    use = number >= 0
+    assert 0 < use.sum() < use.size
+    state = np.zeros((3, recurrent.HIDDEN), np.float32)
+    grads, _ = recurrent.train_window(net, state, before, fresh, target, use)
+
+    def loss(bias):
+        one = [target[:, k][use[:, k]] for k in range(3)]
+        return -recurrent.score_tokens(net._replace(bias=bias), one).sum()
+
+    wide = net._replace(**{f: getattr(net, f).astype(np.float64) for f in ("of_class", "of_word", "across", "inward", "embedding")})
+    net = wide
+    for k in (0, 40, 70):
+        step = np.zeros(3 * recurrent.HIDDEN)
+        step[k] = 1e-2
+        assert abs((loss(step) - loss(-step)) / 2e-2 - grads[3][k]) < 0.02 * abs(grads[3][k]) + 1e-3
+    learner = recurrent.train(recurrent.new_learner(counts), [np.array([2, 3, 4])])
+    assert learner.step == 1  # fewer lanes than a quarter, less than a window
+
+    corpus = recurrent.Corpus(np.zeros(0, np.uint64), np.zeros(0, np.int64), 2, 1, 1, 1, 0, 0)
+    made = [f"w{i} " * (i % 90) for i in range(1500)] + ["long " * 11_000] * 64
+    batch = pa.record_batch([pa.array([t.encode() for t in made])], names=["text"])
+    start = recurrent.new_learner(np.ones(2))
+    out = list(recurrent.learn_texts(iter([batch]), corpus, start))
+    seen = sum(len(t.split()) + 1 for t in made)
+    assert seen > 700_000 and set(out[0].column("seen").to_pylist()) == {seen}
+    rows = pa.Table.from_batches(out + out)
+    means = [recurrent.average(rows.filter(pa.compute.equal(rows["slice"], i))) for i in range(out[0].num_rows)]
+    flat = np.frombuffer(b"".join(m["values"][0].as_py() for m in means), np.float32)
+    assert recurrent.unpack(flat, start).step > 100
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(60, 24))
