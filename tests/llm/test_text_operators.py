@@ -193,6 +193,24 @@ def test_decontamination(spark, awkward, empty):
     assert {r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()} == {2, 5, 6, None}
 
 
+def test_decontamination_by_row(spark, empty, monkeypatch, tmp_path):
+    item, other = "one two three four five six seven eight", "red green blue white black brown"
+    bench = [(1, item), (None, other), (None, "only here alone"), (2, "first of two"), (2, "second of two")]
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item, "a"), (None, "nothing of it", "b"), (7, item, "c"), (7, "clean text here", "d"), (8, f"so {other} so", "e"),
+            (9, "it is only here alone", "f"), (10, "the first of two", "g"), (11, "the second of two", "h"), (12, None, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    for limit in (decontaminate.INDEX_WORDS, 8):
+        monkeypatch.setattr(decontaminate, "INDEX_WORDS", limit)
+        got = decontaminate.contaminated(docs, bench).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == {(None, 1), (7, 1), (8, None), (9, None), (10, 2), (11, 2)}
+        clean = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+        assert clean.columns == docs.columns and sorted(r.row for r in clean.collect()) == ["b", "d", "i"]
+    assert decontaminate.clean_rows(docs, bench.limit(0)).count() == len(rows)
+    assert decontaminate.clean_rows(empty, bench).count() == 0
+
+
 @pytest.mark.parametrize("name", ORACLE_SQL)
 def test_sql(spark, name):
     assert difference(QUERIES[name](spark, SF), duck(SF), ORACLE_SQL[name]) is None

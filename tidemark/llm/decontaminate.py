@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import bounds, shingles, slices, split
@@ -33,7 +34,7 @@ FLIPS = np.array(
 class Index(NamedTuple):
     """One pass's items: fingerprints in one table per block, and their shingles."""
 
-    item: np.ndarray  # ids
+    item: np.ndarray  # ids, None where an item has none
     size: np.ndarray  # words
     shingles: list[np.ndarray]  # of each item, with repeats
     prints: np.ndarray  # uint64
@@ -58,7 +59,7 @@ def keys(size: np.ndarray, prints: np.ndarray, block: int) -> np.ndarray:
     return (size.astype(np.int64) * BLOCKS + block) << BLOCK_BITS | value
 
 
-def build_index(ids: list[int], word_hashes: list[np.ndarray]) -> Index:
+def build_index(ids: list[int | None], word_hashes: list[np.ndarray]) -> Index:
     size = np.array([len(w) for w in word_hashes], np.int64)
     sets = [shingles(w, min(SHINGLE, len(w))) for w in word_hashes]
     prints = np.array(
@@ -74,7 +75,7 @@ def build_index(ids: list[int], word_hashes: list[np.ndarray]) -> Index:
         )
         anchor[k] = (both[:, 0].copy(), both[:, 1].astype(np.int64))
     item_of = np.tile(np.arange(len(ids)), BLOCKS)[order]
-    return Index(np.array(ids), size, sets, prints, table[order], item_of, anchor)
+    return Index(np.array(ids, object), size, sets, prints, table[order], item_of, anchor)
 
 
 def ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +182,7 @@ def find_items(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBa
             yield pa.record_batch(
                 [
                     batch.column(0).take(rows),
-                    pa.array([int(index.item[f[1]]) for f in found], pa.int64()),
+                    pa.array([index.item[f[1]] for f in found], pa.int64()),
                     pa.array([f[2] for f in found], pa.int64()),
                     pa.array([f[3] for f in found], pa.int64()),
                     pa.array([f[4] / f[5] for f in found], pa.float64()),
@@ -201,9 +202,23 @@ def item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def keep_clean(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
+    """(row, text) to the rows in whose text no item is found."""
+    index = index.value
+    for batch in batches:
+        found = np.zeros(batch.num_rows, bool)
+        for lo, hi, data, offsets in slices(batch.column(1), WINDOW_SLICE):
+            words = split(data, offsets)
+            for hit in hits(index, words.hash, bounds(words.row, hi - lo)):
+                found[lo + hit[0]] = True
+        rows = batch.column(0).filter(pa.array(~found))
+        yield pa.record_batch([rows], names=["row"])
+
+
 def item_classes(benchmark: DataFrame) -> DataFrame:
-    """(item_id, class_id, words): items of equal words are one class, named by its least id."""
-    items = benchmark.filter(F.col("item_id").isNotNull()).select(
+    """(item_id, class_id, words): items of equal words are one class, named by its least
+    id, or by null if none of them has an id."""
+    items = benchmark.select(
         F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text")
     )
     hashed = items.mapInArrow(item_words, "item_id long, words array<long>")
@@ -213,6 +228,22 @@ def item_classes(benchmark: DataFrame) -> DataFrame:
     )
 
 
+def indexes(benchmark: DataFrame, scratch: Scratch) -> Iterator:
+    """Broadcast indexes of all items, about INDEX_WORDS words each.  Items are told apart
+    by their words, so neither a repeated nor a missing id leaves a text out."""
+    items = item_classes(benchmark).groupBy("words").agg(F.min("class_id").alias("class_id"))
+    items = scratch.save(items.select("class_id", "words"), "items")
+    total = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    parts = total // INDEX_WORDS + 1
+    for part in range(parts):
+        own = items.filter(F.pmod(F.xxhash64("words"), F.lit(parts)) == part)
+        rows = own.orderBy("class_id", "words").collect()  # about INDEX_WORDS words
+        if rows:
+            words = [np.array(r["words"], np.int64).view(np.uint64) for r in rows]
+            index = build_index([r["class_id"] for r in rows], words)
+            yield benchmark.sparkSession.sparkContext.broadcast(index)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, similarity): items found in documents.
 
@@ -225,34 +256,50 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Words are runs of non-space bytes, A-Z lower-cased.  Items of equal words are
     one; ``item_classes`` has the members.  Null or empty texts and items match
-    nothing; rows that repeat are each searched; a null doc_id is reported as
-    null.  The benchmark is taken INDEX_WORDS at a time: each part is one index,
-    so bounded, and one pass over the documents.
+    nothing; rows that repeat are each searched; a null doc_id or item_id is
+    reported as null; of an id with several texts each is an item.  The benchmark
+    is taken INDEX_WORDS at a time: each part is one index, so bounded, and one
+    pass over the documents.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
-    items = item_classes(benchmark).filter("item_id = class_id").dropDuplicates(["class_id"])
-    items = scratch.save(items.select("class_id", "words"), "items")
-    total = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
-    parts = total // INDEX_WORDS + 1
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
     )
     kind = "doc_id long, item_id long, first_word long, n_words long, similarity double"
-    found = spark.createDataFrame([], kind)
-    for part in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("class_id"), F.lit(parts)) == part)
-        rows = own.orderBy("class_id").collect()  # about INDEX_WORDS words
-        if rows:
-            words = [np.array(r["words"], np.int64).view(np.uint64) for r in rows]
-            index = build_index([r["class_id"] for r in rows], words)
-            shared = spark.sparkContext.broadcast(index)
-            hits_of_part = texts.mapInArrow(partial(find_items, index=shared), kind)
-            found = found.union(hits_of_part) if part else hits_of_part
-    return found
+    found = None
+    for index in indexes(benchmark, scratch):
+        hits_of_part = texts.mapInArrow(partial(find_items, index=index), kind)
+        found = found.union(hits_of_part) if found is not None else hits_of_part
+    return spark.createDataFrame([], kind) if found is None else found
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in whose text no benchmark item is found.
+
+    Each row is judged by its own text; its id, repeated or null, decides nothing.
+    What one part of the benchmark leaves is written before the next part's pass.
+    """
+    scratch = Scratch(docs.sparkSession, "clean")
+    left, before = docs, None
+    for turn, index in enumerate(indexes(benchmark, scratch)):
+        if turn:
+            left = scratch.save(left, f"left-{turn}")
+            if before:
+                scratch.drop(before)
+            before = f"left-{turn}"
+        own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        rows = left.select(own, F.col("text").cast("binary").alias("text"))
+        kind = T.StructType([rows.schema["row"]])
+        left = rows.mapInArrow(partial(keep_clean, index=index), kind).select("row.*")
+    return left
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item was found."""
+    """The rows of ``docs`` whose doc_id no row with a benchmark item has.
+
+    All rows of such an id go, and a row without id always stays; ``clean_rows``
+    decides by row.
+    """
     gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
