@@ -271,6 +271,35 @@ def test_licences(spark, awkward, empty, documents):
     assert licences.licences(awkward).count() == 0
 
 
+def test_licences_wrapped(spark, documents):
+    gpl = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+    made = [
+        gpl,
+        "First some prose of its own.\n" + "\n".join(f"# {x}" for x in bsd.split("\n")) + "\nand then other prose.",
+        "Prose.\r\n" + gpl.replace("\n", "\r\n"),
+        "\n".join(gpl.split()[:32]),
+        "word " * 90 + bsd + " word" * 90,
+        "Released under the MIT License.\n" + bsd,
+        gpl.replace("\n", "\n\n"),
+    ]
+    docs = documents.select("doc_id", "text").union(
+        spark.createDataFrame(list(enumerate(made, 1_000_000)), "doc_id long, text string")
+    )
+    got = sorted(
+        (r.doc_id - 1_000_000, r.paragraph, r.family)
+        for r in licences.licences(docs).collect()
+        if r.doc_id >= 1_000_000
+    )
+    sure = [r for r in got if r[2] != "unknown"]
+    assert sure == [(0, 0, "gpl"), (1, 1, "bsd"), (2, 2, "gpl"), (3, 0, "gpl"), (4, 0, "bsd"), (5, 0, "mit"), (5, 1, "bsd")]
+    assert all(r[0] == 6 for r in got if r[2] == "unknown")
+
+
 def test_language_model(spark, awkward, empty, documents):
     rows = documents.collect()
     learnt = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2]
