@@ -19,8 +19,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4 on five-word shingles at a similarity of 0.8; the least id stays."""
-    return minhash.kept_documents(docs, words=5, percent=80)
+    """Operator 4 on five-word shingles at a similarity of 0.8; a row of the least id stays."""
+    return minhash.kept_rows(docs, words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,6 +164,28 @@ def test_minhash_awkward(awkward, empty):
     assert minhash.kept_documents(awkward).count() == len(AWKWARD) - 1
 
 
+def test_minhash_by_row(spark, tmp_path):
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    near = text("a", 40) + " tail"
+    rows = [
+        (1, text("a"), "a"), (1, text("a"), "a"),  # a row that repeats
+        (None, text("b"), "b"), (None, text("b"), "b"), (None, text("b") + " end", "b"),  # no id
+        (3, text("c"), "c"), (9, text("c"), "c"), (9, text("d"), "d"),  # 9 has another text
+        (1, text("e"), "e"), (7, near, "a"), (7, text("f"), "f"),  # 7 is only near with one
+        (None, text("a"), "a"), (None, "", "none"), (None, None, "none"), (8, "", "none"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)
+    got = minhash.near_duplicates(docs.withColumnsRenamed({"row": "other"})).collect()
+    assert len(got) == len(rows)
+    assert Counter((r.doc_id, r.component_id) for r in got if r.n_shingles) == Counter(
+        {(1, 1): 3, (None, None): 3, (3, 3): 1, (9, 3): 1, (9, 9): 1, (7, 1): 1, (7, 7): 1, (None, 1): 1}
+    )
+    assert sum(r.kept for r in got) == 9
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(r.row for r in kept.collect()) == ["a", "b", "c", "d", "e", "f", "none", "none", "none"]
+
+
 def test_decontamination(spark, awkward, empty):
     item = "one two three four five six seven eight nine ten"
     bench = spark.createDataFrame(

@@ -18,7 +18,9 @@ BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability 3e-6
 PIVOT_ROUNDS = 2
 BROADCAST_IDS = 2_000_000  # 16 MB
 
-SIGNED = "id long, n long, f1 long, f2 long, bands array<long>, minima binary"
+SIGNED = (
+    "id long, k1 long, k2 int, n long, f1 long, f2 long, bands array<long>, minima binary"
+)
 
 
 def hash_functions(count: int, seed: int = 4) -> tuple[np.ndarray, np.ndarray]:
@@ -67,14 +69,14 @@ def sign(
             prints = prints.view(np.int64)
             yield pa.record_batch(
                 [
-                    batch.column(0).slice(lo, hi - lo),
+                    *(batch.column(c).slice(lo, hi - lo) for c in (0, 2, 3)),
                     pa.array(sizes),
                     pa.array(prints[:, 0]),
                     pa.array(prints[:, 1]),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array(least, pa.binary()),
                 ],
-                names=["id", "n", "f1", "f2", "bands", "minima"],
+                names=["id", "k1", "k2", "n", "f1", "f2", "bands", "minima"],
             )
 
 
@@ -110,9 +112,23 @@ def agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
         yield batch.select([0, 1]).filter(pa.array(near))
 
 
-def _only(docs: DataFrame, ids: DataFrame, at_most: int) -> DataFrame:
-    """The texts of these ids: by broadcast while the counted bound on them is small."""
-    return docs.join(F.broadcast(ids) if at_most <= BROADCAST_IDS else ids, "id", "left_semi")
+def _keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, k1, k2): 96 bits of hash tell rows of different id or text apart, so that
+    a row can be found again when the documents are read again."""
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")
+    )
+    return rows.select("*", F.xxhash64("id", "text").alias("k1"), F.hash("id", "text").alias("k2"))
+
+
+def _only(docs: DataFrame, reps: DataFrame, ids: DataFrame, at_most: int) -> DataFrame:
+    """(id, text) of these classes, once each: by broadcast while the counted bound on
+    them is small."""
+    few = at_most <= BROADCAST_IDS
+    own = reps.select("id", "k1", "k2").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    texts = docs.select("text", "k1", "k2").join(F.broadcast(own) if few else own, ["k1", "k2"])
+    # Rows that repeat id and text have one key.
+    return texts.select("id", "text").dropDuplicates(["id"])
 
 
 def _verified(
@@ -140,7 +156,7 @@ def _verified(
     )
     near = scratch.save(near, f"{name}-near")
     ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _only(docs, ids, at_most=2 * near.count()).mapInArrow(
+    sets = _only(docs, reps, ids, at_most=2 * near.count()).mapInArrow(
         partial(shingle_sets, k=k), "id long, shingles array<long>"
     )
     sets = scratch.save(sets, f"{name}-sets")
@@ -159,7 +175,7 @@ def _verified(
 
 
 def _sharing_rare(
-    members: DataFrame, docs: DataFrame, scratch: Scratch, k: int, percent: int
+    members: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch, k: int, percent: int
 ) -> DataFrame:
     """Pairs (a, na, b, nb) across components that share one of their rarest shingles.
 
@@ -170,7 +186,7 @@ def _sharing_rare(
     """
     nodes = members.groupBy("id").agg(F.first("n").alias("n"), F.first("comp").alias("comp"))
     nodes = scratch.save(nodes, "rest")
-    sets = _only(docs, nodes.select("id"), at_most=nodes.count()).mapInArrow(
+    sets = _only(docs, reps, nodes.select("id"), at_most=nodes.count()).mapInArrow(
         partial(shingle_sets, k=k), "id long, shingles array<long>"
     )
     entries = scratch.save(sets.select("id", F.explode("shingles").alias("shingle")), "rest-sets")
@@ -219,25 +235,43 @@ def near_duplicates(
     one bucket is compared wherever two texts share one of their rarest shingles,
     which loses no link and needs no pair for texts that are alike but not enough.
 
-    A null or empty text has no shingles and is linked with nothing.  A null id
-    joins nothing and has a null component, but stays.  Rows that repeat an id
-    share its component if their texts are equal and are judged one by one if
-    not.  Other columns are not looked at.
+    A null or empty text has no shingles and is linked with nothing.  Of every
+    component exactly one row is kept, one with the least id.  Ids decide nothing
+    else: rows that repeat an id are judged by their own texts, and rows without
+    id are linked like others; a component of none but these has a null id.
+    Other columns are not looked at.
+    """
+    judged = _judged(_keyed(docs, id_col, text_col), words, percent, bands, rows)
+    return judged.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "kept"
+    )
+
+
+def _judged(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """(id, k1, k2, n, component_id, kept) for every row of ``_keyed`` documents.
+
+    Links and components are those of classes of equal sets, each under a number
+    written with it; ids come in again at the end.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
-    docs = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")
-    )
-    signed = docs.mapInArrow(partial(sign, k=words, bands=bands, rows=rows), SIGNED)
-    signed = scratch.save(signed, "signed")
-    full = signed.filter("n > 0 AND id IS NOT NULL")
-    classes = full.groupBy("f1", "f2", "n").agg(
-        F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("minima").alias("minima")
+    signed = docs.select("id", "text", "k1", "k2").mapInArrow(partial(sign, k=words, bands=bands, rows=rows), SIGNED)
+    signed = scratch.save(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
+    # The kept row of a class is one with the least id; a null id comes last.
+    best = F.struct(F.col("id").isNull().alias("none"), "id", "row", "k1", "k2")
+    classes = signed.filter("n > 0").groupBy("f1", "f2", "n").agg(
+        F.min(best).alias("best"), F.count("*").alias("size"),
+        F.first("bands").alias("bands"), F.first("minima").alias("minima"),
+    )
+    number = F.monotonically_increasing_id().alias("id")
+    reps = scratch.save(
+        classes.select(number, "f1", "f2", "n", "size", "best", "best.k1", "best.k2", "bands", "minima"),
+        "reps",
     )
-    reps = scratch.save(classes.select(F.col("rep").alias("id"), "n", "bands", "minima"), "reps")
 
-    banded = reps.select("id", "n", F.explode("bands").alias("key"))
+    # Pivots go by document id, as originals mostly precede their copies.
+    order = F.coalesce("best.id", F.lit((1 << 63) - 1)).alias("place")
+    banded = reps.select("id", "n", order, F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     buckets = scratch.save(banded.join(shared.select("key"), "key"), "buckets")
     like = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
@@ -267,14 +301,14 @@ def near_duplicates(
             # The first pivot is the least member, so nearly the same in all buckets of
             # a group.  Later ones are drawn by a hash, so a member that is still apart
             # meets another pivot in each of its buckets.
-            drawn = F.xxhash64(F.lit(turn), "key", "id") if turn else F.col("id")
+            drawn = F.xxhash64(F.lit(turn), "key", "id") if turn else F.col("place")
             first = F.struct(drawn.alias("draw"), F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
             pivots = members.groupBy("key").agg(F.min(first).alias("p"))
             pivots = pivots.select("key", "p.a", "p.ca", "p.na")
             pairs = members.join(pivots, "key").filter("comp <> ca")
             pairs = pairs.select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
         else:
-            pairs = _sharing_rare(members, docs, scratch, words, percent)
+            pairs = _sharing_rare(members, docs, reps, scratch, words, percent)
         pairs = pairs.filter(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         links = check(pairs.distinct(), name=f"round-{turn}")
         changed = not links.isEmpty()
@@ -284,31 +318,61 @@ def near_duplicates(
             linked = components(edges, "a", "b", scratch, f"stars-{turn}")
     scratch.drop("buckets")
 
-    ids = signed.select("id", "n", "f1", "f2")
-    copies = (
-        full.groupBy("f1", "f2", "n")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("size"))
-        .filter("size > 1")
-        .drop("size")
-    )
-    out = ids.join(copies, ["f1", "f2", "n"], "left").withColumn(
-        "rep", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id"))
-    )
+    best = reps.select("id", "best.none", F.col("best.id").alias("doc"), F.col("best.row").alias("row"))
+    best = best.select("id", F.struct("none", "doc", "row").alias("best"))
     if linked is not None:
-        out = out.join(linked.toDF("rep", "component"), "rep", "left").withColumn(
-            "rep", F.coalesce("component", "rep")
-        )
+        # Only classes that are linked need the best row of their component.
+        first = linked.join(best, "id").groupBy("component").agg(F.min("best").alias("of_all"))
+        shared = linked.join(first, "component").select("id", "of_all")
+        best = best.join(shared, "id", "left").select("id", F.coalesce("of_all", "best").alias("best"))
+    # A row that is a class alone and not linked needs no lookup by its fingerprint.
+    of_class = reps.select("id", "f1", "f2", "n", "size").join(best, "id")
+    alone = (F.col("size") == 1) & (F.col("best.row") == F.col("own"))
+    own = reps.select("id", F.col("best.row").alias("own"))
+    of_class = of_class.join(own, "id").filter(~alone)
+    of_class = of_class.select("f1", "f2", "n", F.struct("best.doc", "best.row").alias("b"))
+    out = signed.select("id", "k1", "k2", "n", "f1", "f2", "row").join(
+        of_class, ["f1", "f2", "n"], "left"
+    )
     return out.select(
-        F.col("id").alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.col("rep").alias("component_id"),
-        F.col("id").eqNullSafe(F.col("rep")).alias("kept"),
+        "id",
+        "k1",
+        "k2",
+        "n",
+        F.when(F.col("b").isNull(), F.col("id")).otherwise(F.col("b.doc")).alias("component_id"),
+        F.coalesce(F.col("b.row") == F.col("row"), F.lit(True)).alias("kept"),
     )
 
 
 def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay; an id goes if none of its rows is kept."""
+    """The rows of ``docs`` whose id is kept, all of them; ``kept_rows`` decides by row."""
     found = near_duplicates(docs, **options)
     gone = found.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max("kept").alias("kept"))
     gone = gone.filter("NOT kept").select("gone_id")
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def kept_rows(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps: one of every component, and all
+    without shingles.  Of rows that repeat id and text any one can be the one."""
+    judged = _judged(_keyed(docs), words, percent, bands, rows).filter("n > 0")
+    by_key = judged.groupBy("k1", "k2").agg(
+        F.count("*").alias("copies"), F.max("kept").alias("kept")
+    )
+    marked = Scratch(docs.sparkSession, "kept").save(
+        by_key.filter("NOT kept OR copies > 1").select("k1", "k2", "kept"), "marked"
+    )
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    keyed = docs.select(own, F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
+    keyed = keyed.select("own", F.xxhash64("id", "text").alias("k1"), F.hash("id", "text").alias("k2"))
+    left = keyed.join(marked, ["k1", "k2"], "left_anti").select("own.*")
+    if marked.filter("kept").isEmpty():
+        return left
+    repeated = keyed.join(marked.filter("kept"), ["k1", "k2"], "left_semi")
+    return left.union(repeated.dropDuplicates(["k1", "k2"]).select("own.*"))
