@@ -130,4 +130,19 @@ SELECT doc_id, size, source_size, target,
 FROM summed
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_url_reputation": URL_REPUTATION, "op10_mixing": MIXING}
+EXACT_DUPLICATES = """
+WITH normal AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM normal WINDOW same AS (PARTITION BY text)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_reputation": URL_REPUTATION,
+    "op10_mixing": MIXING,
+    "op11_exact_duplicates": EXACT_DUPLICATES,
+}

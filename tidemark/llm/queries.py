@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
+    exact,
     language,
     licences,
     minhash,
@@ -90,6 +91,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -101,4 +107,5 @@ QUERIES: dict[str, Query] = {
     "op8_embeddings": op8_embeddings,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
+    "op11_exact_duplicates": op11_exact_duplicates,
 }
