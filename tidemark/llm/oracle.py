@@ -141,8 +141,69 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM normal WINDOW same AS (PARTITION BY text)
 """
 
+# crc32 has no function: eight shifts for each digit of the decimal id.
+PREFIXES = r"""
+WITH digits AS (
+    SELECT DISTINCT conv_id, list_transform(range(1, len(conv_id::VARCHAR) + 1),
+               lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::UBIGINT) AS codes
+    FROM conversations WHERE conv_id IS NOT NULL
+), hashed AS (
+    SELECT conv_id, xor(list_reduce(list_prepend(4294967295::UBIGINT, codes),
+               lambda crc, code: list_reduce(
+                   list_prepend(xor(crc, code), [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[]),
+                   lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT)
+                                     ELSE c >> 1 END)), 4294967295::UBIGINT) % 9 AS h
+    FROM digits
+), turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(sha256(
+               strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '')
+               || coalesce(text, '')), 1, 32), strlen(coalesce(text, ''))) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+    SELECT c.conv_id, t.place, role, text FROM hashed c
+    JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.place <= h
+    UNION ALL
+    SELECT c.conv_id, t.place, role, text FROM hashed c
+    JOIN turns t ON t.conv_id = c.conv_id AND t.place > h
+), placed AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth, role, text
+    FROM rebuilt
+), steps AS (
+    SELECT conv_id, depth, strlen(text) AS n_bytes,
+           string_agg(sha256(strlen(role)::VARCHAR || ':' || role || text), '')
+               OVER (PARTITION BY conv_id ORDER BY depth) AS path
+    FROM placed
+    UNION ALL SELECT conv_id, 0, 0, '' FROM hashed
+), ended AS (
+    SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM steps
+), nodes AS (
+    SELECT path, depth, any_value(n_bytes) AS n_bytes, min(conv_id) AS conv_id,
+           count(*) AS n_convs, coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ','
+               ORDER BY conv_id), '') AS ids
+    FROM ended GROUP BY path, depth
+), tree AS (
+    SELECT n.*, p.conv_id AS parent_conv_id,
+           (SELECT count(*) FROM nodes c
+            WHERE c.depth = n.depth + 1 AND left(c.path, len(n.path)) = n.path) AS n_children
+    FROM nodes n LEFT JOIN nodes p
+      ON p.depth = n.depth - 1 AND p.path = left(n.path, len(n.path) - 64)
+), below AS (
+    SELECT DISTINCT a.path AS top, b.path FROM steps a
+    JOIN steps b ON a.conv_id = b.conv_id AND a.depth <= b.depth
+), subtrees AS (
+    SELECT top, sum((t.n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+           sum((t.n_convs - 1) * t.n_bytes)::BIGINT AS saved_tokens
+    FROM below JOIN tree t ON t.path = below.path GROUP BY top
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+       sha256(ids) AS ends_sha256
+FROM tree JOIN subtrees ON top = path
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_url_reputation": URL_REPUTATION,
     "op10_mixing": MIXING,
     "op11_exact_duplicates": EXACT_DUPLICATES,
+    "op13_prefix_trie": PREFIXES,
 }

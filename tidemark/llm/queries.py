@@ -14,6 +14,7 @@ from tidemark.llm import (
     licences,
     minhash,
     mixing,
+    prefixes,
     quantise,
     recurrent,
     reputation,
@@ -96,6 +97,10 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -108,4 +113,5 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op13_prefix_trie": op13_prefix_trie,
 }
