@@ -141,6 +141,43 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM normal WINDOW same AS (PARTITION BY text)
 """
 
+RANKED = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, text FROM documents
+), doc_terms AS (
+    SELECT doc, doc_id, term, count(*) AS tf FROM (
+        SELECT doc, doc_id, unnest(regexp_extract_all(translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs)
+    GROUP BY ALL
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, text FROM benchmark
+), item_terms AS (
+    SELECT item, item_id, term, count(*) AS repeats FROM (
+        SELECT item, item_id, unnest(regexp_extract_all(translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items)
+    GROUP BY ALL
+), lengths AS (
+    SELECT doc, sum(tf)::BIGINT AS n FROM doc_terms GROUP BY doc
+), sizes AS (
+    SELECT count(*) AS n_docs, sum(n)::BIGINT AS total FROM lengths
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM doc_terms, sizes WHERE term IN (SELECT term FROM item_terms) GROUP BY term, n_docs
+), lengthened AS (
+    SELECT doc, 100 - 25 + ((25 * n * n_docs) // total) AS m FROM lengths, sizes
+), scores AS (
+    SELECT item, item_id, doc, doc_id,
+           sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM item_terms JOIN doc_terms USING (term) JOIN weights USING (term) JOIN lengthened USING (doc)
+    GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank,
+       doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
 # crc32 has no function: eight shifts for each digit of the decimal id.
 PREFIXES = r"""
 WITH digits AS (
@@ -205,5 +242,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_reputation": URL_REPUTATION,
     "op10_mixing": MIXING,
     "op11_exact_duplicates": EXACT_DUPLICATES,
+    "op12_ranked_search": RANKED,
     "op13_prefix_trie": PREFIXES,
 }

@@ -16,6 +16,7 @@ from tidemark.llm import (
     mixing,
     prefixes,
     quantise,
+    ranked,
     recurrent,
     reputation,
     toxicity,
@@ -97,6 +98,12 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.top_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -113,5 +120,6 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op12_ranked_search": op12_ranked_search,
     "op13_prefix_trie": op13_prefix_trie,
 }
