@@ -7,7 +7,7 @@ from model import ACCOUNT, DAY, PLACE, change, frame, rows_of, target
 
 from tidemark.plans.cycle import run_cycle
 from tidemark.sinks.stage import read_stage, replace_stage, write_stage
-from tidemark.sinks.targets import SLOTS, TargetStore
+from tidemark.sinks.targets import KEPT_COMMITS, CommitConflict, TargetStore
 
 EARLY = datetime(2000, 1, 1)
 
@@ -84,27 +84,152 @@ def test_compaction_by_size(spark, tmp_path, monkeypatch):
     assert state.snapshot_id == 1 and list(state.open_batches) == [2, 3]
 
 
-def test_the_previous_commit_survives_a_broken_one(spark, store, tmp_path):
-    for n in (1, 2):
-        store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(n, 2, n, "x")]))
-    state = store.state(ACCOUNT)
-    slots = tmp_path / "commits" / f"table_name={ACCOUNT.name}"
-    newest = slots / f"slot={state.commit_id % SLOTS}"
-    for part in newest.glob("*.parquet"):  # as if the overwrite had stopped half-way
-        part.unlink()
-    for part in newest.glob(".*.crc"):
-        part.unlink()
+def test_a_commit_that_broke_off_is_not_read(spark, store, tmp_path):
+    store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(1, 2, 1, "x")]))
+    commits = tmp_path / "commits" / ACCOUNT.name
+    (commits / ".000000000002.json-draft").write_text('{"commit_id": 2, "batch_')
     assert store.state(ACCOUNT).batch_id == 1
     assert rows_of(store.read(ACCOUNT)) == [(1, "x", 0, False)]
+    store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(2, 2, 2, "y")]))
+    assert store.read(ACCOUNT).count() == 2
 
 
-def test_commits_go_round_the_slots(spark, store, tmp_path):
-    for n in range(1, SLOTS + 3):
+def test_a_few_commits_are_kept(spark, store, tmp_path):
+    for n in range(1, KEPT_COMMITS + 3):
         store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(n, 2, n, "x")]))
     state = store.state(ACCOUNT)
-    assert (state.commit_id, state.batch_id) == (SLOTS + 2, SLOTS + 2)
-    assert mark(store, ACCOUNT) == DAY + timedelta(seconds=SLOTS + 2)
-    assert store.read(ACCOUNT).count() == SLOTS + 2
+    assert (state.commit_id, state.batch_id) == (KEPT_COMMITS + 2, KEPT_COMMITS + 2)
+    assert len(list((tmp_path / "commits" / ACCOUNT.name).glob("*.json"))) == KEPT_COMMITS
+    assert mark(store, ACCOUNT) == DAY + timedelta(seconds=KEPT_COMMITS + 2)
+    assert store.read(ACCOUNT).count() == KEPT_COMMITS + 2
+
+
+def test_of_two_writers_from_one_state_the_second_stops(spark, store):
+    store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(1, 2, 1, "a")]))
+    state = store.state(ACCOUNT)
+    first, second = (frame(spark, ACCOUNT, [change(2, 2, n, "b")]) for n in (2, 3))
+    store.apply(ACCOUNT, first, state=state)
+    with pytest.raises(CommitConflict, match="commit 2 exists"):
+        store.apply(ACCOUNT, second, state=state)
+    assert rows_of(store.read(ACCOUNT)) == [(1, "a", 0, False), (2, "b", 0, False)]
+    with pytest.raises(CommitConflict):
+        store.compact(ACCOUNT, state)
+    assert store.apply(ACCOUNT, second) == 1
+    assert store.read(ACCOUNT).count() == 3
+
+
+def test_a_cycle_stops_if_another_writer_was_faster(spark, store):
+    def log(mark):
+        store.apply(PLACE, frame(spark, PLACE, [change(5, 2, 9, "other")]))
+        return frame(spark, PLACE, [change(1, 2, 1, "own")])
+
+    with pytest.raises(CommitConflict):
+        run_cycle(store, {"p": log}, {"p": PLACE}, default=EARLY)
+    assert [r[1] for r in rows_of(store.read(PLACE))] == ["other"]
+
+
+KEYS = 400
+
+
+def wide_history(table, batches):
+    """Batches after a first one of all keys: few keys each, some of them new or deleted."""
+    rows = [[change(1, 2, key, "first", 0) for key in range(KEYS)]]
+    for n in range(2, batches + 2):
+        keys = [n, n + 50, KEYS + n]
+        rows.append([change(n, 1 if k == n + 50 else 4, k, f"in {n}", n) for k in keys])
+    return rows
+
+
+@pytest.mark.parametrize("table", [ACCOUNT, PLACE], ids=lambda t: t.name)
+def test_compaction_rewrites_touched_buckets_only(spark, tmp_path, table):
+    plain = TargetStore(spark, f"{tmp_path}/plain")
+    store = TargetStore(spark, f"{tmp_path}/buckets", bucket_bytes=2_000)
+    first, *batches = [frame(spark, table, rows) for rows in wide_history(table, 4)]
+    for target_store in (plain, store):
+        target_store.apply(table, first)
+    before = store.compact(table)
+    assert len(before.levels) >= 32 and set(before.levels) == {1}
+    for batch in batches[:2]:
+        plain.apply(table, batch)
+        store.apply(table, batch)
+    after = store.compact(table)
+    changed = [a != b for a, b in zip(after.folders, before.folders, strict=True)]
+    assert 0 < sum(changed) <= 6
+    assert after.snapshot_id == 3 and not after.batches.keys() - {"3"}
+    written = spark.read.parquet(f"{store.root}/snapshots/{table.name}/batch_id=3/*").count()
+    assert written < store.read(table).count() / 3
+    for batch in batches[2:]:
+        plain.apply(table, batch)
+        store.apply(table, batch)
+    assert rows_of(store.read(table)) == rows_of(plain.read(table))
+
+
+@pytest.mark.parametrize("table", [ACCOUNT, PLACE], ids=lambda t: t.name)
+def test_buckets_with_few_changes_wait(spark, tmp_path, table):
+    plain = TargetStore(spark, f"{tmp_path}/plain")
+    store = TargetStore(spark, f"{tmp_path}/buckets", bucket_bytes=2_000)
+    first, *batches = [frame(spark, table, rows) for rows in wide_history(table, 3)]
+    # all rows of one batch are of one key, whose bucket is due
+    batches.append(frame(spark, table, [change(9 + n, 4, 77, f"much {n}", n) for n in range(60)]))
+    for target_store in (plain, store):
+        target_store.apply(table, first)
+    store.compact(table)
+    for batch in batches:
+        plain.apply(table, batch)
+        store.apply(table, batch)
+    after = store.compact(table, share=0.5)
+    assert len(set(after.levels)) == 2 and after.snapshot_id == 1
+    assert list(after.open_batches) == [2, 3, 4, 5] and after.batches_bytes > 0
+    assert rows_of(store.read(table)) == rows_of(plain.read(table))
+    more = frame(spark, table, [change(99, 4, 77, "last", 99), change(100, 1, 3, day=99)])
+    for target_store in (plain, store):
+        target_store.apply(table, more)
+    assert rows_of(store.read(table)) == rows_of(plain.read(table))
+    assert store.compact(table).batches_bytes == 0
+    assert rows_of(store.read(table)) == rows_of(plain.read(table))
+
+
+def test_a_growing_table_gets_more_buckets(spark, tmp_path):
+    store = TargetStore(spark, str(tmp_path), bucket_bytes=2_000)
+    counts = []
+    for n in range(3):
+        rows = [change(n + 1, 2, key, "x") for key in range(30 * 4**n)]
+        store.apply(ACCOUNT, frame(spark, ACCOUNT, rows))
+        counts.append(len(store.compact(ACCOUNT).levels))
+    assert counts == sorted(set(counts)) and counts[-1] >= 16
+    assert store.read(ACCOUNT).count() == 480
+
+
+def test_many_small_batches_are_merged_between_polls(spark, store, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.targets.MERGE_BATCHES", 3)
+    for n in range(1, 12):
+        store.apply(PLACE, frame(spark, PLACE, [change(n, 2 if n % 3 else 1, n % 4, "x", n)]))
+        before = rows_of(store.read(PLACE))
+        store.maintain(PLACE)
+        assert rows_of(store.read(PLACE)) == before
+        assert len(store.state(PLACE).batches) <= 5
+    assert store.state(PLACE).snapshot_id is None
+    store.compact(PLACE)
+    assert rows_of(store.read(PLACE)) == before
+    assert store.state(PLACE).snapshot_id == 11
+
+
+def test_vacuum_removes_what_no_commit_names(spark, store, tmp_path):
+    for n in range(1, 4):
+        store.apply(ACCOUNT, frame(spark, ACCOUNT, [change(n, 2, n, "x")]))
+        store.compact(ACCOUNT)
+    write_stage(
+        frame(spark, ACCOUNT, [change(9, 2, 9)]),
+        f"{store._batch_path(ACCOUNT, 4)}/attempt=alost",
+        ACCOUNT,
+    )
+    assert store.vacuum(ACCOUNT) == 0  # all of it is young
+    assert store.vacuum(ACCOUNT, older_than_hours=0) == 1  # kept commits name the others
+    for old in store._commits(ACCOUNT.name)[:-1]:
+        store.files.delete(old)
+    assert store.vacuum(ACCOUNT, older_than_hours=0) == 4  # two snapshots, two batches
+    assert store.read(ACCOUNT).count() == 3
+    assert store.vacuum(ACCOUNT, older_than_hours=0) == 0
 
 
 def test_an_image_without_key_stops_the_batch(spark, store):
@@ -150,6 +275,38 @@ def test_a_change_with_the_time_of_the_mark_is_never_read(spark, store):
     assert rows_of(store.read(ACCOUNT)) == [(1, "a", 0, False)]
 
 
+def test_no_change_is_applied_twice_and_none_is_lost(spark, store):
+    """Times at and in the mark's millisecond, one late, one with the time of the mark."""
+    at = [DAY + timedelta(microseconds=us) for us in (1000, 1500, 1500, 1200, 3000)]
+    rows = [change(n, 2, 5, f"v{n}", n, at=t) for n, t in enumerate(at)]
+    for visible in (2, 2, 3, 4, 4, 5, 5):
+        cycle(spark, store, [], rows[:visible], no_reread=True)
+    assert [r[1] for r in rows_of(store.read(PLACE))] == ["v0", "v1", "v2", "v3", "v4"]
+
+
+def test_no_reread_over_batches_of_one_millisecond(spark, store):
+    """What was seen lies in several batches, and in compacted and merged ones."""
+    rows = [change(n, 2, n, "v", n, at=DAY + timedelta(microseconds=n)) for n in range(6)]
+    for visible in range(1, 7):
+        cycle(spark, store, [], rows[:visible], no_reread=True)
+        if visible == 3:
+            store.compact(PLACE)
+        store.vacuum(PLACE, older_than_hours=0)
+    assert store.read(PLACE).count() == 6
+    assert store.seen_at_mark(PLACE).count() == 6
+
+
+def test_no_reread_after_a_first_content(spark, store):
+    mark = DAY + timedelta(microseconds=1500)
+    store.seed(PLACE, target(spark, PLACE, [(1, "seed", 0, False, True)]), mark)
+    rows = [change(1, 2, 1, "in it", at=mark), change(2, 2, 1, "new", at=mark + timedelta(microseconds=9))]
+    for _ in range(2):
+        cycle(spark, store, [], rows, no_reread=True)
+    assert sorted(r[1] for r in rows_of(store.read(PLACE))) == ["new", "seed"]
+    with pytest.raises(ValueError, match="no_reread"):
+        cycle(spark, store, [], [], no_reread=True, exact=True)
+
+
 def test_a_lost_delete_read_again_counts(spark, store):
     """Its key was unknown the first time; the re-read meets the insert."""
     log = [change(1, 1, 1, at=DAY + timedelta(microseconds=1500))]

@@ -27,6 +27,11 @@ def commit_time_ms(ts: Column) -> Column:
     return ts - F.make_dt_interval(zero, zero, zero, below_ms)
 
 
+def floor_ms(time: datetime) -> datetime:
+    """The same cut for a time in the driver."""
+    return time.replace(microsecond=time.microsecond // 1000 * 1000)
+
+
 def ntz(value: datetime) -> Column:
     """A zone-less timestamp literal, whatever the time zone of driver and session."""
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

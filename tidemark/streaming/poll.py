@@ -2,18 +2,22 @@
 
 The checkpoint keeps track of what was read, so progress does not depend on the
 commit time and rows are never read twice.  The watermark is still recorded.
-One query is one writer: do not poll the same table in batch cycles meanwhile.
+A query keeps the mark at which it took the table over, and every one of its batches
+starts past it, so cycles, other streams and this one may follow each other over
+logs and files that overlap.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.config import BEFORE_IMAGE, TableConfig
+from tidemark.config import BEFORE_IMAGE, DEFAULT_WATERMARK, TableConfig
+from tidemark.functions import floor_ms
 from tidemark.sinks.targets import TargetStore
 from tidemark.sources.change_log import changes_after
 
@@ -38,26 +42,33 @@ def stream_apply(
     table: TableConfig,
     checkpoint: str,
     trigger: dict | None = None,
+    default: datetime = DEFAULT_WATERMARK,
+    exact: bool = False,
     **options: str,
 ) -> StreamingQuery:
     """Apply each micro-batch to the target table, exactly once.
 
     A query is known by its own id, which lives in its checkpoint, not by the
-    checkpoint's path.  The first batch of a query that the table has not seen
-    before starts past the table's mark, so a stream may follow batch cycles or
-    another stream over the same changes.
+    checkpoint's path.  It takes a table over at the table's mark, or at ``default`` if
+    that has none, cut to milliseconds unless ``exact``, as a cycle reads.  The mark is
+    committed with the query's id, and all its batches are read from there: a file that
+    comes late but is newer than the mark counts, one that repeats what was applied
+    before does not.
     """
 
     def apply(batch: DataFrame, batch_no: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         state = store.state(table)
-        if state.source != query and state.last_update is not None:
-            batch = changes_after(batch, state.last_update)
-        store.apply(table, batch, source=query, source_batch=batch_no)
+        mark = state.source_mark if state.source == query else state.last_update
+        mark = default if mark is None else mark
+        changes = changes_after(batch, mark if exact else floor_ms(mark))
+        store.apply(
+            table, changes, source=query, source_batch=batch_no, source_mark=mark, state=state
+        )
 
     return (
         change_stream(store.spark, landing, table, **options)
-        .filter((F.col("operation") != BEFORE_IMAGE) & F.col("start_lsn").isNotNull())
+        .filter(F.col("operation") != BEFORE_IMAGE)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_FIVE_MINUTES))
@@ -71,12 +82,21 @@ def stream_tables(
     tables: Iterable[TableConfig],
     checkpoint: str,
     trigger: dict | None = None,
+    default: datetime = DEFAULT_WATERMARK,
+    exact: bool = False,
     **options: str,
 ) -> list[StreamingQuery]:
     """One query per table, each with its own folder and its own progress."""
     return [
         stream_apply(
-            store, f"{landing}/{t.name}", t, f"{checkpoint}/{t.name}", trigger, **options
+            store,
+            f"{landing}/{t.name}",
+            t,
+            f"{checkpoint}/{t.name}",
+            trigger,
+            default,
+            exact,
+            **options,
         )
         for t in tables
     ]
