@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import BROADCAST_BYTES, left_lookup
+from tidemark.operators.joins import BROADCAST_BYTES, left_lookup, split_by_keys
 
 
 def sides(spark):
@@ -67,3 +67,27 @@ def test_binary_and_null_hot_keys(spark):
     assert Counter(tuple(map(str, r)) for r in found.collect()) == want
     only_null = left.withColumn("k", F.lit(None).cast("binary"))
     assert left_lookup(only_null, right, "k", rows_per_task=50).filter("v IS NULL").count() == 4000
+
+
+def test_rows_are_split_by_changed_keys(spark, monkeypatch):
+    left, _ = sides(spark)
+    keys = spark.createDataFrame([(1,), (7,), (None,), (99_999,)], "k long")
+    may, other = split_by_keys(left, keys, "k")
+    assert {r.k for r in other.collect()}.isdisjoint({1, 7})
+    assert {1, 7} <= {r.k for r in may.collect()} and may.count() + other.count() == 4000
+    assert may.filter("k IS NULL OR k > 7").count() < 100  # others by chance only
+    none, all_rows = split_by_keys(left, keys.limit(0), "k")
+    assert none.count() == 0 and all_rows.count() == 4000
+    monkeypatch.setattr("tidemark.operators.joins.MAX_BITS", 1)  # keeps to the least size
+    many = spark.range(40_000).select(F.col("id").alias("k"))
+    may, other = split_by_keys(left, many, "k")
+    assert other.filter("k IS NOT NULL").count() == 0
+
+
+def test_keys_of_another_type_are_found(spark):
+    rows = spark.range(100).select(F.col("id").cast("int").alias("k"))
+    may, _ = split_by_keys(rows, spark.createDataFrame([(5,), (2**40,)], "k long"), "k")
+    assert may.count() == 1
+    texts = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    may, _ = split_by_keys(texts, spark.createDataFrame([("a",)], "k string"), "k")
+    assert [r.k for r in may.collect()] == ["a"]

@@ -2,6 +2,8 @@
 
 from datetime import timedelta
 
+import re
+
 import pytest
 from model import ACCOUNT, DAY, PLACE, change, frame, target
 
@@ -74,11 +76,19 @@ def test_small_batch_does_not_shuffle_the_target(stored, no_auto_broadcast):
         assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
 
 
+def broadcast_keys(text):
+    """Keys of the broadcast joins of a plan, without their numbers."""
+    return {re.sub(r"#\d+L?", "", k) for k in re.findall(r"BroadcastHashJoin \[(\S+?)\]", text)}
+
+
 def test_batch_of_unknown_size_is_not_broadcast(stored, no_auto_broadcast):
-    text = plan(type1.apply_batch(stored["account"], stored["log"], ACCOUNT))
-    assert "SortMergeJoin" in text and "Broadcast" not in text
-    text = plan(type1.apply_batch(stored["account"], stored["log"], ACCOUNT, BROADCAST_BYTES + 1))
-    assert "Broadcast" not in text
+    """Only the bitmap of its keys is, which has a bound."""
+    for size in (None, BROADCAST_BYTES + 1):
+        text = plan(type1.apply_batch(stored["account"], stored["log"], ACCOUNT, size))
+        assert "SortMergeJoin" in text and broadcast_keys(text) == {"__page"}
+        place_log = stored["log"].withColumnRenamed("account_id", "place_id")
+        text = plan(versioned.apply_batch(stored["place"], place_log, PLACE, size))
+        assert "SortMergeJoin" in text and broadcast_keys(text) == {"__page"}
 
 
 def test_no_python_in_any_plan(stored):

@@ -32,6 +32,10 @@ CHANGE_FIELDS = [
 ]
 CHANGE_COLUMNS = [f.name for f in CHANGE_FIELDS]
 
+# Columns that operators add; a replicated table can have none of these names.
+INTERNAL = "__"
+RESERVED = ["is_deleted", "is_current", "batch_no", "batch_id", "bucket", "poll", "attempt"]
+
 
 @dataclass(frozen=True)
 class TableConfig:
@@ -40,6 +44,13 @@ class TableConfig:
     versioned: bool = False
     version_column: str = "modified_date"
 
+    def __post_init__(self) -> None:
+        taken = {*CHANGE_COLUMNS, *RESERVED}
+        names = [name.lower() for name in self.columns]
+        wrong = [n for n in names if n in taken or n.startswith(INTERNAL) or names.count(n) > 1]
+        if wrong:
+            raise ValueError(f"{self.name}: column names taken or repeated: {', '.join(wrong)}")
+
     @property
     def columns(self) -> list[str]:
         return self.row_schema.fieldNames()

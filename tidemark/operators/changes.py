@@ -49,8 +49,8 @@ def latest_images(batch: DataFrame, table: TableConfig) -> DataFrame:
     newest = Window.partitionBy(table.key).orderBy(*[F.desc(c) for c in order])
     return (
         row_images(batch)
-        .withColumn("image_rank", F.row_number().over(newest))
-        .filter("image_rank = 1")
+        .withColumn("__image_rank", F.row_number().over(newest))
+        .filter("__image_rank = 1")
         .select(*CHANGE_COLUMNS, *table.columns)
     )
 

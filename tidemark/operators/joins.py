@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when its measured size is below this.
@@ -15,10 +15,54 @@ ROWS_PER_TASK = 1_000_000
 MAX_HOT_KEYS = 1_000
 
 
+# Bits for each changed key, so that one of 16 other keys at most is taken for changed,
+# and the bits of a bitmap that is broadcast at most (64 MB).
+BITS_PER_KEY, MAX_BITS = 16, 1 << 29
+PAGE_BITS = 1 << 15  # of Spark's bitmap aggregates
+
+
 def fits_broadcast(measured_bytes: int | None) -> bool:
     return measured_bytes is not None and measured_bytes <= BROADCAST_BYTES
 
 
+def _key_bit(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key), F.lit("bitmap")), F.lit(bits)) + 1
+
+
+def key_bitmap(keys: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """A bitmap of the keys' hashes as (__page, __bitmap) rows, and its bits in all.
+
+    Its size follows the number of keys, which one narrow pass estimates, up to
+    MAX_BITS; with more keys than that it lets more rows through, but never loses one.
+    """
+    n = keys.agg(F.approx_count_distinct(key)).first()[0]
+    bits = PAGE_BITS
+    while bits < MAX_BITS and bits < BITS_PER_KEY * n:
+        bits *= 2
+    bit = _key_bit(key, bits)
+    pages = keys.filter(F.col(key).isNotNull()).groupBy(
+        F.bitmap_bucket_number(bit).alias("__page")
+    )
+    return pages.agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__bitmap")), bits
+
+
+def split_by_keys(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that may have one of the keys, and rows that certainly have none.
+
+    The bitmap is broadcast, so no row moves.  Rows without key have none.
+    """
+    keys = keys.select(F.col(key).try_cast(rows.schema[key].dataType).alias(key))
+    bitmap, bits = key_bitmap(keys, key)
+    bit = _key_bit(key, bits)
+    place = F.bitmap_bit_position(bit)
+    paged = rows.withColumn("__page", F.when(F.col(key).isNotNull(), F.bitmap_bucket_number(bit)))
+    paged = paged.join(F.broadcast(bitmap), "__page", "left")
+    byte = F.substring("__bitmap", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    may = F.coalesce(F.getbit(value, (place % 8).cast("int")) == 1, F.lit(False))
+    return paged.filter(may).select(*rows.columns), paged.filter(~may).select(*rows.columns)
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> list:
     """The hottest keys, NULL included, with more rows than a task should hold.
 

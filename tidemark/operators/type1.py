@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
 from tidemark.operators.changes import IMAGE_ORDER, is_delete, is_row_image, required_key
-from tidemark.operators.joins import fits_broadcast
+from tidemark.operators.joins import fits_broadcast, split_by_keys
 
 
 def net_changes(history: DataFrame, table: TableConfig) -> DataFrame:
-    """One row per key: ``image`` (NULL if none), ``first_image``, ``last_delete``.
+    """One row per key: ``__image`` (NULL if none), ``__first_image``, ``__last_delete``.
 
     One shuffle of at most one row per key and input task, however hot a key is.
     The columns follow the order inside the struct, so even full ties are
@@ -35,25 +35,35 @@ def net_changes(history: DataFrame, table: TableConfig) -> DataFrame:
         history.filter(F.col(table.key).isNotNull())
         .groupBy(table.key)
         .agg(
-            F.max(F.when(is_row_image(), image)).alias("image"),
-            F.min(F.when(is_row_image(), F.col("batch_no"))).alias("first_image"),
-            F.max(F.when(is_delete(), F.col("batch_no"))).alias("last_delete"),
+            F.max(F.when(is_row_image(), image)).alias("__image"),
+            F.min(F.when(is_row_image(), F.col("batch_no"))).alias("__first_image"),
+            F.max(F.when(is_delete(), F.col("batch_no"))).alias("__last_delete"),
         )
     )
 
 
 def merge(
-    target: DataFrame, changes: DataFrame, table: TableConfig, changes_bytes: int | None = None
+    target: DataFrame,
+    changes: DataFrame,
+    table: TableConfig,
+    changes_bytes: int | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Merge net changes into the target.
 
     Both sides hold a key once, so the hash partitions of the full outer join
     are even.  With few changes the target is not shuffled at all: updates are
     a broadcast left join, and inserts are the changes whose key is not among
-    the matched ones.
+    the matched ones.  With more, and the ``keys`` of the changes to tell them by, only
+    target rows whose key may have changed are shuffled.
     """
     key = table.key
-    rows = target.withColumn("in_target", F.lit(True))
+    if keys is not None and not fits_broadcast(changes_bytes):
+        target, untouched = split_by_keys(target, keys, key)
+        deleted = F.coalesce("is_deleted", F.lit(False)).alias("is_deleted")
+        rest = untouched.select(*table.columns, deleted)
+        return merge(target, changes, table, changes_bytes).unionByName(rest)
+    rows = target.withColumn("__in_target", F.lit(True))
     if fits_broadcast(changes_bytes):
         matched = target.select(key).join(F.broadcast(changes), key, "left_semi")
         inserts = changes.join(F.broadcast(matched), key, "left_anti")
@@ -63,18 +73,18 @@ def merge(
     else:
         joined = rows.join(changes, key, "full_outer")
 
-    has_image = F.col("image").isNotNull()
-    created = F.when(F.col("in_target"), F.lit(0)).otherwise(F.col("first_image"))
+    has_image = F.col("__image").isNotNull()
+    created = F.when(F.col("__in_target"), F.lit(0)).otherwise(F.col("__first_image"))
 
     def value(column: str) -> Column:
-        return F.when(has_image, F.col("image")[column]).otherwise(F.col(column)).alias(column)
+        return F.when(has_image, F.col("__image")[column]).otherwise(F.col(column)).alias(column)
 
-    return joined.filter(F.col("in_target") | has_image).select(
+    return joined.filter(F.col("__in_target") | has_image).select(
         key,
         *[value(c) for c in table.columns[1:]],
         (
             F.coalesce("is_deleted", F.lit(False))
-            | F.coalesce(F.col("last_delete") >= created, F.lit(False))
+            | F.coalesce(F.col("__last_delete") >= created, F.lit(False))
         ).alias("is_deleted"),
     )
 
@@ -89,7 +99,8 @@ def apply_history(
     stops the job; a delete without key matches nothing.
     """
     history = history.withColumn(table.key, required_key(table))
-    return merge(target, net_changes(history, table), table, history_bytes)
+    keys = history.select(table.key)
+    return merge(target, net_changes(history, table), table, history_bytes, keys)
 
 
 def apply_batch(
@@ -106,8 +117,9 @@ def upsert(target: DataFrame, batch: DataFrame, table: TableConfig) -> DataFrame
 
 def soft_delete(target: DataFrame, keys: DataFrame, table: TableConfig) -> DataFrame:
     """The delete step alone, for distinct keys."""
-    marked = target.join(keys.withColumn("found", F.lit(True)), table.key, "left")
+    touched, untouched = split_by_keys(target, keys, table.key)
+    marked = touched.join(keys.withColumn("__found", F.lit(True)), table.key, "left")
+    deleted = F.coalesce("is_deleted", F.lit(False))
     return marked.select(
-        *table.columns,
-        (F.coalesce("is_deleted", F.lit(False)) | F.col("found").isNotNull()).alias("is_deleted"),
-    )
+        *table.columns, (deleted | F.col("__found").isNotNull()).alias("is_deleted")
+    ).unionByName(untouched.select(*table.columns, deleted.alias("is_deleted")))

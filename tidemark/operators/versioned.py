@@ -14,12 +14,12 @@ target rows are batch 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
 from tidemark.operators.changes import is_delete, row_images
-from tidemark.operators.joins import left_lookup
+from tidemark.operators.joins import fits_broadcast, left_lookup, split_by_keys
 
 
 def append_versions(
@@ -44,12 +44,12 @@ def key_summary(history: DataFrame, table: TableConfig) -> DataFrame:
     per_batch = (
         history.filter(F.col(table.key).isNotNull())
         .groupBy(table.key, "batch_no")
-        .agg(F.max(table.version_column).alias("newest"), F.max(is_delete()).alias("deleted"))
+        .agg(F.max(table.version_column).alias("__newest"), F.max(is_delete()).alias("__deleted"))
     )
     return per_batch.groupBy(table.key).agg(
-        F.max(F.struct("batch_no", "newest"))["newest"].alias("newest"),
-        F.max(F.when(F.col("deleted"), F.col("batch_no"))).alias("last_delete"),
-        F.lit(True).alias("touched"),
+        F.max(F.struct("batch_no", "__newest"))["__newest"].alias("__newest"),
+        F.max(F.when(F.col("__deleted"), F.col("batch_no"))).alias("__last_delete"),
+        F.lit(True).alias("__touched"),
     )
 
 
@@ -58,20 +58,43 @@ def apply_history(
 ) -> DataFrame:
     """Target after all batches of a history with a ``batch_no`` column.
 
-    Keys repeat in the target, and one may hold a large part of it, so unless
-    the history is measured as small the lookup is the salted one.
+    A history measured as small is broadcast.  Of any other, only versions whose key may
+    be in it are shuffled, by a lookup that spreads hot keys; the rest stay where they
+    are, as no batch says anything of them.
     """
+    untouched = None
+    if not fits_broadcast(history_bytes):
+        target, untouched = split_by_keys(target, history.select(table.key), table.key)
     versions = append_versions(target.withColumn("batch_no", F.lit(0)), history, table, "batch_no")
     joined = left_lookup(versions, key_summary(history, table), table.key, history_bytes)
-    is_newest = F.coalesce(F.col(table.version_column) == F.col("newest"), F.lit(False))
-    return joined.select(
+    is_newest = F.coalesce(F.col(table.version_column) == F.col("__newest"), F.lit(False))
+    applied = joined.select(
         *table.columns,
         (
-            F.coalesce("is_deleted", F.lit(False))
-            | F.coalesce(F.col("last_delete") >= F.col("batch_no"), F.lit(False))
+            _is_deleted() | F.coalesce(F.col("__last_delete") >= F.col("batch_no"), F.lit(False))
         ).alias("is_deleted"),
-        F.when(F.col("touched"), is_newest).otherwise(F.col("is_current")).alias("is_current"),
+        F.when(F.col("__touched"), is_newest).otherwise(F.col("is_current")).alias("is_current"),
     )
+    if untouched is None:
+        return applied
+    return applied.unionByName(
+        untouched.select(*table.columns, _is_deleted().alias("is_deleted"), "is_current")
+    )
+
+
+def _is_deleted() -> Column:
+    return F.coalesce("is_deleted", F.lit(False))
+
+
+def _changed(
+    target: DataFrame, changes: DataFrame, table: TableConfig, deleted: Column, current: Column
+) -> DataFrame:
+    """Target with flags from a lookup; versions of other keys are not shuffled."""
+    touched, untouched = split_by_keys(target, changes.select(table.key), table.key)
+    found = left_lookup(touched, changes, table.key).select(
+        *table.columns, deleted.alias("is_deleted"), current.alias("is_current")
+    )
+    return found.unionByName(untouched.select(found.columns))
 
 
 def apply_batch(
@@ -83,12 +106,10 @@ def apply_batch(
 
 def soft_delete(target: DataFrame, keys: DataFrame, table: TableConfig) -> DataFrame:
     """The delete step alone, on all versions of the given distinct keys."""
-    marked = left_lookup(target, keys.withColumn("found", F.lit(True)), table.key)
-    return marked.select(
-        *table.columns,
-        (F.coalesce("is_deleted", F.lit(False)) | F.col("found").isNotNull()).alias("is_deleted"),
-        "is_current",
-    )
+    deleted = _is_deleted() | F.col("__found").isNotNull()
+    target = target.withColumn("is_deleted", _is_deleted())
+    keys = keys.withColumn("__found", F.lit(True))
+    return _changed(target, keys, table, deleted, F.col("is_current"))
 
 
 def _batch_summary(batch: DataFrame, table: TableConfig) -> DataFrame:
@@ -97,20 +118,14 @@ def _batch_summary(batch: DataFrame, table: TableConfig) -> DataFrame:
 
 def reset_current(target: DataFrame, batch: DataFrame, table: TableConfig) -> DataFrame:
     """Clear the current flag on every version of every key in the batch."""
-    touched = _batch_summary(batch, table).select(table.key, "touched")
-    return left_lookup(target, touched, table.key).select(
-        *table.columns,
-        "is_deleted",
-        (F.col("is_current") & F.col("touched").isNull()).alias("is_current"),
-    )
+    touched = _batch_summary(batch, table).select(table.key, "__touched")
+    current = F.col("is_current") & F.col("__touched").isNull()
+    return _changed(target, touched, table, F.col("is_deleted"), current)
 
 
 def set_current(target: DataFrame, batch: DataFrame, table: TableConfig) -> DataFrame:
     """Set the current flag where a version has the batch's highest date of its key."""
-    newest = _batch_summary(batch, table).select(table.key, "newest")
-    is_newest = F.col(table.version_column) == F.col("newest")
-    return left_lookup(target, newest, table.key).select(
-        *table.columns,
-        "is_deleted",
-        F.when(is_newest, F.lit(True)).otherwise(F.col("is_current")).alias("is_current"),
-    )
+    newest = _batch_summary(batch, table).select(table.key, "__newest")
+    is_newest = F.col(table.version_column) == F.col("__newest")
+    current = F.when(is_newest, F.lit(True)).otherwise(F.col("is_current"))
+    return _changed(target, newest, table, F.col("is_deleted"), current)

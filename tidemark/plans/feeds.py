@@ -18,6 +18,7 @@ from tidemark.functions import ntz
 FEED_START = datetime(2023, 12, 31)
 CYCLE_START = datetime(1900, 1, 1)
 SEED_DATE = datetime(2023, 12, 31)
+OVERLAP_START = datetime(2024, 1, 5)
 BATCH_STARTS = [datetime(2024, 1, 8), datetime(2024, 1, 15), datetime(2024, 1, 22)]
 FIRST_CYCLE_ENDS = {
     "dim_address": datetime(2024, 1, 15),
@@ -34,6 +35,11 @@ CUSTOMER_BALANCE = define_table(
     "customer_id long, segment string, balance double, modified_date timestamp",
 )
 REGION = SALES_TABLES["dim_region"]
+CUSTOMER_VERSIONS = define_table(
+    "customer_versions",
+    "customer_id long, segment string, balance double, modified_date timestamp",
+    versioned=True,
+)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

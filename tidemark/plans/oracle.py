@@ -7,10 +7,10 @@ other, step by step, while the Spark side mostly works in closed form.
 from __future__ import annotations
 
 from tidemark.config import CHANGE_COLUMNS, SALES_TABLES, TableConfig
-from tidemark.plans.feeds import CUSTOMER_BALANCE, REGION
-from tidemark.plans.queries import ADHOC_SQL
+from tidemark.plans.feeds import CUSTOMER_BALANCE, CUSTOMER_VERSIONS, REGION
 
 CHANGES = ", ".join(CHANGE_COLUMNS)
+_REGION = REGION.columns
 BATCH_NO = """CASE WHEN start_lsn < TIMESTAMP '2024-01-08' THEN 1
     WHEN start_lsn < TIMESTAMP '2024-01-15' THEN 2
     WHEN start_lsn < TIMESTAMP '2024-01-22' THEN 3 ELSE 4 END"""
@@ -92,30 +92,96 @@ SALES_SOURCES = [
 ]
 
 
-def _event_feed(columns: str) -> str:
-    return f"""SELECT ts AS start_lsn, seqval, operation, 1 AS command_id, {columns},
-        {GUID.format("event_id")} AS label, ts AS modified_date FROM event_changes"""
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def _sales_feed(name: str, source: str, ts: str, seqval: str, **columns: str) -> str:
+    """A table's change log; columns that are not given are NULL."""
+    fields = SALES_TABLES[name].row_schema.fields
+    kinds = [SQL_TYPES.get(k := f.dataType.simpleString(), k) for f in fields]
+    values = [
+        f"CAST({columns.get(f.name, 'NULL')} AS {kind}) AS {f.name}"
+        for f, kind in zip(fields, kinds, strict=True)
+    ]
+    return f"""SELECT {ts} AS start_lsn, {seqval} AS seqval, operation, 1 AS command_id,
+        {", ".join(values)} FROM {source}"""
+
+
+def _event_feed(name: str, **columns: str) -> str:
+    guid = GUID.format("event_id")
+    return _sales_feed(
+        name, "event_changes", "ts", "seqval", rowguid=guid, modified_date="ts", **columns
+    )
 
 
 _DAYS = "lpad(hex(date_diff('day', TIMESTAMP '1995-01-01', {})), 4, '0')"
 
-# Key, label and version date are all that the compared result holds.
 SALES_FEEDS = {
-    "dim_address": _event_feed("k AS row_key"),
-    "dim_customer": _event_feed("k AS row_key"),
-    "dim_customer_address": _event_feed("k AS row_key"),
-    "dim_region": """SELECT start_lsn, seqval, operation, command_id, region_id AS row_key,
-        region_name AS label, modified_date FROM region_ct""",
-    "fact_sales_order_detail": f"""SELECT l_shipdate AS start_lsn,
-        '0x' || {_DAYS.format("l_shipdate")} || lpad(hex(l_partkey), 10, '0')
-             || lpad(hex(l_suppkey), 6, '0') AS seqval,
-        operation, 1 AS command_id, l_orderkey * 10 + l_linenumber AS row_key,
-        {GUID.format("l_partkey")} AS label, l_shipdate AS modified_date FROM line_changes""",
-    "fact_sales_order_header": f"""SELECT changed AS start_lsn,
-        '0x' || {_DAYS.format("changed")} || lpad(hex(o_orderkey), 16, '0') AS seqval,
-        operation, 1 AS command_id, o_orderkey AS row_key,
-        {GUID.format("o_orderkey")} AS label, changed AS modified_date FROM order_changes""",
+    "dim_address": _event_feed(
+        "dim_address",
+        address_id="k",
+        address_line1="'Line ' || event_id",
+        city="'City ' || user_id",
+        state_province="event_type",
+    ),
+    "dim_customer": _event_feed(
+        "dim_customer",
+        customer_id="k",
+        first_name="'First' || user_id",
+        last_name="'Last' || event_id",
+        company_name="event_type",
+    ),
+    "dim_customer_address": _event_feed(
+        "dim_customer_address",
+        customer_address_id="k",
+        customer_id="user_id",
+        address_id="event_id",
+        address_type="event_type",
+    ),
+    "dim_region": """SELECT start_lsn, seqval, operation, command_id, region_id, region_name,
+        modified_date FROM region_ct""",
+    "fact_sales_order_detail": _sales_feed(
+        "fact_sales_order_detail",
+        "line_changes",
+        "l_shipdate",
+        f"""'0x' || {_DAYS.format("l_shipdate")} || lpad(hex(l_partkey), 10, '0')
+            || lpad(hex(l_suppkey), 6, '0')""",
+        sales_order_detail_id="l_orderkey * 10 + l_linenumber",
+        sales_order_id="l_orderkey",
+        order_qty="l_quantity",
+        product_id="l_partkey",
+        unit_price="l_extendedprice",
+        unit_price_discount="l_discount",
+        line_total="l_extendedprice::DECIMAL(19, 4) * l_quantity::INTEGER",
+        rowguid=GUID.format("l_partkey"),
+        modified_date="l_shipdate",
+    ),
+    "fact_sales_order_header": _sales_feed(
+        "fact_sales_order_header",
+        "order_changes",
+        "changed",
+        f"'0x' || {_DAYS.format('changed')} || lpad(hex(o_orderkey), 16, '0')",
+        sales_order_id="o_orderkey",
+        revision_number="CASE WHEN operation = 2 THEN 1 ELSE 2 END",
+        order_date="o_orderdate",
+        status="CASE WHEN operation = 4 THEN 5 ELSE 1 END",
+        online_order_flag="o_orderpriority = '5-LOW'",
+        sales_order_number="'SO' || o_orderkey",
+        customer_id="o_custkey",
+        sub_total="o_totalprice",
+        total_due="o_totalprice",
+        rowguid=GUID.format("o_orderkey"),
+        modified_date="changed",
+    ),
 }
+# The label of the result over all tables.
+LABELS = {name: "rowguid" for name in SALES_FEEDS} | {"dim_region": "region_name"}
 
 
 # -- steps of the apply procedure -------------------------------------------------
@@ -220,22 +286,20 @@ def _polls() -> list[str]:
 _FIRST_MARK = {"dim_customer": "TIMESTAMP '2024-01-07 23:57:10.275269'"}
 
 
-def _cycle_parts() -> list[str]:
+def _cycle_parts(*names: str) -> list[str]:
     parts = list(SALES_SOURCES) + [REGION_SEED]
-    columns = ["row_key", "label", "modified_date"]
-    for name, feed in SALES_FEEDS.items():
-        versioned = SALES_TABLES[name].versioned
-        step = _versioned_step if versioned else _type1_step
+    for name in names or SALES_FEEDS:
+        table = SALES_TABLES[name]
+        columns = table.columns
+        step = _versioned_step if table.versioned else _type1_step
         end = "1998-07-01" if name.startswith("fact") else "2024-01-15"
         mark = _FIRST_MARK.get(name, "TIMESTAMP '1900-01-01'")
-        if versioned:
-            start = "SELECT region_id AS row_key, region_name AS label, modified_date, "
-            start += "is_deleted, is_current FROM region_seed"
+        if table.versioned:
+            start = f"SELECT {', '.join(columns)}, is_deleted, is_current FROM region_seed"
         else:
-            start = "SELECT 0::BIGINT AS row_key, '' AS label, TIMESTAMP '2000-01-01' "
-            start += "AS modified_date, FALSE AS is_deleted WHERE FALSE"
+            start = f"SELECT {', '.join(columns)}, FALSE AS is_deleted FROM {name}_log WHERE FALSE"
         parts += [
-            f"{name}_log AS (SELECT * FROM ({feed}) WHERE operation <> 3)",
+            f"{name}_log AS (SELECT * FROM ({SALES_FEEDS[name]}) WHERE operation <> 3)",
             f"{name}_0 AS ({start})",
             f"""{name}_b1 AS (SELECT * FROM {name}_log WHERE start_lsn < TIMESTAMP '{end}'
                 AND start_lsn > date_trunc('milliseconds', {mark}))""",
@@ -256,14 +320,33 @@ def _cycle_summary(name: str) -> str:
 
 def _cycle_rows(name: str) -> str:
     current = "is_current" if SALES_TABLES[name].versioned else "TRUE AS is_current"
-    return f"""SELECT '{name}' AS table_name, row_key, label, modified_date, is_deleted,
-        {current} FROM {name}_2"""
+    return f"""SELECT '{name}' AS table_name, {SALES_TABLES[name].key} AS row_key,
+        {LABELS[name]} AS label, modified_date, is_deleted, {current} FROM {name}_2"""
+
+
+def _cycle_then_stream() -> list[str]:
+    """Each file counts from the mark at which the stream took over."""
+    files = {
+        2: "batch_no = 2 OR (batch_no = 1 AND start_lsn >= TIMESTAMP '2024-01-05')",
+        3: "batch_no IN (1, 3)",
+        4: "batch_no = 4",
+    }
+    taken = "SELECT date_trunc('milliseconds', max(start_lsn)) FROM batch_1"
+    parts = ["batch_1 AS (SELECT * FROM region_batches WHERE batch_no = 1)"]
+    parts += [
+        f"batch_{n} AS (SELECT * FROM region_batches WHERE ({f}) AND start_lsn > ({taken}))"
+        for n, f in files.items()
+    ]
+    target = "region_seed"
+    for n in range(1, 5):
+        parts += _versioned_step(f"applied_{n}", target, f"batch_{n}", _REGION)
+        target = f"applied_{n}"
+    return parts
 
 
 # -- the answers ------------------------------------------------------------------
 
 _CUSTOMER = CUSTOMER_BALANCE.columns
-_REGION = REGION.columns
 _CUSTOMER_COLS = ", ".join(_CUSTOMER)
 _ALL_TABLES = " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t in SALES_TABLES)
 
@@ -332,7 +415,14 @@ ORACLE_SQL: dict[str, str] = {
         CUSTOMER_CT,
         result="SELECT * FROM customer_ct WHERE start_lsn > TIMESTAMP '2023-12-31'",
     ),
-    "adhoc_query": _with(CUSTOMER_CT, result=ADHOC_SQL.format(changes="customer_ct")),
+    "adhoc_query": _with(
+        CUSTOMER_CT,
+        """per_customer AS (SELECT segment, operation, customer_id, count(*) AS n,
+            max(start_lsn) AS last_change FROM customer_ct GROUP BY ALL)""",
+        result="""SELECT segment, operation, sum(n)::BIGINT AS n_changes,
+            count(customer_id) AS n_customers, max(last_change) AS last_change
+            FROM per_customer GROUP BY ALL""",
+    ),
     "change_scan_raw": _with(
         CUSTOMER_CT,
         REGISTRY,
@@ -422,6 +512,21 @@ ORACLE_SQL: dict[str, str] = {
     "multi_table_targets": _with(
         *_cycle_parts(), result=" UNION ALL ".join(map(_cycle_rows, SALES_FEEDS))
     ),
+    **{
+        f"cycle_{name}": _with(*_cycle_parts(name), result=f"SELECT * FROM {name}_2")
+        for name in SALES_FEEDS
+    },
+    "versioned_large_batch": _with(
+        CUSTOMER_CT,
+        CUSTOMER_SEED,
+        "version_seed AS (SELECT *, TRUE AS is_current FROM customer_seed)",
+        *_fold(CUSTOMER_VERSIONS, "version_seed", "customer_batches"),
+        result="SELECT * FROM applied_4",
+    ),
+    "versioned_no_reread": _REPLAYED_REGIONS,
+    "cycle_then_stream": _with(
+        REGION_CT, REGION_SEED, *_cycle_then_stream(), result="SELECT * FROM applied_4"
+    ),
     "stream_apply_type1": _REPLAYED_CUSTOMERS,
     "stream_apply_versioned": _REPLAYED_REGIONS,
     "stream_stage_append": _with(CUSTOMER_CT, result="SELECT * FROM customer_ct"),

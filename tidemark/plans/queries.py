@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.config import SALES_TABLES, TableConfig
 from tidemark.functions import commit_time_ms, ntz, sequence_hex
 from tidemark.operators import changes, replay, type1, versioned, watermark
+from tidemark.operators.joins import BROADCAST_BYTES
 from tidemark.plans import feeds
-from tidemark.plans.cycle import run_cycle, summarize
-from tidemark.plans.feeds import CUSTOMER_BALANCE, REGION
-from tidemark.session import work_dir
+from tidemark.plans.cycle import compact_tables, run_cycle, summarize
+from tidemark.plans.feeds import CUSTOMER_BALANCE, CUSTOMER_VERSIONS, REGION
+from tidemark.session import cut_lineage, work_dir
 from tidemark.sinks.stage import append_poll, read_polls, read_stage, replace_stage
 from tidemark.sinks.targets import TargetStore
 from tidemark.sources.change_log import (
@@ -30,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH_NUMBERS = range(1, len(feeds.BATCH_STARTS) + 2)
 COMPACT_BATCHES = 2  # so that the few batches of these queries include compactions
+BUCKET_BYTES = 1 << 20  # and several buckets
 
 ADHOC_SQL = """
     SELECT segment, operation, count(*) AS n_changes,
@@ -242,6 +244,17 @@ def successive_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.apply_batches(feeds.region_seed(spark, sf_dir), batches, REGION)
 
 
+def versioned_large_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch too large to broadcast over many versions, of which few keys change."""
+    feed = feeds.customer_ct(spark, sf_dir)
+    seed = feeds.customer_seed(spark, sf_dir).withColumn("is_current", F.lit(True))
+    history = feeds.numbered(feed).filter(F.col("batch_no") < BATCH_NUMBERS[-1])
+    versions = replay.replay(seed, history, CUSTOMER_VERSIONS)
+    target = cut_lineage(versions)
+    last = feeds.batch(feed, BATCH_NUMBERS[-1])
+    return versioned.apply_batch(target, last, CUSTOMER_VERSIONS, BROADCAST_BYTES + 1)
+
+
 def replay_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = feeds.numbered(feeds.region_ct(spark, sf_dir))
     return replay.replay(feeds.region_seed(spark, sf_dir), history, REGION)
@@ -250,23 +263,40 @@ def replay_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- cycles over several tables ---------------------------------------------------
 
 
-def _two_cycles(spark: SparkSession, sf_dir: str) -> TargetStore:
-    """All six tables: one cycle over the first part of their logs, one over the rest."""
-    store = TargetStore(spark, work_dir(spark, "cycle"), compact_batches=COMPACT_BATCHES)
+def _two_cycles(
+    spark: SparkSession, sf_dir: str, names: Iterable[str] = tuple(SALES_TABLES)
+) -> TargetStore:
+    """One cycle over the first part of the tables' logs, one over the rest; after each,
+    compaction of the buckets it touched."""
+    names = list(names)
+    store = TargetStore(spark, work_dir(spark, "cycle"), bucket_bytes=BUCKET_BYTES)
     customer = SALES_TABLES["dim_customer"]
-    empty = spark.createDataFrame([], customer.target_schema)
-    store.seed(customer, empty, feeds.CUSTOMER_MARK)
-    store.seed(REGION, feeds.region_seed(spark, sf_dir))
-    logs = {name: feed(spark, sf_dir) for name, feed in feeds.SALES_FEEDS.items()}
+    if customer.name in names:
+        empty = spark.createDataFrame([], customer.target_schema)
+        store.seed(customer, empty, feeds.CUSTOMER_MARK)
+    if REGION.name in names:
+        store.seed(REGION, feeds.region_seed(spark, sf_dir))
+    logs = {name: feeds.SALES_FEEDS[name](spark, sf_dir) for name in names}
     first = {
         name: log.filter(F.col("start_lsn") < ntz(feeds.FIRST_CYCLE_ENDS[name]))
         for name, log in logs.items()
     }
     for available in (first, logs):
         run_cycle(store, available, default=feeds.CYCLE_START)
+        compact_tables(store, [SALES_TABLES[name] for name in names])
     return store
 
 
+def _cycle_of(name: str) -> Query:
+    """Every row and column of one target after two cycles."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _two_cycles(spark, sf_dir, [name]).read(SALES_TABLES[name])
+
+    query.__name__ = f"cycle_{name}"
+    return query
+
+
 def multi_table_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(_two_cycles(spark, sf_dir), list(SALES_TABLES.values()))
 
@@ -290,6 +320,17 @@ def multi_table_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows(t) for t in SALES_TABLES.values()])
 
 
+def versioned_no_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls whose marks are cut to milliseconds, without a version stored twice."""
+    store = TargetStore(spark, work_dir(spark, "no-reread"))
+    store.seed(REGION, feeds.region_seed(spark, sf_dir))
+    feed = feeds.region_ct(spark, sf_dir)
+    for end in (*feeds.BATCH_STARTS, None):
+        log = feed if end is None else feed.filter(F.col("start_lsn") < ntz(end))
+        run_cycle(store, {REGION.name: log}, default=feeds.FEED_START, no_reread=True)
+    return store.read(REGION)
+
+
 # -- streams ----------------------------------------------------------------------
 
 
@@ -304,7 +345,12 @@ def _deliver_and_apply(
         delivery = feed.filter(feeds.batch_number(F.col("start_lsn")) == number)
         delivery.write.mode("append").parquet(f"{path}/landing")
         stream_apply(
-            store, f"{path}/landing", table, f"{path}/checkpoint", ALL_AVAILABLE
+            store,
+            f"{path}/landing",
+            table,
+            f"{path}/checkpoint",
+            ALL_AVAILABLE,
+            default=feeds.FEED_START,
         ).awaitTermination()
     return store.read(table)
 
@@ -319,6 +365,35 @@ def stream_apply_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _deliver_and_apply(spark, feed, seed, REGION)
 
 
+def cycle_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cycle over the first batch, then a stream, one file a trigger, over files that
+    hold parts of that batch again."""
+    path = work_dir(spark, "cycle-stream")
+    store = TargetStore(spark, f"{path}/target")
+    store.seed(REGION, feeds.region_seed(spark, sf_dir))
+    feed = feeds.region_ct(spark, sf_dir)
+    batch_no = feeds.batch_number(F.col("start_lsn"))
+    run_cycle(store, {REGION.name: feed.filter(batch_no == 1)}, default=feeds.FEED_START)
+    recent = F.col("start_lsn") >= ntz(feeds.OVERLAP_START)
+    files = [
+        feed.filter((batch_no == 2) | ((batch_no == 1) & recent)),
+        feed.filter((batch_no == 3) | (batch_no == 1)),
+        feed.filter(batch_no == 4),
+    ]
+    for number, rows in enumerate(files):
+        rows.coalesce(1).write.parquet(f"{path}/landing/file={number}")
+    stream_apply(
+        store,
+        f"{path}/landing/*",
+        REGION,
+        f"{path}/checkpoint",
+        ALL_AVAILABLE,
+        default=feeds.FEED_START,
+        maxFilesPerTrigger="1",
+    ).awaitTermination()
+    return store.read(REGION)
+
+
 def stream_stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "stream-stage")
     feeds.customer_ct(spark, sf_dir).write.parquet(f"{path}/landing")
@@ -366,10 +441,14 @@ QUERIES: dict[str, Query] = {
         apply_versioned_batch,
         successive_versioned,
         replay_versioned,
+        versioned_large_batch,
         multi_table_cycle,
         multi_table_targets,
+        *map(_cycle_of, SALES_TABLES),
+        versioned_no_reread,
         stream_apply_type1,
         stream_apply_versioned,
+        cycle_then_stream,
         stream_stage_append,
     ]
 }
