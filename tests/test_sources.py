@@ -1,14 +1,25 @@
 """Names, schemas, raw change tables, ad-hoc queries and connection options."""
 
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from model import ACCOUNT, DAY, change, frame
 from pyspark.sql import functions as F
 
 from tidemark.config import SALES_TABLES, source_column, table_config
+from tidemark.plans.cycle import run_cycle
+from tidemark.sinks.targets import TargetStore
 from tidemark.sources import jdbc
-from tidemark.sources.change_log import check_schema, raw_changes_after, read_raw_changes
+from tidemark.sources.change_log import (
+    changes_after,
+    check_schema,
+    commit_times,
+    raw_changes_after,
+    read_raw_changes,
+    transaction_times,
+)
+from tidemark.sources.file_index import FileIndex
 from tidemark.sources.query import query_frame
 
 
@@ -82,6 +93,102 @@ def test_end_positions_are_looked_up_if_there_are_any(spark):
     assert [r["start_lsn"] for r in got][2:4] == [None, DAY + timedelta(seconds=4)]
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 3, 1000])
+def test_transactions_are_looked_up_once(spark, rows_per_task):
+    """Hot, unknown and missing positions, alone or in pairs."""
+    raw, times = raw_side(spark)
+    pairs = [(1, 1), (1, 2), (1, None), (3, 4), (3, 3), (None, 5), (None, None), (4, 9)]
+    rows = [
+        (s and bytes([s]), e and bytes([e]), bytes([0, n]), 2, 1, n, "x", DAY, "x")
+        for n, (s, e) in enumerate(pairs * 4 + [(1, 1)] * 20 + [(None, None)] * 9)
+    ]
+    raw = spark.createDataFrame(rows, raw.schema)
+    known = {n: DAY + timedelta(seconds=n) for n in (1, 2, 4, 5)}
+    got = commit_times(raw, times, rows_per_task)
+    assert got.columns == [*raw.columns, "start_lsn", "end_lsn"]
+    found = {r["AccountID"]: (r.start_lsn, r.end_lsn) for r in got.collect()}
+    assert got.count() == len(rows)
+    assert found == {
+        r[5]: (known.get(r[0] and r[0][0]), known.get(r[1] and r[1][0])) for r in rows
+    }
+
+
+def test_one_lookup_in_the_plan_and_no_job_for_it(spark, tmp_path):
+    raw, times = raw_side(spark)
+    raw.write.parquet(f"{tmp_path}/raw")
+    times.write.parquet(f"{tmp_path}/times")
+    raw, times = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("raw", "times"))
+    jobs = spark.sparkContext.statusTracker()
+    group = "commit-times"
+    spark.sparkContext.setJobGroup(group, group)
+    joined = transaction_times(raw, times)
+    commit_times(raw, times)
+    assert not jobs.getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("rest", "rest")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Join") == 1
+
+
+def index_of(spark, tmp_path):
+    return FileIndex(spark, f"{tmp_path}/log", f"{tmp_path}/index", ACCOUNT)
+
+
+def deliver(spark, tmp_path, *keys):
+    rows = [change(n, 2, n, "x") for n in keys] + [change(n, 3, n, "before") for n in keys]
+    frame(spark, ACCOUNT, rows).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+
+
+def test_only_files_past_the_mark_are_opened(spark, tmp_path):
+    for n in (1, 5, 9):
+        deliver(spark, tmp_path, n, n + 1)
+    index = index_of(spark, tmp_path)
+    assert index.refresh() == 3 and index.refresh() == 0
+    deliver(spark, tmp_path, 3, 12)  # late rows too
+    mark = DAY + timedelta(seconds=6)
+    changes = index.changes_after(mark)
+    assert len(changes.inputFiles()) == 2
+    assert sorted(r.account_id for r in changes.collect()) == [9, 10, 12]
+    assert index.changes_after(mark, before_images=True).count() == 6
+    assert len(index.changes_after(DAY).inputFiles()) == 4
+    last = index.changes_after(DAY + timedelta(seconds=12))
+    assert not last.inputFiles() and last.count() == 0
+    plain = changes_after(spark.read.parquet(f"{tmp_path}/log"), mark)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, changes.collect()))
+
+
+def test_an_index_takes_up_changed_and_lost_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.file_index.MERGE_AT", 2)
+    monkeypatch.setattr("tidemark.sources.file_index.PATHS_AT_ONCE", 2)
+    index = index_of(spark, tmp_path)
+    deliver(spark, tmp_path, 1)
+    assert index.refresh() == 1
+    for n in range(2, 7):
+        deliver(spark, tmp_path, n)
+    assert index.refresh() == 5
+    assert index._parts()[0].endswith("-all") and len(index._parts()) == 1
+    assert index.newer_files(DAY + timedelta(seconds=3)) is None  # too many to name
+    assert index.changes_after(DAY + timedelta(seconds=3)).count() == 3
+    gone = index.newer_files(DAY + timedelta(seconds=5))[0].removeprefix("file:")
+    Path(gone).unlink()
+    assert index.changes_after(DAY + timedelta(seconds=5)).count() == 0
+    first = frame(spark, ACCOUNT, [change(50, 2, 50, "rewritten")])
+    kept = index.files().orderBy("low").first()["path"].removeprefix("file:")
+    first.coalesce(1).write.parquet(f"{tmp_path}/other")
+    Path(kept).write_bytes(next((tmp_path / "other").glob("*.parquet")).read_bytes())
+    Path(kept).with_name(f".{Path(kept).name}.crc").unlink()
+    assert index.refresh() == 1
+    assert [r.account_id for r in index.changes_after(DAY + timedelta(seconds=9)).collect()] == [50]
+
+
+def test_an_index_serves_as_a_log(spark, tmp_path):
+    store = TargetStore(spark, f"{tmp_path}/target")
+    index = index_of(spark, tmp_path)
+    for n in (1, 4):
+        deliver(spark, tmp_path, n, n + 1)
+        run_cycle(store, {"a": index.changes_after}, {"a": ACCOUNT}, default=DAY)
+    assert store.read(ACCOUNT).count() == 4
+
+
 def test_adhoc_query(spark):
     assert query_frame(spark, "SELECT current_timestamp() AS now").count() == 1
     df = query_frame(spark, "SELECT max(note) AS m FROM {t}", t=frame(spark, ACCOUNT, []))

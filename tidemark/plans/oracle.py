@@ -375,6 +375,15 @@ _MAPPED = [
         LEFT JOIN lsn_times e ON event_type = 'signup' AND position = e.lsn)""",
 ]
 
+_INCREMENTAL = _with(
+    CUSTOMER_CT,
+    REGISTRY,
+    result=f"""SELECT {CHANGES}, {_CUSTOMER_COLS} FROM customer_ct
+        WHERE operation <> 3 AND start_lsn > (
+            SELECT date_trunc('milliseconds', last_update) FROM registry
+            WHERE table_name = 'dim_customer')""",
+)
+
 ORACLE_SQL: dict[str, str] = {
     "watermark_lookup": _with(
         CUSTOMER_CT,
@@ -403,14 +412,8 @@ ORACLE_SQL: dict[str, str] = {
         result="""SELECT count(*) AS n_rows, max(start_lsn) AS last_update
             FROM customer_batches""",
     ),
-    "change_scan_incremental": _with(
-        CUSTOMER_CT,
-        REGISTRY,
-        result=f"""SELECT {CHANGES}, {_CUSTOMER_COLS} FROM customer_ct
-            WHERE operation <> 3 AND start_lsn > (
-                SELECT date_trunc('milliseconds', last_update) FROM registry
-                WHERE table_name = 'dim_customer')""",
-    ),
+    "change_scan_incremental": _INCREMENTAL,
+    "change_scan_indexed": _INCREMENTAL,
     "change_scan_all_images": _with(
         CUSTOMER_CT,
         result="SELECT * FROM customer_ct WHERE start_lsn > TIMESTAMP '2023-12-31'",

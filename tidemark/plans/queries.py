@@ -24,6 +24,7 @@ from tidemark.sources.change_log import (
     raw_changes_after,
     read_raw_changes,
 )
+from tidemark.sources.file_index import FileIndex
 from tidemark.sources.query import query_frame
 from tidemark.streaming.poll import ALL_AVAILABLE, stream_apply, stream_stage
 
@@ -125,6 +126,21 @@ def change_scan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def change_scan_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental scan of a growing log without dates, by an index of its files."""
+    path = work_dir(spark, "file-index")
+    index = FileIndex(spark, f"{path}/log", f"{path}/index", CUSTOMER_BALANCE)
+    numbered = feeds.customer_ct(spark, sf_dir).withColumn(
+        "number", feeds.batch_number(F.col("start_lsn"))
+    )
+    for number in BATCH_NUMBERS:
+        delivery = numbered.filter(F.col("number") == number).drop("number")
+        delivery.write.mode("append").parquet(f"{path}/log")
+        index.refresh()
+    mark = watermark.lookup_watermarks(_registry(spark, sf_dir), ["dim_customer"])
+    return index.changes_after(mark.first()["last_update"])
+
+
 def seqval_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.raw_customer_ct(spark, sf_dir).select(
         F.col("CustomerID").alias("customer_id"),
@@ -420,6 +436,7 @@ QUERIES: dict[str, Query] = {
         change_scan_all_images,
         adhoc_query,
         change_scan_raw,
+        change_scan_indexed,
         lsn_to_commit_time,
         seqval_hex,
         rename_project,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.config import BEFORE_IMAGE, CHANGE_COLUMNS, TableConfig, source_column
 from tidemark.functions import ntz, sequence_hex
 from tidemark.operators.changes import required_key
-from tidemark.operators.joins import left_lookup
+from tidemark.operators.joins import ROWS_PER_TASK
 
 
 def check_schema(df: DataFrame, table: TableConfig) -> DataFrame:
@@ -26,22 +27,61 @@ def check_schema(df: DataFrame, table: TableConfig) -> DataFrame:
     return df
 
 
+START, END = "__$start_lsn", "__$end_lsn"
+
+
+def transaction_times(raw: DataFrame, lsn_times: DataFrame) -> DataFrame:
+    """(START, END, start_lsn, end_lsn, __n): commit times of each pair of positions.
+
+    A pair is one transaction, so there are far fewer than changes.  Its positions are
+    unpivoted, met with the position table in one join, and folded back; one that is
+    not in the table gives NULL.  ``lsn_times(lsn, commit_time)`` holds a position
+    once.  ``__n`` counts the changes, in the pass that finds the pairs.
+    """
+    pairs = raw.groupBy(START, END).agg(F.count("*").alias("__n"))
+    sides = F.array(
+        F.struct(F.lit("start").alias("side"), F.col(START).alias("lsn")),
+        F.struct(F.lit("end").alias("side"), F.col(END).alias("lsn")),
+    )
+    sides = pairs.select(START, END, "__n", F.inline(sides)).filter("lsn IS NOT NULL")
+    timed = sides.join(lsn_times.select("lsn", "commit_time"), "lsn", "left")
+    time_of = {s: F.max(F.when(F.col("side") == s, F.col("commit_time"))) for s in ("start", "end")}
+    return timed.groupBy(START, END).agg(
+        F.max("__n").alias("__n"),
+        time_of["start"].alias("start_lsn"),
+        time_of["end"].alias("end_lsn"),
+    )
+
+
 def commit_times(
-    raw: DataFrame,
-    lsn_times: DataFrame,
-    position: str,
-    out: str,
-    positions: DataFrame | None = None,
+    raw: DataFrame, lsn_times: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Add the commit time of a log position; an unknown position gives NULL.
+    """Raw changes with the commit times of their start and end positions.
 
-    ``lsn_times(lsn, commit_time)`` holds each position once but grows with the
-    log, so it is broadcast only if Spark sees that it is small.  One position
-    is one transaction, and a bulk load puts very many rows on one position:
-    hence the lookup that spreads hot keys, which it counts in ``positions``.
+    A bulk load puts very many changes on one pair of positions.  Pairs with more than
+    ``rows_per_task``, of which there are as few as that number fits into the log, are
+    broadcast, and their changes stay where they are, like those without any position.
+    All others are shuffled once.  No job runs while the plan is built.
     """
-    times = lsn_times.select(F.col("lsn").alias(position), F.col("commit_time").alias(out))
-    return left_lookup(raw, times, position, keys=positions)
+    columns = [F.col(f"`{c}`") for c in raw.columns]
+    times = transaction_times(raw, lsn_times).withColumnsRenamed({START: "__start", END: "__end"})
+    same = F.col(START).eqNullSafe(F.col("__start")) & F.col(END).eqNullSafe(F.col("__end"))
+    hot = F.broadcast(times.filter(F.col("__n") > rows_per_task))
+    rest = times.filter(F.col("__n") <= rows_per_task)
+    placed = raw.filter(F.col(START).isNotNull() | F.col(END).isNotNull())
+    null = F.lit(None).cast("timestamp_ntz")
+    nowhere = raw.filter(F.col(START).isNull() & F.col(END).isNull()).select(
+        *columns, null.alias("start_lsn"), null.alias("end_lsn")
+    )
+    plain = placed.join(hot.select("__start", "__end"), same, "left_anti").join(rest, same)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            plain.select(*columns, "start_lsn", "end_lsn"),
+            placed.join(hot, same).select(*columns, "start_lsn", "end_lsn"),
+            nowhere,
+        ],
+    )
 
 
 def project_changes(raw: DataFrame, table: TableConfig) -> DataFrame:
@@ -60,15 +100,8 @@ def project_changes(raw: DataFrame, table: TableConfig) -> DataFrame:
 
 
 def read_raw_changes(raw: DataFrame, lsn_times: DataFrame, table: TableConfig) -> DataFrame:
-    """A raw change table in stage form, with log positions mapped to commit times.
-
-    Sources usually leave the end position NULL throughout.  NULL is then a hot
-    key, whose rows are not shuffled for the second lookup.  Both counts read the
-    raw positions, never the result of a join.
-    """
-    timed = commit_times(raw, lsn_times, "__$start_lsn", "start_lsn", positions=raw)
-    timed = commit_times(timed, lsn_times, "__$end_lsn", "end_lsn", positions=raw)
-    return project_changes(timed, table)
+    """A raw change table in stage form, with log positions mapped to commit times."""
+    return project_changes(commit_times(raw, lsn_times), table)
 
 
 def raw_changes_after(
