@@ -6,7 +6,17 @@ import pytest
 from model import ACCOUNT, DAY, PLACE, change, frame, rows_of, target
 
 from tidemark.plans.cycle import run_cycle
-from tidemark.sinks.stage import read_stage, replace_stage, write_stage
+from tidemark.sinks.stage import (
+    SwitchConflict,
+    _Switch,
+    append_poll,
+    merge_polls,
+    read_polls,
+    read_stage,
+    remove_unnamed,
+    replace_stage,
+    write_stage,
+)
 from tidemark.sinks.targets import KEPT_COMMITS, CommitConflict, TargetStore
 
 EARLY = datetime(2000, 1, 1)
@@ -357,3 +367,44 @@ def test_a_failed_replace_keeps_the_rows_before(spark, tmp_path):
     with pytest.raises(Exception, match="image without"):
         replace_stage(frame(spark, ACCOUNT, [change(1, 2, None, "a")]), path, ACCOUNT)
     assert [r["account_id"] for r in read_stage(spark, path, ACCOUNT).collect()] == [3]
+
+
+def test_polls_are_merged_by_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.stage.MERGE_FOLDERS", 3)
+    monkeypatch.setattr("tidemark.sinks.stage.TIER_BYTES", 400)
+    path, rows, counts = str(tmp_path / "log"), [], []
+    assert read_polls(spark, path, ACCOUNT).count() == merge_polls(spark, path, ACCOUNT) == 0
+    for poll in range(1, 15):
+        rows.append(change(poll, 3 if poll % 2 else 4, poll, "x"))
+        append_poll(spark, path, frame(spark, ACCOUNT, rows), ACCOUNT, poll, EARLY)
+        merge_polls(spark, path, ACCOUNT)
+        counts.append(len(_Switch(spark, path).last()[1]))
+        found = read_polls(spark, path, ACCOUNT).orderBy("poll").collect()
+        assert [(r.account_id, r.poll) for r in found] == [(n, n) for n in range(1, poll + 1)]
+    assert max(counts) <= 6
+    with pytest.raises(ValueError, match="merged with others"):
+        append_poll(spark, path, frame(spark, ACCOUNT, rows), ACCOUNT, 2, EARLY)
+    named = len(_Switch(spark, path).last()[1])
+    for name in _Switch(spark, path)._names()[:-1]:
+        _Switch(spark, path).folder.delete(f"switch/{name}")
+    assert remove_unnamed(spark, path) == 0 and remove_unnamed(spark, path, 0) > 10
+    assert read_polls(spark, path, ACCOUNT).count() == 14
+    assert len(list((tmp_path / "log").glob("*-*"))) == named
+
+
+def test_two_polls_from_one_state(spark, tmp_path):
+    path = str(tmp_path / "log")
+    append_poll(spark, path, frame(spark, ACCOUNT, [change(1, 2, 1)]), ACCOUNT, 1, EARLY)
+    late = _Switch(spark, path)
+    number, folders = late.last()
+    append_poll(spark, path, frame(spark, ACCOUNT, [change(2, 2, 2)]), ACCOUNT, 2, EARLY)
+    with pytest.raises(SwitchConflict):
+        late.turn(number, folders)
+    assert read_polls(spark, path, ACCOUNT).count() == 2
+
+
+def test_replaced_loads_are_removed(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    for n in range(5):
+        replace_stage(frame(spark, ACCOUNT, [change(1, 2, n, "a")]), path, ACCOUNT)
+    assert len(list((tmp_path / "stage").glob("load-*"))) == 2

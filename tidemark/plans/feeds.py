@@ -18,6 +18,7 @@ from tidemark.functions import ntz
 FEED_START = datetime(2023, 12, 31)
 CYCLE_START = datetime(1900, 1, 1)
 SEED_DATE = datetime(2023, 12, 31)
+FIRST_DAY, LAST_DAY = datetime(2024, 1, 1), datetime(2024, 1, 29)
 OVERLAP_START = datetime(2024, 1, 5)
 BATCH_STARTS = [datetime(2024, 1, 8), datetime(2024, 1, 15), datetime(2024, 1, 22)]
 FIRST_CYCLE_ENDS = {

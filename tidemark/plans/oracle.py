@@ -462,6 +462,10 @@ ORACLE_SQL: dict[str, str] = {
             FROM region_batches GROUP BY region_id""",
     ),
     "stage_append": _with(CUSTOMER_CT, *_polls(), result="SELECT * FROM log_4"),
+    "stage_append_merged": _with(
+        CUSTOMER_CT,
+        result="SELECT * FROM customer_ct WHERE start_lsn > TIMESTAMP '2023-12-31'",
+    ),
     "stage_replace": _with(
         CUSTOMER_CT, result="SELECT * FROM customer_ct WHERE operation <> 3"
     ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tidemark.plans import feeds
 from tidemark.plans.cycle import compact_tables, run_cycle, summarize
 from tidemark.plans.feeds import CUSTOMER_BALANCE, CUSTOMER_VERSIONS, REGION
 from tidemark.session import cut_lineage, work_dir
-from tidemark.sinks.stage import append_poll, read_polls, read_stage, replace_stage
+from tidemark.sinks.stage import append_poll, merge_polls, read_polls, read_stage, replace_stage
 from tidemark.sinks.targets import TargetStore
 from tidemark.sources.change_log import (
     changes_after,
@@ -184,6 +185,19 @@ def stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_polls(spark, path, CUSTOMER_BALANCE).drop("poll")
 
 
+def stage_append_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A poll for each day, with merging in between; the log is as if there were none."""
+    feed = feeds.customer_ct(spark, sf_dir)
+    path = work_dir(spark, "stage-merged")
+    days = (feeds.LAST_DAY - feeds.FIRST_DAY).days
+    for poll in range(1, days + 2):
+        visible = feed.filter(F.col("start_lsn") < ntz(feeds.FIRST_DAY + timedelta(days=poll)))
+        log = visible if poll <= days else feed
+        append_poll(spark, path, log, CUSTOMER_BALANCE, poll, feeds.FEED_START, exact=True)
+        merge_polls(spark, path, CUSTOMER_BALANCE)
+    return read_polls(spark, path, CUSTOMER_BALANCE).drop("poll")
+
+
 def stage_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second load replaces the first."""
     feed, path = feeds.customer_ct(spark, sf_dir), work_dir(spark, "stage-replace")
@@ -445,6 +459,7 @@ QUERIES: dict[str, Query] = {
         latest_per_key,
         max_modified_by_key,
         stage_append,
+        stage_append_merged,
         stage_replace,
         upsert_type1,
         soft_delete_type1,

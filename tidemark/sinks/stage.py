@@ -1,8 +1,16 @@
-"""Stage tables: the current batch of a table, or an append-only log of all polls."""
+"""Stage tables: the current batch of a table, or an append-only log of all polls.
+
+Either is a folder of attempts and numbered switch files.  The last switch file names
+the attempts that count, so they change all at once, when that file appears, and
+a load or a poll that fails changes nothing for readers.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import time
+import uuid
+from dataclasses import asdict, dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,11 +18,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import DEFAULT_WATERMARK, TableConfig
-from tidemark.functions import row_bytes
-from tidemark.operators.watermark import watermark_of_stage
+from tidemark.functions import floor_ms, row_bytes
+from tidemark.sinks.files import Folder
 from tidemark.sources.change_log import changes_after, require_keys
 
-MARK_SLOTS = 16
+KEPT_SWITCHES = 16
+MERGE_FOLDERS = 8  # neighbouring folders of about one size that are merged
+TIER_BYTES = 1 << 20  # folders up to this size are of the first tier; each next is 8 times that
+POLL = T.StructField("poll", T.IntegerType())
+
+
+class SwitchConflict(RuntimeError):
+    """Another writer switched since the stage was read."""
 
 
 @dataclass(frozen=True)
@@ -49,40 +64,74 @@ def write_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatch:
     return StagedBatch(path, found["n_rows"], found["last_update"], found["size_bytes"] or 0)
 
 
-def _slots(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A few one-row files, each in a slot of its own; one may be replaced meanwhile."""
-    none = spark.createDataFrame([], f"{schema}, slot int")
-    none.write.mode("ignore").partitionBy("slot").parquet(path)
-    reader = spark.read.schema(f"{schema}, slot int").option("ignoreMissingFiles", "true")
-    return reader.parquet(path)
+class _Switch:
+    """The numbered files that say what counts."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.folder = Folder(spark, path)
 
+    def _names(self) -> list[str]:
+        return self.folder.names("switch")
 
-def _current_load(spark: SparkSession, path: str) -> int:
-    loads = _slots(spark, f"{path}/current", "load long")
-    return loads.agg(F.coalesce(F.max("load"), F.lit(0))).first()[0]
+    def last(self) -> tuple[int, list[dict]]:
+        names = self._names()
+        if not names:
+            return 0, []
+        return int(names[-1].partition(".")[0]), json.loads(self.folder.read(f"switch/{names[-1]}"))
+
+    def turn(self, number: int, folders: list[dict]) -> None:
+        """Make folders count, after the switch of that number."""
+        text = json.dumps(folders)
+        if not self.folder.create(f"switch/{number + 1:012}.json", text):
+            raise SwitchConflict(f"{self.folder.root}: switch {number + 1} exists already")
+        for old in self._names()[:-KEPT_SWITCHES]:
+            self.folder.delete(f"switch/{old}")
 
 
 def replace_stage(batch: DataFrame, path: str, table: TableConfig) -> StagedBatch:
     """Replace what is staged at a path by the batch, all at once.
 
-    Loads go to two folders in turn and count when their number is written, as
-    one small file.  A load that fails, or is still running, changes nothing for
-    readers, and the load before stays until the next but one.
+    The load before stays for its readers until the next but one.
     """
-    spark = batch.sparkSession
-    load = _current_load(spark, path) + 1
-    staged = write_stage(batch, f"{path}/rows-{load % 2}", table)
-    number = spark.range(load, load + 1, 1, 1).withColumnRenamed("id", "load")
-    number.write.mode("overwrite").parquet(f"{path}/current/slot={load % 2}")
+    switch = _Switch(batch.sparkSession, path)
+    number, before = switch.last()
+    name = f"load-{uuid.uuid4().hex}"
+    staged = write_stage(batch, f"{path}/{name}", table)
+    old = before[0].get("before") if before else None
+    switch.turn(number, [{"name": name, "before": before[0]["name"] if before else None}])
+    if old:
+        switch.folder.delete(old)
     return staged
 
 
 def read_stage(spark: SparkSession, path: str, table: TableConfig) -> DataFrame:
     """The rows of the last whole load; none before the first."""
-    load = _current_load(spark, path)
-    if not load:
+    _, loads = _Switch(spark, path).last()
+    if not loads:
         return spark.createDataFrame([], table.stage_schema)
-    return spark.read.schema(table.stage_schema).parquet(f"{path}/rows-{load % 2}")
+    return spark.read.schema(table.stage_schema).parquet(f"{path}/{loads[0]['name']}")
+
+
+@dataclass(frozen=True)
+class PollFolder:
+    """Rows of the polls ``first`` to ``last``; ``newest`` is their newest commit time."""
+
+    name: str
+    first: int
+    last: int
+    newest: str | None
+    size_bytes: int
+
+    @property
+    def tier(self) -> int:
+        tier, size = 0, TIER_BYTES
+        while size < self.size_bytes:
+            tier, size = tier + 1, size * 8
+        return tier
+
+
+def _poll_schema(table: TableConfig) -> T.StructType:
+    return T.StructType([*table.stage_schema.fields, POLL])
 
 
 def append_poll(
@@ -96,41 +145,98 @@ def append_poll(
 ) -> None:
     """One poll of the append-only stage: its own newest time is the mark.
 
-    Before-images are kept.  Each poll has a folder of its own and only looks at
-    earlier polls, so a poll that is run again replaces its rows.  Its newest time
-    is noted beside the log, and a later poll reads the last note and only the
-    folders after it, normally none, so a poll costs its changes.
+    Before-images are kept.  A poll only looks at earlier polls, so one that is run
+    again replaces its rows, unless it was merged with others.  The switch file notes
+    each folder's newest time, so a poll reads nothing of what was appended before.
     """
-    notes = _slots(spark, f"{log_path}.marks", "poll int, start_lsn timestamp_ntz").collect()
-    last = max(
-        (note for note in notes if note["poll"] < poll), key=lambda n: n["poll"], default=None
-    )
-    earlier = read_polls(spark, log_path, table).filter(F.col("poll") < poll)
-    if last is not None:
-        earlier = earlier.filter(F.col("poll") > last["poll"])
-    times = [earlier.agg(F.max("start_lsn")).first()[0], last and last["start_lsn"]]
-    newest = max((time for time in times if time is not None), default=None)
-    known = spark.createDataFrame([(newest,)], "start_lsn timestamp_ntz")
-    mark = watermark_of_stage(known, default, exact).first()["last_update"]
+    switch = _Switch(spark, log_path)
+    number, found = switch.last()
+    folders = [PollFolder(**f) for f in found]
+    if any(f.first <= poll <= f.last and f.first < f.last for f in folders):
+        raise ValueError(f"poll {poll} is merged with others")
+    newest = max((f.newest for f in folders if f.last < poll and f.newest), default=None)
+    mark = default if newest is None else datetime.fromisoformat(newest)
     seen = Observation()
+    name = f"poll-{poll}-{uuid.uuid4().hex}"
     (
-        changes_after(changes, mark, before_images=True)
-        .select(*table.stage_schema.fieldNames())
-        .observe(seen, F.max("start_lsn").alias("newest"))
-        .write.mode("overwrite")
-        .parquet(f"{log_path}/poll={poll}")
+        changes_after(changes, mark if exact else floor_ms(mark), before_images=True)
+        .select(*table.stage_schema.fieldNames(), F.lit(poll).cast("int").alias("poll"))
+        .observe(
+            seen,
+            F.max("start_lsn").alias("newest"),
+            F.sum(row_bytes(table.stage_schema)).alias("size_bytes"),
+        )
+        .write.parquet(f"{log_path}/{name}")
     )
-    times = [t for t in (newest, seen.get["newest"]) if t is not None]
-    note = [(poll, max(times, default=None))]
-    (
-        spark.createDataFrame(note, "poll int, start_lsn timestamp_ntz")
-        .write.mode("overwrite")
-        .parquet(f"{log_path}.marks/slot={poll % MARK_SLOTS}")
+    newest = seen.get["newest"] and seen.get["newest"].isoformat(sep=" ")
+    own = PollFolder(name, poll, poll, newest, seen.get["size_bytes"] or 0)
+    others = [f for f in folders if f.first != poll]
+    kept = sorted([*others, own], key=lambda f: f.first)
+    switch.turn(number, [asdict(f) for f in kept])
+
+
+def merge_polls(spark: SparkSession, log_path: str, table: TableConfig) -> int:
+    """Merge neighbouring folders of one size; returns how many were merged.
+
+    Folders are of tiers, each 8 times the size of the one before, and so many of one tier
+    become one of the next.  So a row is written once per tier, and the number of
+    folders follows the logarithm of the log.  For between polls.
+    """
+    switch = _Switch(spark, log_path)
+    number, found = switch.last()
+    folders = [PollFolder(**f) for f in found]
+    start = 0
+    while start < len(folders):
+        end = start
+        while end < len(folders) and folders[end].tier == folders[start].tier:
+            end += 1
+        if end - start >= MERGE_FOLDERS:
+            break
+        start = end
+    else:
+        return 0
+    run = folders[start:end]
+    name = f"merged-{run[0].first}-{run[-1].last}-{uuid.uuid4().hex}"
+    _read_folders(spark, log_path, run, table).hint("rebalance").write.parquet(f"{log_path}/{name}")
+    merged = PollFolder(
+        name,
+        run[0].first,
+        run[-1].last,
+        max((f.newest for f in run if f.newest), default=None),
+        sum(f.size_bytes for f in run),
     )
+    kept = [*folders[:start], merged, *folders[end:]]
+    switch.turn(number, [asdict(f) for f in kept])
+    return len(run)
+
+
+def _read_folders(
+    spark: SparkSession, log_path: str, folders: list[PollFolder], table: TableConfig
+) -> DataFrame:
+    paths = [f"{log_path}/{f.name}" for f in folders]
+    return spark.read.schema(_poll_schema(table)).parquet(*paths)
 
 
 def read_polls(spark: SparkSession, log_path: str, table: TableConfig) -> DataFrame:
-    schema = T.StructType([*table.stage_schema.fields, T.StructField("poll", T.IntegerType())])
-    none = spark.createDataFrame([], schema)
-    none.write.mode("ignore").partitionBy("poll").parquet(log_path)
-    return spark.read.schema(schema).parquet(log_path)
+    """Stage columns and ``poll`` of all that was appended."""
+    _, found = _Switch(spark, log_path).last()
+    if not found:
+        return spark.createDataFrame([], _poll_schema(table))
+    return _read_folders(spark, log_path, [PollFolder(**f) for f in found], table)
+
+
+def remove_unnamed(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> int:
+    """Remove attempts that no kept switch file names; returns their number."""
+    switch = _Switch(spark, path)
+    texts = [switch.folder.read(f"switch/{name}") for name in switch._names()]
+    named = {folder["name"] for text in texts for folder in json.loads(text)}
+    named |= {f["before"] for text in texts[-1:] for f in json.loads(text) if f.get("before")}
+    oldest = time.time() - older_than_hours * 3600
+    gone = [
+        name
+        for name in switch.folder.names("")
+        if name not in named and name != "switch" and switch.folder.modified(name) <= oldest
+    ]
+    for name in gone:
+        switch.folder.delete(name)
+    return len(gone)
