@@ -7,7 +7,7 @@ import pytest
 from model import ACCOUNT, DAY, change, frame
 from pyspark.sql import functions as F
 
-from tidemark.config import SALES_TABLES, source_column, table_config
+from tidemark.config import SALES_TABLES, define_table, source_column, table_config
 from tidemark.plans.cycle import run_cycle
 from tidemark.sinks.targets import TargetStore
 from tidemark.sources import jdbc
@@ -224,3 +224,66 @@ def test_times_that_fall_as_positions_rise_lose_nothing(spark):
     read = raw_changes_after(raw, times, ACCOUNT, DAY + timedelta(seconds=2))
     assert [r.start_lsn for r in read.collect()] == [DAY + timedelta(seconds=9)]
     assert raw_changes_after(raw, times, ACCOUNT, DAY + timedelta(seconds=9)).count() == 0
+
+
+@pytest.mark.parametrize("position", [None, b"\x02", b"\x00"])
+def test_slices_hold_every_position_once(spark, position):
+    rows = spark.createDataFrame([(bytes([n]),) for n in range(12)] + [(None,)] * 2, "p binary")
+    bounds = [bytes([n]) for n in (5, 9, 5, 2, 1)]
+    slices = jdbc.position_slices("p", position, bounds, nulls=True)
+    parts = [rows.filter(part.replace("0x", "X'").replace(" AND", "' AND") + "'" * ("0x" in part)) for part in slices]
+    found = sorted(r.p for part in parts[:-1] for r in part.collect())
+    assert found == [bytes([n]) for n in range(12) if position is None or bytes([n]) >= position]
+    assert parts[-1].count() == 2
+    assert jdbc.position_slices("p", None, []) == ["p IS NOT NULL"]
+    assert jdbc.position_slices("p", b"\x07", [b"\x07", b"\x03"]) == ["p >= 0x07"]
+
+
+def test_a_poll_reads_a_source_once(spark, tmp_path, monkeypatch):
+    """Rows that change after the read change nothing; the database is a stand-in."""
+    raw, times = raw_side(spark)
+    asked, read = [], []
+
+    def answer(session, name, sql):
+        asked.append(sql)
+        if "NTILE" in sql:
+            return spark.createDataFrame([(bytes([n]),) for n in (2, 4, 4)], "p binary")
+        none = "23:59" in sql
+        return spark.createDataFrame([(None if none else bytes([2]),)], "lsn binary")
+
+    def table(session, name, table_name, predicates):
+        read.append((table_name, predicates))
+        renamed = times.withColumnsRenamed({"lsn": "start_lsn", "commit_time": "tran_end_time"})
+        return renamed if table_name == jdbc.LSN_TIMES else raw
+
+    monkeypatch.setattr(jdbc, "read_query", answer)
+    monkeypatch.setattr(jdbc, "read_table", table)
+    poll = jdbc.change_log(spark, "src", ACCOUNT)
+    changes = poll(DAY + timedelta(seconds=1))
+    assert sorted(r.account_id for r in changes.collect()) == [2, 5] and changes.count() == 2
+    slices = ["{0} >= 0x02 AND {0} < 0x04", "{0} >= 0x04"]
+    assert read == [
+        ("cdc.SalesLT_account_CT", [s.format("[__$start_lsn]") for s in slices]),
+        ("cdc.lsn_time_mapping", [s.format("start_lsn") for s in slices]),
+    ]
+    assert len(asked) == 2 and "NTILE(8) OVER (ORDER BY [__$start_lsn])" in asked[1]
+    assert poll(DAY + timedelta(hours=23, minutes=59)).count() == 0 and len(read) == 2
+    images = jdbc.change_log(spark, "src", ACCOUNT, before_images=True)(DAY)
+    assert sorted(r.account_id for r in images.collect()) == [1, 2, 4, 5]
+
+
+def test_names_and_timeout_of_a_source(spark):
+    spark.conf.set("spark.tidemark.other.url", "jdbc:x")
+    assert jdbc._login(spark, "other")["loginTimeout"] == "30"
+    assert jdbc.source_change_table(spark, "other", ACCOUNT) == "cdc.SalesLT_account_CT"
+    for name, value in (("timeout", "5"), ("schema", "Shop"), ("pattern", "ct.{schema}.{table}")):
+        spark.conf.set(f"spark.tidemark.other.{name}", value)
+    assert jdbc._login(spark, "other")["loginTimeout"] == "5"
+    assert jdbc.source_change_table(spark, "other", ACCOUNT) == "ct.Shop.account"
+
+
+def test_names_that_operators_use_are_refused():
+    for columns in ("k long, batch_no int", "k long, __image string", "k long, K int", "k long, seqval string"):
+        with pytest.raises(ValueError, match="taken or repeated"):
+            define_table("t", columns)
+    define_table("t", "k long, found string, image string, touched int, newest int, deleted int")

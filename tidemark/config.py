@@ -79,7 +79,13 @@ class TableConfig:
 
     @property
     def change_table(self) -> str:
-        return CHANGE_TABLE_PATTERN.format(schema=SOURCE_SCHEMA, table=self.source_table)
+        return self.change_table_of()
+
+    def change_table_of(
+        self, schema: str = SOURCE_SCHEMA, pattern: str = CHANGE_TABLE_PATTERN
+    ) -> str:
+        """Its change table in a source database of other names."""
+        return pattern.format(schema=schema, table=self.source_table)
 
 
 def source_column(column: str) -> str:

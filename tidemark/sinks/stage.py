@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
@@ -137,7 +138,7 @@ def _poll_schema(table: TableConfig) -> T.StructType:
 def append_poll(
     spark: SparkSession,
     log_path: str,
-    changes: DataFrame,
+    changes: DataFrame | Callable[[datetime], DataFrame],
     table: TableConfig,
     poll: int,
     default: datetime = DEFAULT_WATERMARK,
@@ -145,7 +146,8 @@ def append_poll(
 ) -> None:
     """One poll of the append-only stage: its own newest time is the mark.
 
-    Before-images are kept.  A poll only looks at earlier polls, so one that is run
+    Before-images are kept; ``changes`` may be a function that gives all images after a
+    mark.  A poll only looks at earlier polls, so one that is run
     again replaces its rows, unless it was merged with others.  The switch file notes
     each folder's newest time, so a poll reads nothing of what was appended before.
     """
@@ -156,10 +158,12 @@ def append_poll(
         raise ValueError(f"poll {poll} is merged with others")
     newest = max((f.newest for f in folders if f.last < poll and f.newest), default=None)
     mark = default if newest is None else datetime.fromisoformat(newest)
+    mark = mark if exact else floor_ms(mark)
+    rows = changes if isinstance(changes, DataFrame) else changes(mark)
     seen = Observation()
     name = f"poll-{poll}-{uuid.uuid4().hex}"
     (
-        changes_after(changes, mark if exact else floor_ms(mark), before_images=True)
+        changes_after(rows, mark, before_images=True)
         .select(*table.stage_schema.fieldNames(), F.lit(poll).cast("int").alias("poll"))
         .observe(
             seen,
@@ -225,6 +229,12 @@ def read_polls(spark: SparkSession, log_path: str, table: TableConfig) -> DataFr
     return _read_folders(spark, log_path, [PollFolder(**f) for f in found], table)
 
 
+def last_poll(spark: SparkSession, log_path: str) -> int:
+    """Number of the last poll; 0 before the first."""
+    _, found = _Switch(spark, log_path).last()
+    return max((folder["last"] for folder in found), default=0)
+
+
 def remove_unnamed(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> int:
     """Remove attempts that no kept switch file names; returns their number."""
     switch = _Switch(spark, path)
