@@ -7,10 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import GAP
 
 UNIT = 1 << 24  # expected copies are counted in whole parts of this size
 SALTS = 2  # hex digits of the salt within one source and size: 256 blocks
+SUB_ROWS = 1 << 16  # row numbers of one run
+BROADCAST_SOURCES = 100_000  # targets, about 100 bytes each
+BROADCAST_ROWS = 500_000  # copies, about 50 bytes each
 
 
 def n_words(text: Column) -> Column:
@@ -64,89 +68,135 @@ def source_targets(
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def systematic_copies(
-    rows: DataFrame, group: Column, order: Column, row_id: Column, expected: Column, start: Column
-) -> DataFrame:
-    """``rows`` as a struct column ``row``, with whole ``copies`` of each.
-
-    Expected copies are added up within the group, in order of ``order`` and
-    then of ``row_id``; a row is emitted once for each whole number that its
-    part of the running sum, moved by the group's ``start``, crosses.  So it
-    gets its expected copies rounded up or down, and any run of rows gets its
-    sum to within one copy.
-
-    A group may hold any share of the rows.  Its sum is built up in three steps,
-    each of them small: over the different values of ``order``, over the salts of
-    one value, and over the rows of one salt.  All sums are of integers, so that
-    reruns agree.
+def ranks(rows: DataFrame, group: str, order: str, row_id: str, row: str) -> DataFrame:
+    """``rows`` with ``rank``: each row's place from 1 within its group, by ``order``, then
+    by a hash of ``row_id``, by ``row_id``, null first, and by ``row``, the row's number.
+
+    A group may hold any share of the rows, and so may an id.  Places are added up in
+    steps, each of them small: over the values of ``order`` in a group, over the hashes
+    of one value, over the ids of one hash, and for ids that repeat over runs of
+    SUB_ROWS row numbers, and over the rows of one run.
     """
-    salt = F.substring(F.md5(F.coalesce(row_id.cast("string"), F.lit(""))), 1, SALTS)
-    base = rows.select(
-        F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"),
-        group.alias("g"),
-        order.alias("o"),
-        row_id.alias("i"),
-        salt.alias("salt"),
-        F.floor(F.coalesce(expected, F.lit(0.0)) * UNIT + 0.5).cast("long").alias("e"),
-        F.floor(start * UNIT).cast("long").alias("start"),
-    )
-    blocks = base.groupBy("g", "o", "salt").agg(F.sum("e").alias("s"))
-    values = blocks.groupBy("g", "o").agg(F.sum("s").alias("s"))
-    before = (Window.unboundedPreceding, -1)
-    by_value = Window.partitionBy("g").orderBy("o").rowsBetween(*before)
-    by_salt = Window.partitionBy("g", "o").orderBy("salt").rowsBetween(*before)
-    values = values.select("g", "o", F.coalesce(F.sum("s").over(by_value), F.lit(0)).alias("p"))
-    blocks = blocks.join(values, ["g", "o"]).select(
-        "g", "o", "salt", (F.coalesce(F.sum("s").over(by_salt), F.lit(0)) + F.col("p")).alias("p")
-    )
-    in_block = Window.partitionBy("g", "o", "salt").orderBy("i")
-    in_block = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    summed = base.join(blocks, ["g", "o", "salt"]).withColumn(
-        "end", F.sum("e").over(in_block) + F.col("p") + F.col("start")
+    salt = F.substring(F.md5(F.coalesce(F.col(row_id).cast("string"), F.lit(""))), 1, SALTS)
+    base = rows.withColumn("salt", salt)
+    keys = [group, order, "salt", row_id]
+    ids = base.groupBy(*keys).agg(F.count("*").alias("n"), F.min(row).alias(row))
+
+    def before(within: list[str], *by: str) -> Column:
+        window = Window.partitionBy(*within).orderBy(*by)
+        window = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(window), F.lit(0))
+
+    salts = base.groupBy(group, order, "salt").agg(F.count("*").alias("n"))
+    values = salts.groupBy(group, order).agg(F.sum("n").alias("n"))
+    values = values.select(group, order, before([group], order).alias("p"))
+    salts = salts.withColumn("q", before([group, order], "salt")).drop("n")
+    salts = salts.join(values, [group, order]).withColumn("p", F.col("p") + F.col("q")).drop("q")
+    ids = ids.withColumn("r", before(keys[:3], row_id)).join(salts, keys[:3])
+    ids = ids.withColumn("r", F.col("r") + F.col("p")).drop("p")
+
+    columns = [group, order, row_id, row]
+    once = ids.filter("n = 1").select(*columns, (F.col("r") + 1).alias("rank"))
+    # Ids that repeat: their rows meet their run's place by a key of SUB_ROWS rows at most.
+    sub = F.floor(F.col(row) / SUB_ROWS).alias("sub")
+    runs = base.groupBy(*keys, sub).agg(F.count("*").alias("n"))
+    many = ids.filter("n > 1").select(*[F.col(k).alias(f"{k}#") for k in keys], "r")
+    same = [F.col(k).eqNullSafe(F.col(f"`{k}#`")) for k in keys]
+    runs = runs.withColumn("s", before(keys, "sub")).join(many, same)
+    runs = runs.select(*[f"`{k}#`" for k in keys], F.col("sub").alias("sub#"), (F.col("r") + F.col("s")).alias("r"))
+    in_run = Window.partitionBy(*keys, "sub").orderBy(row)
+    repeated = base.withColumn("sub", sub).join(runs, [*same, F.col("sub") == F.col("`sub#`")])
+    place = F.row_number().over(in_run).cast("long") + F.col("r")
+    return once.unionByName(repeated.select(*columns, place.alias("rank")))
+
+
+def numbered_copies(rank: Column, expected: Column, start: Column) -> Column:
+    """Copies of the row in a place, if each row of its group expects as many.
+
+    Expected copies are added up along the group; a row is emitted once for each whole
+    number that its part of the running sum, moved by ``start``, crosses.  So it gets
+    its expected copies rounded up or down, and any run of rows gets its sum to within
+    one copy.  Sums are of whole parts of UNIT, so that reruns agree.
+    """
+    each = F.floor(F.coalesce(expected, F.lit(0.0)) * UNIT + 0.5).cast("long")
+    upto = each * rank + F.floor(start * UNIT).cast("long")
+    return F.floor(upto / UNIT).cast("long") - F.floor((upto - each) / UNIT).cast("long")
+
+
+def sizes(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """A written table of (row, doc_id, source, name, size): texts are read once, for their
+    number of words, and no text is moved."""
+    return scratch.save(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col("doc_id"),
+            F.col("source"),
+            _key(F.col("source")).alias("name"),
+            n_words(F.col("text")).alias("size"),
+        ),
+        "sizes",
     )
-    copies = F.expr(f"end div {UNIT} - (end - e) div {UNIT}")
-    return summed.select("row", copies.alias("copies"))
 
 
 def mix(
-    docs: DataFrame,
+    sized: DataFrame,
+    scratch: Scratch,
     weights: Sequence[int] = (3, 1, 2),
     share: float = 1.5,
     most: int = 2,
     seed: str = "mix",
 ) -> DataFrame:
-    """Every row of ``docs`` as ``row``, with size, source_size, target and ``copies``.
+    """(row, doc_id, size, source_size, target, copies) for the rows of ``sizes``.
 
     Sizes are words; a null or empty text has none, and an empty source expects
     no copies.  Expected copies of a document are its source's target over its
     size, so at most ``most``.  Documents are sampled in order of size, so that
     the words taken come near the target and not only the documents.  A source's
-    offset is drawn from the seed and its name.  Null sources are one source;
-    rows that repeat are sampled one by one; other columns ride along.
+    offset is drawn from the seed and its name.  Null sources are one source; rows that
+    repeat, or have no id, are sampled one by one; rows of one size and id are taken by
+    their number.  An empty table gives no rows.
     """
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    sized = docs.select(own, F.col("source"), n_words(F.col("text")).alias("size"))
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights, share, most).withColumn("name", _key(F.col("source")))
-    sized = sized.withColumn("name", _key(F.col("source"))).drop("source")
-    # One row per source: a broadcast wherever Spark finds it small, else a join
-    # whose hot keys adaptive execution splits.
-    rows = sized.join(targets.drop("source"), "name")
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(totals, weights, share, most)
+    targets = targets.select(_key(F.col("source")).alias("name"), "source_size", "target")
+    targets, seen = scratch.save_seen(targets, "targets")
+    few = seen["n"] <= BROADCAST_SOURCES
+    ranked = ranks(sized.select("row", "doc_id", "name", "size"), "name", "size", "doc_id", "row")
+    # Beyond the bound, adaptive execution splits a source that is joined by its name.
+    rows = ranked.join(F.broadcast(targets) if few else targets, "name")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("name"))), 1, 6), 16, 10)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
-    return systematic_copies(
-        rows,
-        group=F.col("name"),
-        order=F.col("size"),
-        row_id=F.col("row.doc_id"),
-        expected=expected,
-        start=offset.cast("double") / (1 << 24),
-    ).select("row.row", "row.size", "row.source_size", "row.target", "copies")
+    copies = numbered_copies(F.col("rank"), expected, offset.cast("double") / (1 << 24))
+    return rows.select("row", "doc_id", "size", "source_size", "target", copies.alias("copies"))
+
+
+def document_copies(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, size, source_size, target, copies) of each document."""
+    scratch = Scratch(docs.sparkSession, "mixing")
+    return mix(sizes(docs, scratch), scratch, **options).drop("row")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, numbered ``copy_no``."""
-    copies = mix(docs, **options).filter("copies > 0")
-    repeated = copies.select("row.*", F.explode(F.expr("sequence(1, copies)")).alias("copy_no#"))
-    names = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "copy_no"]
+    """The mix itself: each document as often as it is taken, numbered ``copy_no``.
+
+    Documents are written once with their row numbers, and meet their copies by these:
+    by broadcast while the counted copies are few, else in one shuffle.  Other columns
+    ride along; one named ``copy_no`` is replaced.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    numbered = scratch.save(docs.select(own, F.monotonically_increasing_id().alias("row")), "docs")
+    sized = numbered.select(
+        "row",
+        F.col("own.doc_id").alias("doc_id"),
+        F.col("own.source").alias("source"),
+        _key(F.col("own.source")).alias("name"),
+        n_words(F.col("own.text")).alias("size"),
+    )
+    copies = mix(scratch.save(sized, "sizes"), scratch, **options)
+    copies, seen = scratch.save_seen(copies.filter("copies > 0").select("row", "copies"), "copies")
+    few = seen["n"] <= BROADCAST_ROWS
+    taken = numbered.join(F.broadcast(copies) if few else copies, "row")
+    repeated = taken.select("own", F.explode(F.expr("sequence(1, copies)")).alias("copy_no#"))
+    names = [F.col(f"own.`{c}`") for c in docs.columns if c.lower() != "copy_no"]
     return repeated.select(*names, F.col("`copy_no#`").alias("copy_no"))

@@ -83,13 +83,9 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mixed.select(
-        F.col("row.doc_id").alias("doc_id"),
-        "size",
-        "source_size",
-        "target",
-        (F.col("copies") * F.col("size")).alias("taken"),
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixing.document_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", taken
     )
 
 
