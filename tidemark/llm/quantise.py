@@ -19,8 +19,9 @@ BLOCK_BITS = BITS // BLOCKS
 BLOCK_RADIUS = 2  # met by listing each code under all keys one bit away
 RADIUS = 22  # bits that may differ in the whole code
 MAX_SAMPLE = 20_000  # vectors of one length to learn from
-MAX_LENGTHS = 64  # vector lengths with a learnt rotation; others get a random one
+MAX_LENGTHS = 64  # vector lengths whose rotations are broadcast together; each set is a pass
 SHARES = 1 << 30
+CODED = "id long, code long, keys array<long>"
 
 
 def random_rotation(rng: np.random.Generator, n: int) -> np.ndarray:
@@ -29,18 +30,21 @@ def random_rotation(rng: np.random.Generator, n: int) -> np.ndarray:
 
 
 def learn_rotation(vectors: np.ndarray, steps: int = 40, seed: int = 8) -> np.ndarray:
-    """A (length + 1) x BITS matrix: the last row shifts by the mean.
+    """A length x BITS matrix whose products' signs are a vector's code.
 
-    Principal components are turned until the signs lie as near as possible to
-    the projected vectors.  Where a vector has fewer components than the code
-    has bits, further rotations from other starts add theirs.
+    Principal components about the origin are turned until the signs lie as near as
+    possible to the projected vectors.  Where a vector has fewer components than the
+    code has bits, further rotations from other starts add theirs.
+
+    Nothing is shifted by the mean: cosines are angles at the origin, and vectors with a
+    strong common direction would be torn apart by angles at their mean.  About the
+    origin that direction is the first component, and turning spreads it over all bits,
+    so that near vectors agree in their codes whatever the mean is.
     """
     rng = np.random.default_rng(seed)
-    mean = vectors.mean(axis=0) if len(vectors) else np.zeros(vectors.shape[1])
-    centred = vectors - mean
-    _, axes = np.linalg.eigh(centred.T @ centred)
+    _, axes = np.linalg.eigh(vectors.T @ vectors)
     axes = axes[:, ::-1][:, :BITS]
-    flat = centred @ axes
+    flat = vectors @ axes
     columns: list[np.ndarray] = []
     while sum(c.shape[1] for c in columns) < BITS:
         turn = random_rotation(rng, flat.shape[1])
@@ -48,8 +52,7 @@ def learn_rotation(vectors: np.ndarray, steps: int = 40, seed: int = 8) -> np.nd
             u, _, vt = np.linalg.svd(np.sign(flat @ turn).T @ flat)
             turn = (u @ vt).T
         columns.append(axes @ turn)
-    matrix = np.concatenate(columns, axis=1)[:, :BITS]
-    return np.vstack([matrix, -(mean @ matrix)])
+    return np.concatenate(columns, axis=1)[:, :BITS]
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -77,11 +80,7 @@ def encode(
     for batch in batches:
         codes = np.zeros(batch.num_rows, np.uint64)
         for rows, vectors in by_length(batch.column(1)):
-            n = vectors.shape[1]
-            matrix = rotations.get(n)
-            if matrix is None:
-                matrix = learn_rotation(np.zeros((0, n)))
-            signs = unit(vectors) @ matrix[:-1] + matrix[-1] > 0
+            signs = unit(vectors) @ rotations[vectors.shape[1]] > 0
             codes[rows] = np.packbits(signs, axis=1, bitorder="little").view(np.uint64).ravel()
         keys = []
         for block in range(BLOCKS):
@@ -100,6 +99,10 @@ def encode(
         )
 
 
+def _encode(batches: Iterator[pa.RecordBatch], rotations) -> Iterator[pa.RecordBatch]:
+    return encode(batches, rotations.value)
+
+
 def cosines(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """(a, b, vector of a, vector of b) to the pairs (a, b) with this cosine or more."""
     for batch in batches:
@@ -111,12 +114,15 @@ def cosines(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
         yield batch.select([0, 1]).filter(pa.array(near))
 
 
-def _rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """A rotation for each of the commonest vector lengths, learnt in a task each."""
+def _lengths(vectors: DataFrame) -> list[list]:
+    """The lengths there are with their counts, so many at a time as are broadcast at once."""
     lengths = vectors.groupBy(F.size("vector").alias("length")).count()
-    lengths = lengths.orderBy(F.desc("count"), "length").limit(MAX_LENGTHS).collect()
-    if not lengths:
-        return {}
+    found = lengths.orderBy("length").collect()
+    return [found[i : i + MAX_LENGTHS] for i in range(0, len(found), MAX_LENGTHS)]
+
+
+def _rotations(vectors: DataFrame, lengths: list) -> dict[int, np.ndarray]:
+    """A rotation for each of these lengths, learnt in a task each."""
     share = {r["length"]: int(SHARES * min(1.0, MAX_SAMPLE / r["count"])) for r in lengths}
     least = F.try_element_at(
         F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.size("vector")
@@ -136,7 +142,7 @@ def _rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
 
     found = sample.groupBy("length").applyInArrow(fit, "length int, matrix binary").collect()
     return {
-        r["length"]: np.frombuffer(r["matrix"], np.float64).reshape(r["length"] + 1, BITS)
+        r["length"]: np.frombuffer(r["matrix"], np.float64).reshape(r["length"], BITS)
         for r in found
     }
 
@@ -176,8 +182,9 @@ def near_vectors(
     is at least ``cosine``.  Each vector gets a 64-bit code of signs after a
     learnt rotation.  Codes meet in tables of 16-bit blocks if some block differs
     in at most two bits; of those, pairs within RADIUS bits are compared by their
-    vectors.  At the cosine itself a pair is found with probability 0.99, nearer
-    pairs almost surely; no pair is linked without its cosine.
+    vectors.  At a cosine of 0.93 a pair is found with probability 0.99, nearer pairs
+    almost surely, and whatever direction the vectors have in common; the more of it
+    they have, the more pairs are compared.  No pair is linked without its cosine.
 
     Equal vectors of a group are one class and are never paired with each other;
     their number counts in ``n_links``.  Vectors of different length are not
@@ -210,10 +217,15 @@ def near_vectors(
     )
     classes = scratch.save(classes, "classes")
 
-    rotations = spark.sparkContext.broadcast(_rotations(classes.select("id", "vector")))
-    coded = classes.select("id", "vector").mapInArrow(
-        lambda batches: encode(batches, rotations.value), "id long, code long, keys array<long>"
-    )
+    plain = classes.select("id", "vector")
+    coded = None
+    for lengths in _lengths(plain):
+        rotations = spark.sparkContext.broadcast(_rotations(plain, lengths))
+        own = plain.filter(F.size("vector").isin([r["length"] for r in lengths]))
+        part = own.mapInArrow(partial(_encode, rotations=rotations), CODED)
+        coded = part if coded is None else coded.unionByName(part)
+    if coded is None:
+        coded = spark.createDataFrame([], CODED)
     of = classes.select("id", "group", F.size("vector").alias("length"))
     listed = coded.join(of, "id").select("group", "length", "id", "code", F.explode("keys").alias("key"))
     listed = scratch.save(listed, "listed")
