@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.scratch import Scratch
-from tidemark.llm.words import bounds, shingles, slices, split
+from tidemark.llm.words import bounds, mix, shingles, slices, split
 
 SHINGLE = 5  # words
+ANCHORS_AT_ONCE, WINDOWS_AT_ONCE = 1 << 19, 1 << 15
 PERCENT = 80
 BLOCKS, BLOCK_BITS = 8, 8
 BLOCK_RADIUS = 2  # bits that may differ in the block that differs least
@@ -113,28 +114,54 @@ def similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return shared, len(a) + len(b) - shared
 
 
+def pieces(number: np.ndarray, most: int) -> Iterator[slice]:
+    """Neighbouring entries that have about ``most`` together, at least one each."""
+    total, lo = np.cumsum(number), 0
+    while lo < len(number):
+        before = total[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, before + most, "right")))
+        yield slice(lo, hi)
+        lo = hi
+
+
 def windows(
     index: Index, k: int, values: np.ndarray, starts: np.ndarray, ends: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(start, size) of all windows worth a fingerprint: as many words as an item has,
     and with at least one shingle of an item of that size.  Any other window shares
     nothing with the items of its size.  A shorter text is one window itself.
 
-    ``values`` are the k-word shingles; a text's words are [start, end).
+    ``values`` are the k-word shingles; a text's words are [start, end).  A shingle's
+    windows of one size begin in an interval; intervals that touch are joined before
+    they are listed, a bounded number at once, so a text that repeats an item's
+    shingle over and over takes no more memory than any other.
     """
-    shingle, size = index.anchor[k]
+    shingle, sizes = index.anchor[k]
     lo = np.searchsorted(shingle, values, "left")
-    at = np.flatnonzero((lo < len(shingle)) & (shingle[np.minimum(lo, len(shingle) - 1)] == values))
-    place, which = ranges(lo[at], np.searchsorted(shingle, values[at], "right"))
-    at, size = at[which], size[place]
-    text = np.searchsorted(starts, at, "right") - 1
-    inside = at + k <= ends[text]
-    at, size, text = at[inside], size[inside], text[inside]
-    last = np.maximum(np.minimum(at, ends[text] - size), starts[text])
-    first = np.maximum(np.minimum(at - size + k, last), starts[text])
-    start, which = ranges(first, last + 1)
-    both = np.unique(start * (1 << 32) + size[which]) if len(start) else np.zeros(0, np.int64)
-    return both >> 32, both & ((1 << 32) - 1)
+    met = np.flatnonzero((lo < len(shingle)) & (shingle[np.minimum(lo, len(shingle) - 1)] == values))
+    lo, hi = lo[met], np.searchsorted(shingle, values[met], "right")
+    for part in pieces(hi - lo, ANCHORS_AT_ONCE):
+        place, which = ranges(lo[part], hi[part])
+        at, size = met[part][which], sizes[place]
+        text = np.searchsorted(starts, at, "right") - 1
+        inside = at + k <= ends[text]
+        at, size, text = at[inside], size[inside], text[inside]
+        if not len(at):
+            continue
+        last = np.maximum(np.minimum(at, ends[text] - size), starts[text])
+        first = np.maximum(np.minimum(at - size + k, last), starts[text])
+        order = np.lexsort((first, size))
+        apart = size[order] << 32  # beyond every place of the size before
+        first, reach = apart + first[order], np.maximum.accumulate(apart + last[order])
+        new = np.append(True, first[1:] > reach[:-1] + 1)
+        begin, end = first[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(first) - 1)] + 1
+        steps = -(-(end - begin) // WINDOWS_AT_ONCE)
+        step, of = ranges(np.zeros_like(steps), steps)
+        begin, end = begin[of] + step * WINDOWS_AT_ONCE, end[of]
+        end = np.minimum(end, begin + WINDOWS_AT_ONCE)
+        for some in pieces(end - begin, WINDOWS_AT_ONCE):
+            both, _ = ranges(begin[some], end[some])
+            yield both & ((1 << 32) - 1), both >> 32
 
 
 def hits(index: Index, hashes: np.ndarray, cut: np.ndarray) -> list[tuple]:
@@ -146,28 +173,33 @@ def hits(index: Index, hashes: np.ndarray, cut: np.ndarray) -> list[tuple]:
     best: dict[tuple[int, int], tuple] = {}
     for k in index.anchor if len(starts) else ():
         values = shingles(hashes, k)
-        start, size = windows(index, k, values, starts, ends)
-        if not len(start):
-            continue
-        text = np.searchsorted(starts, start, "right") - 1
-        end = np.minimum(start + size, ends[text])
-        used = np.zeros(len(values) + 1, np.int32)
-        np.add.at(used, start, 1)
-        np.add.at(used, end - k + 1, -1)
-        places = np.flatnonzero(np.cumsum(used[:-1]) > 0)
-        prints = fingerprints(
-            values[places],
-            np.searchsorted(places, start),
-            np.searchsorted(places, start) + (end - k + 1 - start),
-        )
-        for w, i in zip(*lookup(index, size, prints), strict=True):
-            own = values[start[w] : end[w] - k + 1]
-            shared, joint = similarity(own, index.shingles[i])
-            if shared * 100 >= joint * PERCENT:
+        totals = np.append(np.uint64(0), np.cumsum(mix(values)))
+        for start, size in windows(index, k, values, starts, ends):
+            text = np.searchsorted(starts, start, "right") - 1
+            end = np.minimum(start + size, ends[text])
+            # Of a text's windows with the same shingles the first is enough.
+            content = np.stack([text, size, (totals[end - k + 1] - totals[start]).view(np.int64)], axis=1)
+            first = np.sort(np.unique(content, axis=0, return_index=True)[1])
+            start, size, text, end = start[first], size[first], text[first], end[first]
+            used = np.zeros(len(values) + 1, np.int32)
+            np.add.at(used, start, 1)
+            np.add.at(used, end - k + 1, -1)
+            places = np.flatnonzero(np.cumsum(used[:-1]) > 0)
+            prints = fingerprints(
+                values[places],
+                np.searchsorted(places, start),
+                np.searchsorted(places, start) + (end - k + 1 - start),
+            )
+            for w, i in zip(*lookup(index, size, prints), strict=True):
                 key = (int(text_of[text[w]]), int(i))
-                rank = (-shared / joint, int(start[w] - starts[text[w]]))
-                if key not in best or rank < best[key][0]:
-                    best[key] = (rank, int(end[w] - start[w]), shared, joint)
+                if key in best and best[key][0][0] == -1:
+                    continue  # windows come from the left, and no later one is better
+                own = values[start[w] : end[w] - k + 1]
+                shared, joint = similarity(own, index.shingles[i])
+                if shared * 100 >= joint * PERCENT:
+                    rank = (-shared / joint, int(start[w] - starts[text[w]]))
+                    if key not in best or rank < best[key][0]:
+                        best[key] = (rank, int(end[w] - start[w]), shared, joint)
     return [(t, i, r[1], n, s, j) for (t, i), (r, n, s, j) in sorted(best.items())]
 
 
@@ -293,13 +325,3 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         kind = T.StructType([rows.schema["row"]])
         left = rows.mapInArrow(partial(keep_clean, index=index), kind).select("row.*")
     return left
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id no row with a benchmark item has.
-
-    All rows of such an id go, and a row without id always stays; ``clean_rows``
-    decides by row.
-    """
-    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
