@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.scratch import Scratch
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Count and sum of hashes: equal for equal sets of edges."""
-    row = edges.agg(
-        F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
-    ).first()
-    return tuple(row)
+def _save(scratch: Scratch, edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """Written edges with their count and sum of hashes: equal for equal sets of edges."""
+    total = F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
+    edges, seen = scratch.save_seen(edges.select("hi", "lo"), name, total=total)
+    return edges, (seen["n"], seen["total"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -45,14 +44,13 @@ def components(edges: DataFrame, a: str, b: str, scratch: Scratch, name: str) ->
     when the edges are stars, which is after O(log**2 n) rounds, usually three.
     """
     edges = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
-    edges = scratch.save(edges.filter("hi > lo").distinct(), f"{name}-0")
-    mark, turn = _mark(edges), 0
+    edges, mark = _save(scratch, edges.filter("hi > lo").distinct(), f"{name}-0")
+    turn = 0
     while mark[0]:
         stars = _small_star(_large_star(edges).filter("hi > lo").distinct())
-        turn += 1
-        edges = scratch.save(stars.filter("hi > lo").distinct(), f"{name}-{turn}")
+        turn, before = turn + 1, mark
+        edges, mark = _save(scratch, stars.filter("hi > lo").distinct(), f"{name}-{turn}")
         scratch.drop(f"{name}-{turn - 1}")
-        before, mark = mark, _mark(edges)
         if mark == before:
             break
     own = edges.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()

@@ -16,7 +16,7 @@ from tidemark.llm.words import bounds, mix, shingle_set, slices, split
 
 BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability 3e-6
 PIVOT_ROUNDS = 2
-BROADCAST_IDS = 2_000_000  # 16 MB
+BROADCAST_IDS = 250_000  # three columns and a hash table's share, about 100 bytes each: 25 MB
 
 SIGNED = (
     "id long, k1 long, k2 int, n long, f1 long, f2 long, bands array<long>, minima binary"
@@ -140,8 +140,9 @@ def _verified(
     k: int,
     percent: int,
     bands_rows: int,
-) -> DataFrame:
-    """Pairs (a, b) whose signatures agree and whose whole sets are similar enough.
+) -> tuple[DataFrame, int]:
+    """Pairs (a, b) whose signatures agree and whose whole sets are similar enough, and
+    their number.
 
     Signatures may fall short of the wanted similarity by five standard errors.
     """
@@ -154,9 +155,9 @@ def _verified(
         .select("a", "b", "ma", "mb")
         .mapInArrow(partial(agreeing, least=least), "a long, b long")
     )
-    near = scratch.save(near, f"{name}-near")
+    near, seen = scratch.save_seen(near, f"{name}-near")
     ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _only(docs, reps, ids, at_most=2 * near.count()).mapInArrow(
+    sets = _only(docs, reps, ids, at_most=2 * seen["n"]).mapInArrow(
         partial(shingle_sets, k=k), "id long, shingles array<long>"
     )
     sets = scratch.save(sets, f"{name}-sets")
@@ -169,9 +170,9 @@ def _verified(
         .filter(shared.cast("long") * 100 >= union.cast("long") * percent)
         .select("a", "b")
     )
-    links = scratch.save(links, f"{name}-links")
+    links, seen = scratch.save_seen(links, f"{name}-links")
     scratch.drop(f"{name}-near", f"{name}-sets")
-    return links
+    return links, seen["n"]
 
 
 def _sharing_rare(
@@ -185,8 +186,8 @@ def _sharing_rare(
     changes exceed the allowed difference have rare shingles that nobody shares.
     """
     nodes = members.groupBy("id").agg(F.first("n").alias("n"), F.first("comp").alias("comp"))
-    nodes = scratch.save(nodes, "rest")
-    sets = _only(docs, reps, nodes.select("id"), at_most=nodes.count()).mapInArrow(
+    nodes, seen = scratch.save_seen(nodes, "rest")
+    sets = _only(docs, reps, nodes.select("id"), at_most=seen["n"]).mapInArrow(
         partial(shingle_sets, k=k), "id long, shingles array<long>"
     )
     entries = scratch.save(sets.select("id", F.explode("shingles").alias("shingle")), "rest-sets")
@@ -235,15 +236,20 @@ def near_duplicates(
     one bucket is compared wherever two texts share one of their rarest shingles,
     which loses no link and needs no pair for texts that are alike but not enough.
 
-    A null or empty text has no shingles and is linked with nothing.  Of every
-    component exactly one row is kept, one with the least id.  Ids decide nothing
-    else: rows that repeat an id are judged by their own texts, and rows without
-    id are linked like others; a component of none but these has a null id.
-    Other columns are not looked at.
+    A null or empty text has no shingles and is linked with nothing.  ``kept`` says that
+    a row has its component's id, so of rows that repeat it all are; ``kept_row`` is true
+    for exactly one of them.  Ids decide nothing else: rows that repeat an id are
+    judged by their own texts, and rows without id are linked like others; a component
+    of none but these has a null id, which they have too.  Very long texts are split in
+    slices; an empty table gives no rows; other columns are not looked at.
     """
     judged = _judged(_keyed(docs, id_col, text_col), words, percent, bands, rows)
     return judged.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "kept"
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.col("kept").alias("kept_row"),
     )
 
 
@@ -294,8 +300,8 @@ def _judged(docs: DataFrame, words: int, percent: int, bands: int, rows: int) ->
                 F.min("comp").alias("first_comp"), F.max("comp").alias("last_comp")
             )
             open_keys = spans.filter("first_comp < last_comp")
-            members = scratch.save(members.join(open_keys, "key"), f"open-{turn}")
-            if members.isEmpty():
+            members, seen = scratch.save_seen(members.join(open_keys, "key"), f"open-{turn}")
+            if not seen["n"]:
                 break
         if turn < PIVOT_ROUNDS:
             # The first pivot is the least member, so nearly the same in all buckets of
@@ -310,8 +316,7 @@ def _judged(docs: DataFrame, words: int, percent: int, bands: int, rows: int) ->
         else:
             pairs = _sharing_rare(members, docs, reps, scratch, words, percent)
         pairs = pairs.filter(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = check(pairs.distinct(), name=f"round-{turn}")
-        changed = not links.isEmpty()
+        links, changed = check(pairs.distinct(), name=f"round-{turn}")
         if changed:
             # Earlier links are represented by the stars they have become.
             edges = links if linked is None else links.union(linked.select("id", "component"))
@@ -344,14 +349,6 @@ def _judged(docs: DataFrame, words: int, percent: int, bands: int, rows: int) ->
     )
 
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is kept, all of them; ``kept_rows`` decides by row."""
-    found = near_duplicates(docs, **options)
-    gone = found.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max("kept").alias("kept"))
-    gone = gone.filter("NOT kept").select("gone_id")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-
-
 def kept_rows(
     docs: DataFrame,
     words: int = 5,
@@ -365,14 +362,16 @@ def kept_rows(
     by_key = judged.groupBy("k1", "k2").agg(
         F.count("*").alias("copies"), F.max("kept").alias("kept")
     )
-    marked = Scratch(docs.sparkSession, "kept").save(
-        by_key.filter("NOT kept OR copies > 1").select("k1", "k2", "kept"), "marked"
+    marked, seen = Scratch(docs.sparkSession, "kept").save_seen(
+        by_key.filter("NOT kept OR copies > 1").select("k1", "k2", "kept"),
+        "marked",
+        kept=F.count_if("kept"),
     )
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
     keyed = docs.select(own, F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
     keyed = keyed.select("own", F.xxhash64("id", "text").alias("k1"), F.hash("id", "text").alias("k2"))
     left = keyed.join(marked, ["k1", "k2"], "left_anti").select("own.*")
-    if marked.filter("kept").isEmpty():
+    if not seen["kept"]:
         return left
     repeated = keyed.join(marked.filter("kept"), ["k1", "k2"], "left_semi")
     return left.union(repeated.dropDuplicates(["k1", "k2"]).select("own.*"))

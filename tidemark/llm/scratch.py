@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
@@ -26,6 +27,14 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def save_seen(self, df: DataFrame, name: str, **seen: Column) -> tuple[DataFrame, dict]:
+        """``save``, with the number of rows ``n`` and other aggregates taken from the write,
+        so that no further job reads the table for them."""
+        found = Observation()
+        asked = [F.count(F.lit(1)).alias("n"), *(c.alias(k) for k, c in seen.items())]
+        saved = self.save(df.observe(found, *asked), name)
+        return saved, found.get
+
     def drop(self, *names: str) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
