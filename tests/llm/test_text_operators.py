@@ -1,6 +1,7 @@
 """Each text operator against brute force on small tables, and on awkward rows."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -161,7 +162,7 @@ def test_minhash_awkward(awkward, empty):
     assert all(by_id[i].n_shingles == 0 and by_id[i].kept for i in (3, 4, 5))
     assert by_id[None].component_id is None and by_id[None].kept
     assert minhash.near_duplicates(empty).count() == 0
-    assert minhash.kept_documents(awkward).count() == len(AWKWARD) - 1
+    assert minhash.kept_rows(awkward).count() == len(AWKWARD) - 2
 
 
 def test_minhash_by_row(spark, tmp_path):
@@ -180,7 +181,8 @@ def test_minhash_by_row(spark, tmp_path):
     assert Counter((r.doc_id, r.component_id) for r in got if r.n_shingles) == Counter(
         {(1, 1): 3, (None, None): 3, (3, 3): 1, (9, 3): 1, (9, 9): 1, (7, 1): 1, (7, 7): 1, (None, 1): 1}
     )
-    assert sum(r.kept for r in got) == 9
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    assert sum(r.kept_row for r in got) == 9
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
     assert kept.columns == docs.columns
     assert sorted(r.row for r in kept.collect()) == ["a", "b", "c", "d", "e", "f", "none", "none", "none"]
@@ -212,7 +214,89 @@ def test_decontamination(spark, awkward, empty):
     assert decontaminate.contaminated(awkward, bench).count() == 0
     assert decontaminate.contaminated(empty, bench).count() == 0
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
-    assert {r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()} == {2, 5, 6, None}
+    assert {r.doc_id for r in decontaminate.clean_rows(docs, bench).collect()} == {2, 5, 6}
+
+
+def brute_items(docs, items):
+    """All windows of an item's words, by fingerprint and then by weighted shingles."""
+
+    def parts(w):
+        k = min(5, len(w))
+        return [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+
+    def printed(w):
+        data = np.frombuffer(" ".join(w).encode(), np.uint8)
+        values = words.shingles(words.split(data, np.array([0, len(data)])).hash, min(5, len(w)))
+        return int(decontaminate.fingerprints(values, np.array([0]), np.array([len(values)]))[0])
+
+    out = {}
+    for d, text in docs:
+        w = [t.decode() for t in tokens(text)]
+        for i, item in items:
+            own = [t.decode() for t in tokens(item)]
+            if not own or not w:
+                continue
+            theirs, mark = Counter(parts(own)), printed(own)
+            for at in range(max(1, len(w) - len(own) + 1)):
+                window = w[at : at + len(own)]
+                if min(5, len(window)) != min(5, len(own)):
+                    continue
+                mine = Counter(parts(window))
+                shared = sum((mine & theirs).values())
+                joint = sum(mine.values()) + sum(theirs.values()) - shared
+                if shared * 100 < 80 * joint or (printed(window) ^ mark).bit_count() > decontaminate.RADIUS:
+                    continue
+                if (d, i) not in out or shared / joint > out[d, i][2]:
+                    out[d, i] = (at, len(window), shared / joint)
+    return out
+
+
+@pytest.mark.parametrize("at_once", [1 << 15, 3])
+def test_decontamination_against_all_windows(spark, monkeypatch, at_once):
+    monkeypatch.setattr(decontaminate, "ANCHORS_AT_ONCE", at_once)
+    monkeypatch.setattr(decontaminate, "WINDOWS_AT_ONCE", at_once)
+    rng = np.random.default_rng(5)
+    draw = lambda n, m=40: [f"w{x}" for x in rng.integers(0, m, n)]
+    stem = draw(6)
+    items = [stem + draw(n) for n in (4, 4, 9, 20, 30)] + [draw(n) for n in (2, 5, 7, 12, 25)] + [["r"] * 9]
+    docs = []
+    for n in range(60):
+        text = draw(int(rng.integers(0, 60)))
+        item = list(items[n % len(items)])
+        for at in rng.integers(0, len(item), n % 3):
+            item[at] = f"changed{n}"
+        at = int(rng.integers(0, len(text) + 1))
+        docs.append(text[:at] + item + text[at:])
+    docs += [stem * 12, ["r"] * 40, items[4][:26], [], draw(3)]
+    docs = list(enumerate(" ".join(d) for d in docs))
+    items = list(enumerate(" ".join(i) for i in items))
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert {(r.doc_id, r.item_id): (r.first_word, r.n_words, r.similarity) for r in got} == brute_items(docs, items)
+
+
+def test_a_text_that_repeats_a_stem_stays_in_memory():
+    """One megabyte of a phrase with which a hundred items begin."""
+    phrase = [f"stem{i}" for i in range(7)]
+    items = [phrase + [f"own{i}_{j}" for j in range(10 + i % 40)] for i in range(100)]
+
+    def hashes(texts):
+        data = [" ".join(t).encode() for t in texts]
+        found = words.split(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        return found.hash, words.bounds(found.row, len(texts))
+
+    own, cut = hashes(items)
+    index = decontaminate.build_index(list(range(100)), [own[a:b] for a, b in zip(cut, cut[1:])])
+    text = phrase * (1_000_000 // 43) + items[3] + phrase * 50
+    value, cut = hashes([text])
+    tracemalloc.start()
+    found = decontaminate.hits(index, value, cut)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(f[1], f[2], f[3]) for f in found if f[4] == f[5]] == [(3, 7 * (1_000_000 // 43), len(items[3]))]
+    assert peak < 500e6
 
 
 def test_decontamination_by_row(spark, empty, monkeypatch, tmp_path):
@@ -257,18 +341,44 @@ def test_reputation(spark):
 
 
 def test_mixing(spark, awkward, empty):
-    got = mixing.mix(awkward).select("row.*", "size", "source_size", "target", "copies").collect()
+    got = mixing.document_copies(awkward).collect()
+    size_of = {i: len(tokens(t)) for i, t, _, _ in AWKWARD}
     assert len(got) == len(AWKWARD)
-    assert all(r["size"] == len(tokens(r.text)) and 0 <= r.copies <= 2 for r in got)
-    assert mixing.mix(empty).count() == 0
+    assert all(r["size"] == size_of[r.doc_id] and 0 <= r.copies <= 2 for r in got)
+    assert mixing.document_copies(empty).count() == mixing.mixed_documents(empty).count() == 0
     rows = [(i, "w " * (i % 50), f"s{i % 3}") for i in range(3000)]
-    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
-    sums = mixed.selectExpr("row.source s", "copies * size t", "target").groupBy("s").agg({"t": "sum", "target": "max"})
-    for r in sums.collect():
-        assert abs(r["sum(t)"] - r["max(target)"]) < 0.01 * r["max(target)"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = {i: s for i, _, s in rows}
+    taken, target = Counter(), {}
+    for r in mixing.document_copies(docs).collect():
+        taken[source[r.doc_id]] += r.copies * r["size"]
+        target[source[r.doc_id]] = r.target
+    assert all(abs(taken[s] - target[s]) < 0.01 * target[s] for s in target)
     assert mixing.mixed_documents(awkward).columns == awkward.columns
 
 
+def test_mixing_ids_that_repeat(spark, monkeypatch):
+    """Rows of one id, or of none, are sampled one by one, in runs of row numbers."""
+    monkeypatch.setattr(mixing, "SUB_ROWS", 16)
+    rows = [(7, "a b", "s")] * 500 + [(None, "a b", "s")] * 700 + [(i, "a b", "s") for i in range(100)]
+    rows += [(7, "c", None)] * 40 + [(8, "x y z", "t")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.document_copies(docs).collect()
+    assert len(got) == len(rows) and {r.copies for r in got} <= {0, 1, 2}
+    sums = Counter()
+    for r in got:
+        sums[r.source_size] += r.copies * r["size"]
+    for r in got:
+        assert abs(sums[r.source_size] - r.target) <= 3
+    again = mixing.document_copies(docs).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    for bound in (mixing.BROADCAST_ROWS, 1):
+        monkeypatch.setattr(mixing, "BROADCAST_ROWS", bound)
+        mixed = mixing.mixed_documents(docs)
+        assert mixed.columns == [*docs.columns, "copy_no"]
+        assert mixed.count() == sum(r.copies for r in got)
+
+
 def test_token_counts(spark, awkward, empty, documents):
     vocabulary = trie.read_vocabulary()
     want = {r.doc_id: sum(trie.count_word(w, vocabulary) for w in r.text.encode().split()) for r in documents.limit(20).collect()}
@@ -408,11 +518,63 @@ def test_embeddings(spark):
     want = ((x @ x.T >= 0.93) & same).sum(axis=1) - 1
     have = np.array([got[i].n_links for i in range(len(rows))])
     assert (have <= want).all() and have.sum() >= 0.97 * want.sum()
+    least = components_of(np.arange(len(rows)), (x @ x.T >= 0.93) & same)
+    assert np.mean([got[i].component_id == least[i] for i in range(len(rows))]) > 0.98
     assert all(got[i].n_links == 0 and got[i].kept for i in (900, 901, 902, 903, 904, 905, None))
     assert got[907].component_id == 906 and got[906].n_links == 1
     assert quantise.near_vectors(spark.createDataFrame([], kind)).count() == 0
 
 
+def components_of(ids, near):
+    """The least id that each reaches by a matrix of links."""
+    least = np.array(ids)
+    while True:
+        lower = np.minimum(least, np.where(near, least[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (lower == least).all():
+            return least
+        least = lower
+
+
+@pytest.mark.parametrize("norm", [0.0, 0.7, 0.9, 0.95])
+@pytest.mark.parametrize("length", [24, 96])
+def test_embeddings_with_a_common_direction(spark, norm, length):
+    """Links found, of those there are, whatever the norm of the unit vectors' mean."""
+    rng = np.random.default_rng(int(norm * 100) + length)
+    base = rng.normal(size=(150, length))
+    made = np.concatenate([base, *(base + rng.normal(size=base.shape) * s for s in (0.15, 0.3, 0.4, 0.45))])
+    made /= np.linalg.norm(made, axis=1, keepdims=True)
+    common = np.zeros(length)
+    common[0] = norm / np.sqrt(1 - norm * norm)
+    made = made + common
+    x = made / np.linalg.norm(made, axis=1, keepdims=True)
+    assert abs(np.linalg.norm(x.mean(axis=0)) - norm) < 0.1
+    ids = np.arange(len(made)) * 3 + 1
+    near = (x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    frame = spark.createDataFrame([(int(i), v.tolist(), 1) for i, v in zip(ids, made)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in quantise.near_vectors(frame).collect()}
+    have = np.array([got[int(i)].n_links for i in ids])
+    want = near.sum(axis=1)
+    assert (have <= want).all() and have.sum() >= 0.99 * want.sum()
+    component = np.array([got[int(i)].component_id for i in ids])
+    assert (component >= components_of(ids, near)).all()
+    assert (component == components_of(ids, near)).mean() > 0.98
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+
+
+def test_embeddings_of_many_lengths_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(quantise, "MAX_LENGTHS", 2)
+    rng = np.random.default_rng(4)
+    rows = []
+    for length in (3, 5, 8, 13, 40):
+        for i in range(20):
+            v = rng.normal(size=length).tolist()
+            rows += [(len(rows), v, 1, "i", 0, 0), (len(rows) + 1, [2.0 * t for t in v], 1, "j", 0, 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, id string, code int, n_links int")
+    got = {r.vec_id: r for r in quantise.near_vectors(frame).collect()}
+    assert len(got) == 200 and all(got[i].n_links >= 1 for i in got)
+    assert all(got[i + 1].component_id <= i for i in range(0, 200, 2))
+
+
 def test_pipeline(spark, documents):
     docs = documents
     for name, stage in corpus_pipeline.STAGES:
