@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +17,7 @@ from tidemark.llm.words import LOWER, NOT_LETTERS, held_out, slices
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 GRAMS = (2, 3, 4)  # bytes
-MAX_LANGUAGES = 256  # the most frequent ones are learnt
-MAX_TEXTS = 4000  # learnt from, all languages together
+MAX_TEXTS = 4000  # learnt from, all languages together, but at least one of each
 MAX_TEXTS_EACH = 600
 REJECTED = 0.002  # share of calibration texts that may fall below the threshold
 UNDETERMINED = "und"
@@ -219,25 +218,27 @@ def predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
 def learn(docs: DataFrame, fold_count: int = 5) -> Model | None:
     """A model from at most MAX_TEXTS whole texts of the learning folds with a language.
 
-    Texts are drawn by a hash of the id, MAX_TEXTS_EACH of a language at most; the
-    MAX_LANGUAGES most frequent languages are learnt.  None without any text.
+    Every language is learnt, from MAX_TEXTS_EACH of its texts at most, and from one
+    at least; they are drawn by a hash of id and text, and ordered by it, so reruns agree.
+    None without any text.
     """
     learning = docs.filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), fold_count)
     )
-    counts = learning.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    counts = counts.limit(MAX_LANGUAGES).collect()
-    if not counts:
+    counts = learning.groupBy("lang").count()
+    names = [r["lang"] for r in counts.select("lang").collect()]  # one row per language
+    if not names:
         return None
-    each = max(1, min(MAX_TEXTS_EACH, MAX_TEXTS // len(counts)))
-    shares = {r["lang"]: int(SHARES * min(1.0, each / r["count"])) for r in counts}
-    least = F.try_element_at(
-        F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("lang")
-    )
-    draw = F.pmod(F.xxhash64(F.lit("lang"), F.col("doc_id")), F.lit(SHARES))
-    sample = learning.filter(draw < least).limit(2 * MAX_TEXTS)
-    rows = sample.select("lang", draw.alias("draw"), F.col("text").cast("binary").alias("text"))
-    languages = sorted(shares)
+    each = max(1, min(MAX_TEXTS_EACH, MAX_TEXTS // len(names)))
+    # Enough to find that many in order, and so few that no task sorts many texts.
+    share = F.least(F.lit(1.0), F.lit(4 * each + 20) / F.col("count"))
+    draw = F.pmod(F.xxhash64(F.lit("lang"), F.col("doc_id"), F.col("text")), F.lit(SHARES))
+    drawn = learning.select("lang", "text", draw.alias("draw"), "doc_id")
+    drawn = drawn.join(F.broadcast(counts), "lang").filter(F.col("draw") < share * SHARES)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
+    sample = drawn.withColumn("place", place).filter(F.col("place") <= each)
+    rows = sample.select("lang", "draw", F.col("text").cast("binary").alias("text"))
+    languages = sorted(names)
     fitted = (
         rows.mapInArrow(
             sample_counts, "lang string, draw long, buckets array<int>, counts array<int>"
