@@ -115,6 +115,25 @@ def test_language(spark, documents, awkward, empty):
     assert not {3, 4, 5, 7} & {r.doc_id for r in kept.collect()}
 
 
+def test_every_language_is_learnt(spark):
+    """Three hundred of them, most with a single text."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for n in range(300):
+        letters = [chr(0x4E00 + 40 * n + j) for j in range(8)]
+        for i in range(40 if n < 5 else 2):
+            rows.append((len(rows), "".join(rng.choice(letters, 60)), f"l{n}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    learnt = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
+    assert set(model.languages) == learnt and len(learnt) > 256
+    found = language.languages(docs.repartition(5)).collect()
+    again = language.languages(docs.repartition(2)).collect()
+    scores = {r.doc_id: (r.lang_pred, r.score) for r in again}
+    assert all(scores[r.doc_id][0] == r.lang_pred for r in found)
+    assert all(abs(scores[r.doc_id][1] - r.score) < 1e-6 for r in found)
+
+
 def brute_components(rows, k, percent):
     sets = {}
     for i, text in rows:
@@ -379,14 +398,53 @@ def test_mixing_ids_that_repeat(spark, monkeypatch):
         assert mixed.count() == sum(r.copies for r in got)
 
 
+def count_word(word, vocabulary):
+    """Tokens of the best segmentation of one word, without a trie."""
+    text = trie.SPACE_MARK + word
+    lengths = list(vocabulary.hashes)
+    best = [(0.0, 0)]
+    for end in range(1, len(text) + 1):
+        score, tokens = best[end - 1]
+        found = (score + vocabulary.byte_score, -tokens - 1)
+        for n in lengths:
+            if n > end:
+                break
+            own = vocabulary.score.get(text[end - n : end])
+            if own is not None:
+                score, tokens = best[end - n]
+                found = max(found, (score + own, -tokens - 1))
+        best.append((found[0], -found[1]))
+    return best[-1][1]
+
+
+def test_long_words_share_their_prefixes(spark):
+    vocabulary = trie.read_vocabulary()
+    rng = np.random.default_rng(6)
+    stem = bytes(rng.integers(97, 123, 300, dtype=np.uint8))
+    made = [stem[:200], stem, stem + b"ing", stem + b"ings" * 50, stem[:150] + "是的".encode() * 60, b"z" * 129, b"y" * 129]
+    assert trie.count_long(made, vocabulary) == [count_word(w, vocabulary) for w in made]
+    asked, own = [], vocabulary.score
+
+    class Asked(dict):
+        def get(self, piece, *default):
+            asked.append(piece)
+            return own.get(piece, *default)
+
+    trie.count_long([stem, stem + b"a"], vocabulary._replace(score=Asked()))
+    assert len(asked) < 1.1 * len(stem) * len(vocabulary.hashes)  # the stem once
+    docs = spark.createDataFrame([(1, b" ".join(made).decode())], "doc_id long, text string")
+    got = trie.token_counts(docs).first()
+    assert (got.n_words, got.n_tokens) == (7, sum(count_word(w, vocabulary) for w in made))
+
+
 def test_token_counts(spark, awkward, empty, documents):
     vocabulary = trie.read_vocabulary()
-    want = {r.doc_id: sum(trie.count_word(w, vocabulary) for w in r.text.encode().split()) for r in documents.limit(20).collect()}
+    want = {r.doc_id: sum(count_word(w, vocabulary) for w in r.text.encode().split()) for r in documents.limit(20).collect()}
     got = {r.doc_id: r.n_tokens for r in trie.token_counts(documents.limit(20)).collect()}
     assert got == want
     found = {r.doc_id: r for r in trie.token_counts(awkward).collect()}
     assert found[3].n_tokens == found[4].n_tokens == found[5].n_tokens == 0
-    assert found[8].n_tokens == trie.count_word(b"x" * 5000, vocabulary)
+    assert found[8].n_tokens == count_word(b"x" * 5000, vocabulary)
     assert trie.token_counts(empty).count() == 0
 
 
