@@ -46,7 +46,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
+    """All stages over ``documents``, each written and read again before the next.
+
+    Rows with null or empty texts have no toxic words but no letters either, so the
+    language stage drops them; a null id, source or lang is kept.  Very long texts go
+    through whole.  Rows that repeat are near duplicates, of which one stays.  An empty
+    table gives no rows.  Further columns ride along, whatever their names; the last
+    stage adds ``copy_no``, in place of a column of that name.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = None
