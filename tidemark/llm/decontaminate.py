@@ -289,7 +289,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are runs of non-space bytes, A-Z lower-cased.  Items of equal words are
     one; ``item_classes`` has the members.  Null or empty texts and items match
     nothing; rows that repeat are each searched; a null doc_id or item_id is
-    reported as null; of an id with several texts each is an item.  The benchmark
+    reported as null; of an id with several texts each is an item.  Very long texts are
+    searched in slices, and windows listed a bounded number at a time.  An empty
+    table on either side gives no rows; other columns are not looked at.  The benchmark
     is taken INDEX_WORDS at a time: each part is one index, so bounded, and one
     pass over the documents.
     """
@@ -299,11 +301,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
     )
     kind = "doc_id long, item_id long, first_word long, n_words long, similarity double"
-    found = None
-    for index in indexes(benchmark, scratch):
-        hits_of_part = texts.mapInArrow(partial(find_items, index=index), kind)
-        found = found.union(hits_of_part) if found is not None else hits_of_part
-    return spark.createDataFrame([], kind) if found is None else found
+    found = part = None
+    for turn, index in enumerate(indexes(benchmark, scratch)):
+        if part is not None:
+            # written, so that its index can go before the next one comes
+            part = scratch.save(part, f"hits-{turn}")
+            before.unpersist()
+            found = part if found is None else found.union(part)
+        part, before = texts.mapInArrow(partial(find_items, index=index), kind), index
+    if part is None:
+        return spark.createDataFrame([], kind)
+    return part if found is None else found.union(part)
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

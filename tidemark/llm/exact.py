@@ -218,12 +218,15 @@ class Exchange:
             cuts = sorted(set(map(int, self.pages.approxQuantile("page", shares, 0.1 / turns))))
         both = None
         for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-            inside = F.lit(True)
+            # by place, which the files' statistics prune
+            inside, own = F.lit(True), F.lit(True)
             if low is not None:
-                inside &= F.col("page") >= low
+                inside &= F.col("place") >= low << PAGE_BITS
+                own &= F.col("page") >= low
             if high is not None:
-                inside &= F.col("page") < high
-            bitmaps = F.broadcast(self.pages.filter(inside))
+                inside &= F.col("place") < high << PAGE_BITS
+                own &= F.col("page") < high
+            bitmaps = F.broadcast(self.pages.filter(own))
             marked = self.rows.filter(inside).join(bitmaps, "page", "left")
             marked = marked.select(*columns, _is_marked().alias("marked"))
             both = marked if both is None else both.unionByName(marked)

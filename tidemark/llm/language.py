@@ -291,9 +291,10 @@ def languages(docs: DataFrame) -> DataFrame:
     ``lang_pred`` is one of the languages learnt from, or ``und`` with score 0 for
     a text that is null or has no letter.  ``score`` is the calibrated probability,
     and ``accepted`` is false for ``und`` and below the calibrated threshold.
-    Without any labelled text all are ``und``.  Repeated rows are judged alike; a
-    null id is judged but never learnt from.  ``lang``, ``source`` and ``doc_id``
-    are no inputs of a prediction; other columns are not looked at.
+    Of languages alike the first by name is told.  Without any labelled text all are
+    ``und``.  Repeated rows are judged alike; a null id is judged but never learnt from.
+    Very long texts are judged whole; an empty table gives no rows.  ``lang``,
+    ``source`` and ``doc_id`` are no inputs of a prediction; other columns are not looked at.
     """
     model = learn(docs)
     found = identify_documents(docs.select("doc_id", "text"), model)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import lower_ascii
 
 RULES = (
@@ -130,7 +131,9 @@ def judge_urls(
 
     A null url, or one without ``://``, has an empty host and path; empty hosts
     are judged together as one host.  Repeated rows are judged alike and counted
-    one by one; a null page_id has no outcome.  Only page_id and url are read.
+    one by one; a null page_id has no outcome.  Very long urls are texts like others.
+    An empty table gives no rows; without outcomes every host has the same wide bound.
+    Only page_id and url are read.
     """
     host, path = url_host(F.col("url")), url_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -144,6 +147,7 @@ def judge_urls(
         .groupBy("host")
         .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
     )
+    hosts = Scratch(pages.sparkSession, "reputation").save(hosts, "hosts")  # read five times
     judged = host_reputations(hosts).select("host", (F.col("bound") >= min_good).alias("fine"))
     rule = rule_column(F.col("host"), F.col("path"), rules)
     said = F.create_map(*[F.lit(x) for verdict, rule in rules for x in (rule, verdict)])

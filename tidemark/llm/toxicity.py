@@ -254,7 +254,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Only texts are scored; ids decide the folds.  A null or empty text has no
     features, so its score is that of the bias.  Without confirmed texts every
     score is the prior.  Ids with several labels are toxic if one says so; rows
-    that repeat are scored alike; a null id is scored but never learnt from.
+    that repeat are scored alike, and equal scores need no order; a null id is scored but
+    never learnt from.  Very long texts are scored whole, in slices; an empty table gives
+    no rows; other columns are not looked at.
     """
     model = learn(docs, labels)
     scored = score_documents(docs.select("doc_id", "text"), model)

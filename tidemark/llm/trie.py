@@ -195,7 +195,8 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataF
     slice.
 
     A null or empty text has no words and no tokens; repeated rows are counted
-    one by one; ids are passed through, null or not.  The vocabulary file, of
+    one by one; ids are passed through, null or not; an empty table gives no rows; other
+    columns are not looked at.  The vocabulary file, of
     bounded size, is read by the driver and sent to the tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary or read_vocabulary())
