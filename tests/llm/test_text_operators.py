@@ -459,6 +459,7 @@ def test_licences(spark, awkward, empty, documents):
     got = {r.doc_id: (r.paragraph, r.family) for r in licences.licences(docs).collect() if r.doc_id and r.doc_id > 1_000_000}
     assert got == {1_000_001: (1, "mit"), 1_000_002: (0, "cc-by-nc"), 1_000_003: (0, "apache")}
     assert licences.licences(awkward).count() == 0
+    assert licences.licences(empty).count() == 0
 
 
 def test_licences_wrapped(spark, documents):
@@ -583,6 +584,18 @@ def test_embeddings(spark):
     assert quantise.near_vectors(spark.createDataFrame([], kind)).count() == 0
 
 
+def test_learners_are_averaged_in_levels(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(s, float(n + 1), rng.normal(size=5).astype(np.float32).tobytes()) for n in range(40) for s in (0, 1)]
+    parts = spark.createDataFrame(rows, "slice int, seen double, values binary").repartition(3)
+    want = [np.average([np.frombuffer(v, np.float32) for s, _, v in rows if s == k], axis=0, weights=[n for s, n, _ in rows if s == k]) for k in (0, 1)]
+    for meeting in (256, 4):
+        monkeypatch.setattr(recurrent, "MEETING", meeting)
+        got = recurrent.common_learner(parts, len(rows), 2).orderBy("slice").collect()
+        assert [r.seen for r in got] == [820.0, 820.0]
+        assert np.allclose([np.frombuffer(r["values"], np.float32) for r in got], want, atol=1e-5)
+
+
 def components_of(ids, near):
     """The least id that each reaches by a matrix of links."""
     least = np.array(ids)
@@ -633,6 +646,35 @@ def test_embeddings_of_many_lengths_and_clashing_columns(spark, monkeypatch):
     assert all(got[i + 1].component_id <= i for i in range(0, 200, 2))
 
 
+def test_pipeline_on_awkward_and_empty_tables(spark, awkward, empty):
+    for docs in (awkward, empty):
+        given = docs
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF).cache()
+            assert [c for c in docs.columns if c != "copy_no"] == [c for c in given.columns if c != "copy_no"]
+        texts = Counter(r.text for r in docs.collect())
+        assert set(texts) <= {t for _, t, _, _ in AWKWARD if t and any(c.isalpha() for c in t)}
+
+
+def test_pipeline_stages_decide_like_their_operators(spark, documents):
+    """Row by row: a stage keeps what its operator, run on the same rows, says."""
+    marks = spark.read.parquet(f"{SF}/labels.parquet")
+    said = {r.doc_id: r.predicted for r in toxicity.toxicity(documents, marks).collect()}
+    kept = corpus_pipeline.drop_toxic(spark, documents, SF)
+    assert {r.doc_id for r in kept.collect()} == {i for i, p in said.items() if p == 0}
+    accepted = {r.doc_id for r in language.languages(documents).collect() if r.accepted}
+    known = corpus_pipeline.keep_known_language(spark, documents, SF)
+    assert {r.doc_id for r in known.collect()} == accepted
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    few = documents.filter("doc_id < 60")
+    found = {d for d, _ in brute_items([(r.doc_id, r.text) for r in few.collect()], items)}
+    clean = corpus_pipeline.drop_contaminated(spark, few, SF)
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in few.collect()} - found
+    taken = {r.doc_id: r.copies for r in mixing.document_copies(documents).collect()}
+    mixed = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, documents, SF).collect())
+    assert mixed == Counter({i: n for i, n in taken.items() if n})
+
+
 def test_pipeline(spark, documents):
     docs = documents
     for name, stage in corpus_pipeline.STAGES:
