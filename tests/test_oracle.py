@@ -33,7 +33,7 @@ def test_query(spark, con, name):
     assert difference(df, con, oracle_sql()[name]) is None
     described = con.execute("DESCRIBE " + oracle_sql()[name]).fetchall()
     want = {row[0]: row[1] for row in described}
-    assert {n: TYPES.get(t, t) for n, t in df.dtypes} == want
+    assert {n: TYPES.get(t, t.upper()) for n, t in df.dtypes} == want
 
 
 def test_entry(spark):
