@@ -33,7 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH_NUMBERS = range(1, len(feeds.BATCH_STARTS) + 2)
 COMPACT_BATCHES = 2  # so that the few batches of these queries include compactions
-BUCKET_BYTES = 1 << 20  # and several buckets
+BUCKET_BYTES = 1 << 23  # and several buckets
 
 ADHOC_SQL = """
     SELECT segment, operation, count(*) AS n_changes,
