@@ -462,6 +462,23 @@ def test_licences(spark, awkward, empty, documents):
     assert licences.licences(empty).count() == 0
 
 
+def test_licences_learn_every_line(spark):
+    """Every ordinary line is learnt or held out, however many there are: over 6000 of them
+    in one text, and a kind of line that one text of 3000 has."""
+    common = "\n".join(["He may not use this file for the work."] * 7000)
+    made = [(0, common), *((i, "It is under the General Store.") for i in range(1, 3000))]
+    made.append((3000, "You may obtain a copy of the book."))
+    made.append((3001, "Released under the MIT License"))
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    scanner = licences.Scanner(licences.Scratch(spark, "licences-test"))
+    lines = scanner.lines(docs)
+    model = scanner.train(lines)
+    got = sorted((r.learnt + r.test, min(r.learnt, r.test) > 0) for r in spark.read.parquet(scanner.scratch.path("ordinary")).collect())
+    assert got == [(1, False), (2999, True), (7000, True)]
+    told = scanner.scan(lines, model).collect()
+    assert [(r.doc_id, r.family) for r in told if r.family != licences.UNKNOWN] == [(3001, "mit")]
+
+
 def test_licences_wrapped(spark, documents):
     gpl = """This program is free software: you can redistribute it and/or modify
 it under the terms of the GNU General Public License as published by

@@ -66,8 +66,7 @@ TEMPLATES = (
 NONE, UNKNOWN = "none", "unknown"
 VARIANTS = 40  # of each template to learn from
 DROPPED = 15  # per cent of a variant's words that are left out
-MAX_ORDINARY_TEXTS = 1500  # whose paragraphs are learnt as no licence
-MAX_ORDINARY = 6000
+ORDINARY_WEIGHT = 6.0  # of all ordinary paragraphs together, at most, to the versions' one
 CONFIRMED = 0.6  # share of a template's n-grams that a paragraph must have
 MISTAKEN = 0.001  # share of ordinary paragraphs that may pass the threshold
 STEPS, RATE, DECAY = 20, 0.4, 1e-4
@@ -98,12 +97,6 @@ def _with_bias(known: str) -> Column:
     return F.concat(known, F.array(F.lit(BIAS)))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph, words): every line, numbered from 0 in its text."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "[\r\n]")).alias("paragraph", "line"))
-    return lines.select("doc_id", "paragraph", words(F.col("line")).alias("words"))
-
-
 def _grams_over(last: Column, after: Column) -> Column:
     """Pairs and triples that begin in ``last`` (two words at most) and end in ``after``."""
     x, y, z = F.get(F.reverse(last), F.lit(0)), F.get(after, F.lit(0)), F.get(after, F.lit(1))
@@ -131,15 +124,30 @@ class Scanner:
             parts, "template int, family string, length int, gram string"
         )
         self.grams = sorted({p[3] for p in parts})
+        self.own_words = sorted({w for g in self.grams for w in g.split(" ")})
         self.families = sorted({r["family"] for r in rows})
         self.longest = self.templates.agg(F.max(F.size("words"))).first()[0] or 0
 
+    def known_pairs(self, listed: Column) -> Column:
+        """For each word the pair that begins with it, if both are words of templates."""
+        own = lambda w: w.isin(self.own_words)
+        after = F.slice(listed, F.lit(2), F.size(listed))
+        return F.zip_with(listed, after, lambda x, y: F.when(own(x) & own(y), F.concat(x, F.lit(" "), y)))
+
+    def known_grams(self, pairs: Column, listed: Column) -> Column:
+        """The templates' n-grams among the words, of which ``pairs`` are the known pairs.
+
+        No n-gram is built of words that no template has."""
+        third = F.slice(listed, F.lit(3), F.size(listed))
+        triples = F.zip_with(pairs, third, lambda x, y: F.concat(x, F.lit(" "), y))
+        return F.array_intersect(F.array_compact(F.concat(pairs, triples)), F.lit(self.grams))
+
     def known(self, lines: DataFrame, name: str) -> DataFrame:
         """(id, doc_id, paragraph, known) of the paragraphs with an n-gram of a template.
 
         Written, so that the ids are fixed.
         """
-        known = F.array_intersect(grams(F.col("words")), F.lit(self.grams))
+        known = self.known_grams(self.known_pairs(F.col("words")), F.col("words"))
         # The id keeps the filter above, so that the n-grams are taken once.
         numbered = F.monotonically_increasing_id().alias("id")
         found = lines.select(numbered, "doc_id", "paragraph", known.alias("known"))
@@ -154,14 +162,32 @@ class Scanner:
         )
         return by_template.groupBy("id", "family").agg(F.max("share").alias("share"))
 
-    def train(self, docs: DataFrame) -> Model:
+    def ordinary(self, lines: DataFrame) -> DataFrame:
+        """(id, known, learnt, test): every different set of known n-grams among the lines
+        that have some but not most of a template's, with its numbers of lines.  Written.
+
+        To the models a line is its set, so nothing is left out.  A fifth of the lines, by
+        a hash of their place, is ``test``.
+        """
+        test = F.pmod(F.xxhash64(F.lit("t"), "doc_id", "paragraph"), F.lit(100)) < 20
+        sets = (
+            lines.filter(F.size("known") > 0)
+            .groupBy(F.sort_array("known").alias("known"))
+            .agg(F.count_if(~test).alias("learnt"), F.count_if(test).alias("test"))
+        )
+        sets = self.scratch.save(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
+        near = self.shares(sets).filter(F.col("share") >= CONFIRMED).select("id").distinct()
+        return self.scratch.save(sets.join(near, "id", "left_anti"), "ordinary")
+
+    def train(self, lines: DataFrame) -> Model:
         """Multinomial logistic regression on the templates and ordinary paragraphs.
 
-        Templates are learnt in VARIANTS versions with words left out.  Ordinary
-        are the paragraphs of about MAX_ORDINARY_TEXTS texts, drawn by a hash of
-        the id, that have an n-gram of some template but not most of one; no more
-        than MAX_ORDINARY.  A fifth of them sets the threshold below which a
-        licence is unknown, so that one in 1000 passes by mistake.
+        Templates are learnt in VARIANTS versions with words left out.  Ordinary are all
+        of ``lines`` that have an n-gram of some template but not most of one; so that
+        many of them do not drown the templates, each counts for less where together they
+        would weigh more than ORDINARY_WEIGHT times the versions.  A fifth of them is held
+        out and sets the threshold below which a licence is unknown, so that one in 1000
+        passes by mistake.
         """
         draw = lambda *c: F.pmod(F.xxhash64(*c), F.lit(100))
         version = F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("paragraph")
@@ -174,42 +200,47 @@ class Scanner:
         own = own.select(F.col("family").alias("doc_id"), "paragraph", F.col("w.word").alias("words"))
         own = self.known(own, "versions")
 
-        share = int(SHARES * min(1.0, MAX_ORDINARY_TEXTS / max(1, docs.count())))
-        drawn = F.pmod(F.xxhash64(F.lit("licence"), F.col("doc_id")), F.lit(SHARES)) < share
-        ordinary = self.known(paragraphs(docs.filter(drawn)).limit(4 * MAX_ORDINARY), "drawn")
-        near = self.shares(ordinary).filter(F.col("share") >= CONFIRMED).select("id").distinct()
-        ordinary = ordinary.join(near, "id", "left_anti").orderBy("id").limit(MAX_ORDINARY)
-        ordinary = self.scratch.save(ordinary.withColumn("test", draw(F.lit("t"), "id") < 20), "ordinary")
+        ordinary = self.ordinary(lines)
+        learnt = ordinary.agg(F.sum("learnt")).first()[0] or 0
+        each = min(1.0, ORDINARY_WEIGHT * own.count() / max(1, learnt))
 
         classes = [NONE, *self.families]
         numbers = self.spark.createDataFrame(list(enumerate(classes)), "label int, doc_id string")
-        rows = own.join(F.broadcast(numbers), "doc_id").select("label", "known")
-        rows = rows.union(ordinary.filter("NOT test").select(F.lit(0), "known"))
+        rows = own.join(F.broadcast(numbers), "doc_id").select(
+            "label", F.lit(1.0).alias("weight"), "known"
+        )
+        weighed = (F.col("learnt") * each).alias("weight")
+        rows = rows.union(ordinary.filter("learnt > 0").select(F.lit(0), weighed, "known"))
         weights = self._fit(rows, len(classes))
         model = Model(classes, [(g, *w) for g, w in weights.items()], 0.5)
         licence = F.greatest(*[F.col(f"p{c}") for c in range(1, len(classes))])
-        held = self.chances(ordinary.filter("test"), model).agg(F.percentile(licence, 1 - MISTAKEN))
+        held = self.chances(ordinary.filter("test > 0"), model)
+        # counted by chances to a millionth, so no task holds more than a million of them
+        held = held.join(ordinary, "id").groupBy(F.round(licence, 6).alias("p")).agg(F.sum("test").alias("n"))
+        held = held.agg(F.percentile("p", 1 - MISTAKEN, F.col("n")))
         return model._replace(threshold=max(0.5, held.first()[0] or 0.0))
 
     def _fit(self, rows: DataFrame, classes: int) -> dict[str, list[float]]:
-        """Weights of each n-gram for each class, by STEPS steps of gradient descent.
+        """Weights of each n-gram for each class, by STEPS steps of gradient descent over
+        (label, weight, known) rows.
 
         A step is one job over the rows' n-grams; the weights, a few hundred rows
         fixed by the templates, go out by broadcast and their slopes come back.
         Steps are scaled by running means of the slopes and of their squares.
         """
-        hits = rows.select(F.monotonically_increasing_id().alias("id"), "label", "known")
-        hits = hits.select("id", "label", F.explode(_with_bias("known")).alias("gram"))
+        hits = rows.select(F.monotonically_increasing_id().alias("id"), "label", "weight", "known")
+        hits = hits.select("id", "label", "weight", F.explode(_with_bias("known")).alias("gram"))
         hits = self.scratch.save(hits, "hits")
-        n_rows = max(1, hits.filter(F.col("gram") == BIAS).count())
+        total = hits.filter(F.col("gram") == BIAS).agg(F.sum("weight")).first()[0] or 1.0
         weights = {g: [0.0] * classes for g in (BIAS, *self.grams)}
         weights[BIAS][0] = 2.0  # most paragraphs have no n-gram of a template
         mean = {g: [0.0] * classes for g in weights}
         square = {g: [0.0] * classes for g in weights}
         for step in range(1, STEPS + 1):
-            chances = self._softmax(hits, [(g, *w) for g, w in weights.items()], ["id", "label"])
+            table = [(g, *w) for g, w in weights.items()]
+            chances = self._softmax(hits, table, ["id", "label", "weight"])
             errors = [
-                (F.col(f"p{c}") - (F.col("label") == c).cast("double")).alias(f"e{c}")
+                (F.col("weight") * (F.col(f"p{c}") - (F.col("label") == c).cast("double"))).alias(f"e{c}")
                 for c in range(classes)
             ]
             slopes = hits.select("id", "gram").join(chances.select("id", *errors), "id")
@@ -217,7 +248,7 @@ class Scanner:
             for gram, *slope in slopes.collect():
                 w, m, v = weights[gram], mean[gram], square[gram]
                 for c in range(classes):
-                    g = slope[c] / n_rows + DECAY * w[c]
+                    g = slope[c] / total + DECAY * w[c]
                     m[c] = 0.8 * m[c] + 0.2 * g
                     v[c] = 0.95 * v[c] + 0.05 * g * g
                     size = (v[c] / (1 - 0.95**step)) ** 0.5 + 1e-8
@@ -252,14 +283,17 @@ class Scanner:
         )
         split = split.filter(F.col("line") != "\x01")
         listed = split.select("row", "doc_id", "paragraph", words(F.col("line")).alias("words"))
-        n, known = F.size("words"), lambda w: F.array_intersect(grams(w), F.lit(self.grams))
+        # taken once, for the pairs and for the triples
+        listed = listed.withColumn("pairs", self.known_pairs(F.col("words")))
+        n = F.size("words")
+        known = lambda w: self.known_grams(self.known_pairs(w), w)
         end = F.slice("words", F.greatest(n - self.longest + 1, F.lit(1)), F.lit(self.longest))
         last = F.slice("words", F.greatest(n - 1, F.lit(1)), F.lit(2))
         kept = listed.select(
             F.monotonically_increasing_id().alias("id"),
             "row", "doc_id", "paragraph", n.alias("n"),
             F.slice("words", 1, 2).alias("head"), last.alias("last"),
-            known(F.col("words")).alias("known"),
+            self.known_grams(F.col("pairs"), F.col("words")).alias("known"),
             F.when(n > self.longest, known(end)).alias("end_known"),
         )
         return self.scratch.save(kept, "lines")
@@ -338,9 +372,8 @@ class Scanner:
         )
         return self.scratch.save(judged, f"{name}-judged")
 
-    def scan(self, docs: DataFrame, model: Model) -> DataFrame:
+    def scan(self, lines: DataFrame, model: Model) -> DataFrame:
         # A paragraph without any known n-gram has the bias's class, which is none.
-        lines = self.lines(docs)
         found = lines.filter(F.size("known") > 0).select("id", "row", "doc_id", "paragraph", "known")
         alone = self.told(found, model, "alone")
         windows = self.told(self.wrapped(lines, alone.filter("sure")), model, "wrapped")
@@ -375,7 +408,7 @@ def licences(docs: DataFrame) -> DataFrame:
     A paragraph is a line, or neighbouring non-empty lines if a notice is wrapped;
     then ``paragraph`` is the line where it begins.  The pairs and triples of words,
     over line breaks too, are weighed by a logistic regression over licence families
-    and ordinary text.  ``family`` is ``unknown`` if the probability is below the
+    and all ordinary lines of ``docs``.  ``family`` is ``unknown`` if the probability is below the
     calibrated threshold or the paragraph has less than 0.6 of the n-grams of every
     template of the family.  Of overlapping wrapped hits of a family the best is told.
 
@@ -385,5 +418,5 @@ def licences(docs: DataFrame) -> DataFrame:
     templates and empty paragraphs are learnt.
     """
     scanner = Scanner(Scratch(docs.sparkSession, "licences"))
-    docs = docs.select("doc_id", "text")
-    return scanner.scan(docs, scanner.train(docs))
+    lines = scanner.lines(docs.select("doc_id", "text"))
+    return scanner.scan(lines, scanner.train(lines))
