@@ -199,6 +199,41 @@ def test_buckets_with_few_changes_wait(spark, tmp_path, table):
     assert rows_of(store.read(table)) == rows_of(plain.read(table))
 
 
+@pytest.mark.parametrize("bucket_bytes", [2_000, 14_000], ids=["split", "kept"])
+def test_compaction_gathers_only_rows_that_may_have_changed(spark, tmp_path, monkeypatch, bucket_bytes):
+    """Nothing is broadcast: the others are written from where they are read,
+    in buckets that are split and in buckets that are kept."""
+    monkeypatch.setattr("tidemark.operators.joins.BROADCAST_BYTES", -1)
+    gathered = []
+    write = TargetStore._write_buckets
+
+    def spy(self, rows, table, batch_id, buckets, placed=None):
+        gathered.append((rows.count(), placed.count() if placed is not None else None))
+        return write(self, rows, table, batch_id, buckets, placed)
+
+    monkeypatch.setattr(TargetStore, "_write_buckets", spy)
+    store = TargetStore(spark, f"{tmp_path}/buckets", bucket_bytes=bucket_bytes)
+    plain = TargetStore(spark, f"{tmp_path}/plain")
+    first, *batches = wide_history(ACCOUNT, 2)
+    first += [change(1, 1, key) for key in range(300, 310)]
+    more = [change(50 + k, 2, 1_000 + k, "more", 9) for k in range(KEYS if bucket_bytes == 2_000 else 3)]
+    for rows in (first, batches[0] + more, batches[1]):
+        for target_store in (plain, store):
+            target_store.apply(ACCOUNT, frame(spark, ACCOUNT, rows))
+        store.compact(ACCOUNT)
+        assert rows_of(store.read(ACCOUNT)) == rows_of(plain.read(ACCOUNT))
+        # a bucket holds its own keys only, each once
+        state = store.state(ACCOUNT)
+        for bucket, folder in enumerate(state.folders):
+            if folder:
+                kept = spark.read.parquet(f"{store.root}/{folder}")
+                assert not kept.filter(store._bucket(ACCOUNT, len(state.folders)) != bucket).count()
+    moved, stayed = zip(*gathered, strict=True)
+    assert stayed[0] is None and moved[0] == KEYS
+    assert stayed[1] > 100 and moved[1] < len(more) + 60
+    assert stayed[2] > 0 and moved[2] < 60
+
+
 def test_a_growing_table_gets_more_buckets(spark, tmp_path):
     store = TargetStore(spark, str(tmp_path), bucket_bytes=2_000)
     counts = []
